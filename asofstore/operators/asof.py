@@ -177,8 +177,14 @@ def sessions_known_at(results: DataFrame, year_start: int | None = None,
 
 def round_window_map(results: DataFrame, year_start: int | None, year_stop: int | None,
                      max_rounds: int) -> DataFrame:
-    """``(dt_ref, year, roundnumber, rn)`` with ``rn <= max_rounds``, broadcast when bounded."""
+    """``(dt_ref, year, roundnumber, rn, yk)`` with ``rn <= max_rounds``, broadcast when bounded.
+
+    ``yk`` numbers the seasons inside the window of each date (1 = newest), so
+    ``yk <= max_rounds``; it lets distinct seasons be counted with a bit set.
+    """
     m = last_rounds(results, year_start, year_stop, max_rounds)
+    m = m.withColumn("yk", F.dense_rank().over(
+        Window.partitionBy("dt_ref").orderBy(F.col("year").desc())))
     bound = date_bound(year_start, year_stop)
     return maybe_broadcast(m, None if bound is None else bound * max_rounds)
 
