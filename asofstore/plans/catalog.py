@@ -123,3 +123,359 @@ def q_driver_features_all(spark, sf):
     YEAR_START, YEAR_STOP, "SELECT id, dt_ref, driverid FROM fs_all"))
 def q_feature_id(spark, sf):
     return q_driver_features_all(spark, sf).select("id", "dt_ref", "driverid")
+
+
+# ------------------------------------------------------------ step 3: labels, ABT
+
+from ..functions import scalar as SC  # noqa: E402
+from ..operators import labels as LB  # noqa: E402
+from ..operators import metrics as MT  # noqa: E402
+from ..operators import report as RP  # noqa: E402
+from ..operators import split as SP  # noqa: E402
+
+# ABT window, out-of-time season, trim and split parameters for
+# the test data (seasons 1995-2001; the reference uses 2000-2026 and 2025).
+ABT_START, ABT_STOP, OOT_YEAR = "1995-01-01", "2002-01-01", 2001
+DROP_LATEST, TRAIN_FRAC, SEED = 6, 0.8, 42
+
+_LABEL_CTES = f"""{OF.consolidated_ctes(YEAR_START, YEAR_STOP)},
+season_points AS (
+  SELECT CAST(year AS INT) AS year, driverid, SUM(points) AS totalpoints
+  FROM session_results
+  WHERE mode IN ('Race', 'Sprint') AND year <> EXTRACT(year FROM CURRENT_DATE)
+  GROUP BY year, driverid),
+season_champions AS (
+  SELECT * FROM (
+    SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY year ORDER BY totalpoints DESC, driverid) AS INT)
+           AS rankdriver
+    FROM season_points) AS r
+  WHERE rankdriver = 1),
+abt AS (
+  SELECT t1.*, COALESCE(t2.rankdriver, 0) AS flchampion
+  FROM fs_all AS t1
+  LEFT JOIN season_champions AS t2
+    ON t1.driverid = t2.driverid AND EXTRACT(YEAR FROM t1.dt_ref) = t2.year
+  WHERE t1.dt_ref >= DATE '{ABT_START}' AND t1.dt_ref < DATE '{ABT_STOP}'),
+abty AS (SELECT *, CAST(year(dt_ref) AS INT) AS year FROM abt),
+analytics AS (SELECT * FROM abty WHERE year < {OOT_YEAR}),
+oot AS (SELECT * FROM abty WHERE year = {OOT_YEAR}),
+season_dates AS (SELECT DISTINCT year, dt_ref FROM analytics),
+trimmed AS (
+  SELECT year, dt_ref FROM (
+    SELECT year, dt_ref, row_number() OVER (PARTITION BY year ORDER BY dt_ref DESC) - 1 AS rk
+    FROM season_dates) AS r
+  WHERE rk > {DROP_LATEST - 1}),
+units AS (SELECT DISTINCT driverid, year, flchampion FROM analytics),
+split_units AS (
+  SELECT driverid, year, flchampion,
+    CASE WHEN row_number() OVER (PARTITION BY flchampion
+              ORDER BY md5(driverid || '|' || CAST(year AS VARCHAR) || '|{SEED}'))
+           <= floor({TRAIN_FRAC} * count(*) OVER (PARTITION BY flchampion))
+         THEN 'train' ELSE 'test' END AS split
+  FROM units),
+chosen AS (
+  SELECT s.split, a.* FROM split_units AS s
+  JOIN analytics AS a ON s.driverid = a.driverid AND s.year = a.year AND s.flchampion = a.flchampion
+  JOIN trimmed AS t ON a.year = t.year AND a.dt_ref = t.dt_ref),
+scored AS (
+  SELECT *, COALESCE(qtde_points_last_10 / (1 + qtde_points_life), 0) AS score FROM chosen
+  UNION ALL
+  SELECT 'oot' AS split, *, COALESCE(qtde_points_last_10 / (1 + qtde_points_life), 0) AS score FROM oot)"""
+
+
+def _labels(select: str) -> str:
+    return f"WITH {_LABEL_CTES}\n{select}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the cluster's checkpoint folder and read it back.
+
+    Used where one query reads the same expensive relation several times:
+    the plan below is computed once, lineage is cut, and lost executors
+    re-read the checkpoint instead of recomputing the store.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def features_all(spark, sf):
+    return materialize(FE.consolidated_features(results(spark, sf), YEAR_START, YEAR_STOP))
+
+
+def champions(spark, sf):
+    return LB.season_champions(results(spark, sf))
+
+
+def abt_table(spark, sf):
+    res = results(spark, sf)
+    return LB.abt(features_all(spark, sf), LB.season_champions(res), ABT_START, ABT_STOP)
+
+
+def sampling(spark, sf):
+    """analytics, oot, trimmed dates, split units, train, test."""
+    analytics, oot = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    trimmed = SP.season_tail_trim(analytics, DROP_LATEST)
+    units = SP.stratified_split(SP.driver_year_labels(analytics), TRAIN_FRAC, SEED)
+    train, test = SP.split_sets(units, analytics, trimmed)
+    return analytics, oot, trimmed, units, train, test
+
+
+def surrogate_score():
+    """Fixed scoring rule standing in for a model where results must be exact."""
+    return F.coalesce(F.col("qtde_points_last_10") / (1 + F.col("qtde_points_life")), F.lit(0.0))
+
+
+def scored_splits(spark, sf):
+    _, oot, _, _, train, test = sampling(spark, sf)
+    parts = [train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test")),
+             oot.withColumn("split", F.lit("oot"))]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.withColumn("score", surrogate_score())
+
+
+@register("season_points", _labels("SELECT * FROM season_points"))
+def q_season_points(spark, sf):
+    return LB.season_points(results(spark, sf))
+
+
+@register("season_champions", _labels("SELECT * FROM season_champions"))
+def q_season_champions(spark, sf):
+    return champions(spark, sf)
+
+
+@register("abt", _labels("SELECT * FROM abt"))
+def q_abt(spark, sf):
+    return abt_table(spark, sf)
+
+
+_KEYS5 = ["id", "dt_ref", "driverid", "year", "flchampion"]
+
+
+@register("oot_split", _labels(
+    "SELECT id, dt_ref, driverid, year, flchampion,"
+    f" CASE WHEN year = {OOT_YEAR} THEN 'oot' ELSE 'analytics' END AS split"
+    f" FROM abty WHERE year <= {OOT_YEAR}"))
+def q_oot_split(spark, sf):
+    analytics, oot = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    return (analytics.select(*_KEYS5, F.lit("analytics").alias("split"))
+            .unionByName(oot.select(*_KEYS5, F.lit("oot").alias("split"))))
+
+
+@register("season_dates", _labels("SELECT * FROM season_dates"))
+def q_season_dates(spark, sf):
+    analytics, _ = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    return SP.season_dates(analytics)
+
+
+@register("season_tail_trim", _labels("SELECT * FROM trimmed"))
+def q_season_tail_trim(spark, sf):
+    return sampling(spark, sf)[2]
+
+
+@register("driver_year_labels", _labels("SELECT * FROM units"))
+def q_driver_year_labels(spark, sf):
+    analytics, _ = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    return SP.driver_year_labels(analytics)
+
+
+@register("stratified_split", _labels("SELECT * FROM split_units"))
+def q_stratified_split(spark, sf):
+    return sampling(spark, sf)[3]
+
+
+@register("target_rates", _labels(
+    "SELECT split, avg(flchampion) AS target_rate FROM split_units GROUP BY split"))
+def q_target_rates(spark, sf):
+    return MT.target_rates(sampling(spark, sf)[3])
+
+
+@register("train_set", _labels(
+    "SELECT id, dt_ref, driverid, year, flchampion FROM chosen WHERE split = 'train'"))
+def q_train_set(spark, sf):
+    return sampling(spark, sf)[4].select(*_KEYS5)
+
+
+@register("test_set", _labels(
+    "SELECT id, dt_ref, driverid, year, flchampion FROM chosen WHERE split = 'test'"))
+def q_test_set(spark, sf):
+    return sampling(spark, sf)[5].select(*_KEYS5)
+
+
+_FEATS = FE.all_feature_names()
+
+# Value used for missing features in training.
+IMPUTE_VALUE = -1000.0
+
+
+@register("missing_counts", _labels(
+    "SELECT feature, n_missing FROM (UNPIVOT (SELECT "
+    + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in _FEATS)
+    + " FROM chosen WHERE split = 'train') ON COLUMNS(*) INTO NAME feature VALUE n_missing) AS u"
+    " WHERE n_missing > 0"))
+def q_missing_counts(spark, sf):
+    return MT.missing_counts(sampling(spark, sf)[4], _FEATS)
+
+
+@register("impute", _labels(
+    "SELECT id, dt_ref, driverid, "
+    + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), {IMPUTE_VALUE}) AS {c}" for c in _FEATS)
+    + " FROM chosen WHERE split = 'train'"))
+def q_impute(spark, sf):
+    from ..operators.ml import fill_features
+    train = sampling(spark, sf)[4]
+    return fill_features(train, _FEATS, IMPUTE_VALUE).select("id", "dt_ref", "driverid", *_FEATS)
+
+
+@register("auc_by_split", _labels(
+    "SELECT split, SUM(pos * (nneg - cneg + 0.5 * neg)) / (MAX(npos) * MAX(nneg)) AS auc FROM ("
+    " SELECT *, SUM(neg) OVER (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cneg,"
+    " SUM(neg) OVER (PARTITION BY split) AS nneg, SUM(pos) OVER (PARTITION BY split) AS npos FROM ("
+    " SELECT split, score, CAST(SUM(CASE WHEN flchampion = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,"
+    " CAST(SUM(CASE WHEN flchampion = 1 THEN 0 ELSE 1 END) AS DOUBLE) AS neg"
+    " FROM scored GROUP BY split, score) AS c) AS k GROUP BY split"))
+def q_auc_by_split(spark, sf):
+    return MT.auc_by_split(scored_splits(spark, sf))
+
+
+@register("roc_curve", _labels(
+    "SELECT split, threshold, cneg / nneg AS fpr, cpos / npos AS tpr FROM ("
+    " SELECT split, score AS threshold,"
+    " SUM(neg) OVER (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cneg,"
+    " SUM(pos) OVER (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cpos,"
+    " SUM(neg) OVER (PARTITION BY split) AS nneg, SUM(pos) OVER (PARTITION BY split) AS npos FROM ("
+    " SELECT split, score, CAST(SUM(CASE WHEN flchampion = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,"
+    " CAST(SUM(CASE WHEN flchampion = 1 THEN 0 ELSE 1 END) AS DOUBLE) AS neg"
+    " FROM scored GROUP BY split, score) AS c) AS k"))
+def q_roc_curve(spark, sf):
+    return MT.roc_curve(scored_splits(spark, sf))
+
+
+# ------------------------------------------------------------ step 5: reporting
+
+_REPORT_CTES = f""",
+sc AS (SELECT *, CAST(year(dt_ref) AS INT) AS year,
+         COALESCE(qtde_points_last_10 / (1 + qtde_points_life), 0) AS prob_win FROM fs_all),
+names AS (
+  SELECT driverid, fullname AS fullname_correct FROM (
+    SELECT driverid, fullname, row_number() OVER (PARTITION BY driverid ORDER BY dt_ref, fullname) AS r
+    FROM sc WHERE fullname IS NOT NULL) AS x WHERE r = 1),
+named AS (SELECT sc.*, names.fullname_correct FROM sc JOIN names ON sc.driverid = names.driverid),
+dlist AS (SELECT driverid, min(fullname_correct) AS fullname_correct FROM named GROUP BY driverid),
+top3 AS (
+  SELECT dt_ref, driverid, fullname_correct, prob_win FROM named
+  WHERE dt_ref = (SELECT max(dt_ref) FROM named)
+  ORDER BY prob_win DESC, driverid LIMIT 3),
+defaults AS (SELECT * FROM dlist WHERE driverid IN (SELECT driverid FROM top3)),
+filtered AS (
+  SELECT * FROM named
+  WHERE driverid IN (SELECT driverid FROM defaults) AND year IN (SELECT max(year) FROM named))"""
+
+
+def _report(select: str) -> str:
+    return f"WITH {OF.consolidated_ctes(YEAR_START, YEAR_STOP)}{_REPORT_CTES}\n{select}"
+
+
+def scored_store(spark, sf):
+    return SP.with_year(features_all(spark, sf)).withColumn("prob_win", surrogate_score())
+
+
+def named_store(spark, sf):
+    return materialize(RP.attach_names(scored_store(spark, sf)))
+
+
+def filtered_report(spark, sf):
+    named = named_store(spark, sf)
+    seasons = named.agg(F.max("year").alias("year"))
+    return RP.report_filter(named, RP.default_drivers(named), seasons)
+
+
+@register("canonical_names", _report("SELECT * FROM names"))
+def q_canonical_names(spark, sf):
+    return RP.canonical_names(scored_store(spark, sf))
+
+
+@register("driver_list", _report("SELECT * FROM dlist"))
+def q_driver_list(spark, sf):
+    return RP.driver_list(named_store(spark, sf))
+
+
+@register("season_list", _report("SELECT DISTINCT year FROM sc"))
+def q_season_list(spark, sf):
+    return RP.season_list(scored_store(spark, sf))
+
+
+@register("top3_latest", _report("SELECT * FROM top3"))
+def q_top3_latest(spark, sf):
+    return RP.top3_latest(named_store(spark, sf))
+
+
+@register("default_drivers", _report("SELECT * FROM defaults"))
+def q_default_drivers(spark, sf):
+    return RP.default_drivers(named_store(spark, sf))
+
+
+@register("report_filter", _report(
+    "SELECT id, dt_ref, driverid, year, fullname_correct, teamcolor, prob_win FROM filtered"))
+def q_report_filter(spark, sf):
+    return filtered_report(spark, sf).select(
+        "id", "dt_ref", "driverid", "year", "fullname_correct", "teamcolor", "prob_win")
+
+
+_COLOR_SQL = ("CASE WHEN teamcolor IS NULL OR teamcolor = '' THEN '#ffffff'"
+              " WHEN length(teamcolor) = 7 THEN lower(teamcolor) ELSE '#' || lower(teamcolor) END")
+
+
+@register("team_color", _report(f"SELECT driverid, dt_ref, teamcolor, {_COLOR_SQL} AS color FROM sc"))
+def q_team_color(spark, sf):
+    return scored_store(spark, sf).select(
+        "driverid", "dt_ref", "teamcolor", SC.team_color(F.col("teamcolor")).alias("color"))
+
+
+@register("driver_colors", _report(
+    f"SELECT fullname_correct, color FROM (SELECT fullname_correct, {_COLOR_SQL} AS color,"
+    " row_number() OVER (PARTITION BY fullname_correct ORDER BY dt_ref DESC,"
+    f" {_COLOR_SQL} DESC) AS r FROM filtered) AS x WHERE r = 1"))
+def q_driver_colors(spark, sf):
+    return RP.driver_colors(filtered_report(spark, sf))
+
+
+@register("prob_pivot", _report(
+    "PIVOT (SELECT dt_ref, fullname_correct, prob_win FROM filtered)"
+    " ON fullname_correct USING avg(prob_win) GROUP BY dt_ref"))
+def q_prob_pivot(spark, sf):
+    return RP.prob_pivot(filtered_report(spark, sf))
+
+
+@register("attach_scores", _report(
+    "SELECT sc.id, sc.dt_ref, sc.driverid, s.prob_win FROM sc LEFT JOIN"
+    " (SELECT DISTINCT id, prob_win FROM sc WHERE year = (SELECT max(year) FROM sc)) AS s"
+    " ON sc.id = s.id"))
+def q_attach_scores(spark, sf):
+    sc = scored_store(spark, sf)
+    latest = sc.agg(F.max("year").alias("year"))
+    scores = sc.join(latest, "year", "left_semi").select("id", "prob_win").distinct()
+    return RP.attach_scores(sc.select("id", "dt_ref", "driverid"), scores)
+
+
+@register("score_payload", _report(
+    "SELECT DISTINCT id, printf('{\"0\":%.6f,\"1\":%.6f}', round(1 - prob_win, 6), round(prob_win, 6))"
+    " AS payload FROM sc"))
+def q_score_payload(spark, sf):
+    sc = scored_store(spark, sf).select("id", "prob_win").distinct()
+    return sc.select("id", SC.prediction_payload(F.col("prob_win")).alias("payload")).distinct()
+
+
+_PAYLOAD_FEATS = ["qtde_points_last_10", "qtde_points_life", "qtd_sessions_last_10"]
+
+
+@register("payload_records", _report(
+    "SELECT id, " + ", ".join(_PAYLOAD_FEATS) + " FROM sc"))
+def q_payload_records(spark, sf):
+    from pyspark.sql import types as T
+    sc = scored_store(spark, sf)
+    rec = F.struct("id", *_PAYLOAD_FEATS)
+    docs = sc.select(F.to_json(F.struct(F.array(rec).alias("values"))).alias("payload"))
+    schema = T.StructType([T.StructField("id", T.StringType())]
+                          + [T.StructField(c, sc.schema[c].dataType) for c in _PAYLOAD_FEATS])
+    return docs.select(F.inline(SC.parse_records(F.col("payload"), schema)))
