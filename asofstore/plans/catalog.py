@@ -479,3 +479,129 @@ def q_payload_records(spark, sf):
     schema = T.StructType([T.StructField("id", T.StringType())]
                           + [T.StructField(c, sc.schema[c].dataType) for c in _PAYLOAD_FEATS])
     return docs.select(F.inline(SC.parse_records(F.col("payload"), schema)))
+
+
+# ------------------------------------------------------------ step 7: ingestion and sinks
+
+from ..operators import ingest as IG  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+from ..sources.upsert import upsert  # noqa: E402
+from ..streaming.ingest import BRONZE_KEYS, ingest_landing  # noqa: E402
+
+_SR = f"WITH session_results AS ({OF.SESSION_RESULTS_SQL})"
+
+
+@register("session_grid", f"{_SR}\nSELECT y.year, CAST(r.roundnumber AS INT) AS roundnumber, m.mode"
+          " FROM (SELECT DISTINCT year FROM session_results) AS y,"
+          " range(1, 30) AS r(roundnumber), (VALUES ('Race'), ('Sprint')) AS m(mode)")
+def q_session_grid(spark, sf):
+    return IG.session_grid(results(spark, sf))
+
+
+@register("missing_sessions", f"{_SR},\n"
+          "grid AS (SELECT y.year, CAST(r.roundnumber AS INT) AS roundnumber, m.mode"
+          " FROM (SELECT DISTINCT year FROM session_results) AS y,"
+          " range(1, 30) AS r(roundnumber), (VALUES ('Race'), ('Sprint')) AS m(mode)),"
+          " have AS (SELECT DISTINCT year, roundnumber, mode FROM session_results)"
+          " SELECT g.* FROM grid AS g WHERE NOT EXISTS (SELECT 1 FROM have AS h WHERE h.year = g.year"
+          " AND h.roundnumber = g.roundnumber AND h.mode = g.mode)"
+          " AND (g.mode = 'Race' OR EXISTS (SELECT 1 FROM have AS r WHERE r.year = g.year"
+          " AND r.roundnumber = g.roundnumber AND r.mode = 'Race'))")
+def q_missing_sessions(spark, sf):
+    res = results(spark, sf)
+    return IG.missing_sessions(IG.session_grid(res), res)
+
+
+def event_context(spark, sf, res):
+    """Event dimension per (year, round), derived from the given nation/region tables."""
+    rounds = res.select("year", "roundnumber").distinct()
+    # 25 nations and 5 regions by definition: fixed bounds, safe to broadcast
+    nation = F.broadcast(read_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    region = F.broadcast(read_table(spark, sf, "region").select("r_regionkey", "r_name"))
+    ev = (rounds.join(nation, (F.col("year") * 12 + F.col("roundnumber")) % 25 == F.col("n_nationkey"))
+          .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+    return ev.select("year", "roundnumber",
+                     F.concat("n_name", F.lit(" GRAND PRIX "), F.col("year").cast("string"))
+                     .alias("officialeventname"),
+                     F.col("n_name").alias("country"), F.col("r_name").alias("location"))
+
+
+_ENRICH_COLS = ["driverid", "year", "roundnumber", "mode", "points"]
+
+
+@register("enrich_sessions", f"{_SR},\n"
+          "ev AS (SELECT r.year, r.roundnumber, n_name || ' GRAND PRIX ' || CAST(r.year AS VARCHAR)"
+          " AS officialeventname, n_name AS country, r_name AS location"
+          " FROM (SELECT DISTINCT year, roundnumber FROM session_results) AS r"
+          " JOIN nation ON (r.year * 12 + r.roundnumber) % 25 = n_nationkey"
+          " JOIN region ON n_regionkey = r_regionkey)"
+          " SELECT s.driverid, s.year, s.roundnumber, s.mode, s.points,"
+          " ev.officialeventname, ev.country, ev.location"
+          " FROM session_results AS s LEFT JOIN ev ON s.year = ev.year AND s.roundnumber = ev.roundnumber")
+def q_enrich_sessions(spark, sf):
+    res = results(spark, sf)
+    return IG.enrich_sessions(res.select(*_ENRICH_COLS), event_context(spark, sf, res))
+
+
+@register("session_file_name", f"{_SR},\n"
+          "f AS (SELECT DISTINCT year, roundnumber, mode,"
+          " 'data/raw/' || printf('%d_%02d_%s.parquet', year, roundnumber, substr(mode, 1, 1)) AS path"
+          " FROM session_results)"
+          " SELECT year, roundnumber, mode, path, regexp_extract(path, '[^/]+$') AS file,"
+          " 'f1/results/' || regexp_extract(path, '[^/]+$') AS bucket_path FROM f")
+def q_session_file_name(spark, sf):
+    return IG.session_files(results(spark, sf))
+
+
+@register("csv_roundtrip", _labels("SELECT * FROM abty"))
+def q_csv_roundtrip(spark, sf):
+    abt = abt_table(spark, sf)
+    path = scratch_dir(spark, "abt-csv")
+    FS.write_csv(abt, path)
+    return FS.read_csv(spark, path, abt.schema)
+
+
+@register("publish_roundtrip", OF.consolidated_sql(YEAR_START, YEAR_STOP))
+def q_publish_roundtrip(spark, sf):
+    path = scratch_dir(spark, "fs-all")
+    FS.publish(features_all(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+# The session group that lands late in the upsert scenario.
+LATE_YEAR, LATE_MODE = 2000, "Sprint"
+
+
+@register("upsert_features", OF.window_features_sql(YEAR_START, YEAR_STOP, 10000))
+def q_upsert_features(spark, sf):
+    """Career store built before a late batch of sessions landed, then repaired.
+
+    Only reference dates on or after the first late session can change; those
+    rows are recomputed from all sessions and merged on (dt_ref, driverid).
+    """
+    res = results(spark, sf)
+    late = (F.col("year") == LATE_YEAR) & (F.col("mode") == LATE_MODE)
+    early = res.where(~late)
+    first_late = res.where(late).agg(F.min(F.to_date("date")).alias("d0"))
+    table = scratch_dir(spark, "fs-life")
+    part = F.year("dt_ref").alias("dt_year")
+    before = FE.window_features(early, YEAR_START, YEAR_STOP, None)
+    before.select("*", part).write.mode("overwrite").partitionBy("dt_year").parquet(table)
+    redo = (FE.window_features(res, YEAR_START, YEAR_STOP, None)
+            .join(F.broadcast(first_late), F.col("dt_ref") >= F.col("d0")).drop("d0"))
+    upsert(spark, table, redo.select("*", part), ["dt_ref", "driverid"], "dt_year")
+    return spark.read.parquet(table).drop("dt_year")
+
+
+@register("stream_ingest", OF.SESSION_RESULTS_SQL)
+def q_stream_ingest(spark, sf):
+    """Session files land in three groups; a stream merges them into bronze."""
+    res = results(spark, sf)
+    root = scratch_dir(spark, "ingest")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    for cond in (F.col("year") <= 1996, F.col("year").between(1997, 1999), F.col("year") >= 2000):
+        res.where(cond).write.mode("append").parquet(landing)
+    ingest_landing(spark, landing, bronze, f"{root}/checkpoint", max_files_per_trigger=4)
+    return spark.read.parquet(bronze).select(*res.columns)
