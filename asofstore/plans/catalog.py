@@ -605,3 +605,109 @@ def q_stream_ingest(spark, sf):
         res.where(cond).write.mode("append").parquet(landing)
     ingest_landing(spark, landing, bronze, f"{root}/checkpoint", max_files_per_trigger=4)
     return spark.read.parquet(bronze).select(*res.columns)
+
+
+# ------------------------------------------------------------ step 6: models (rows-only checks)
+
+from ..operators import ml as ML  # noqa: E402
+
+# Model settings of the reference (500 trees, leaves of 50,
+# seed 42; 500 boosting rounds at learning rate 0.001).
+MODELS = {
+    "ada_boost": lambda: ML.AdaBoostStumps(numRounds=500, learningRate=0.001, labelCol="label"),
+    "random_forest": lambda: ML.random_forest(label="label", trees=500, min_leaf=50, seed=42),
+}
+
+
+def _with_label(df):
+    return df.withColumn("label", F.col("flchampion").cast("double"))
+
+
+_FITTED: dict = {}
+
+
+def fit_and_score(spark, sf, model_name):
+    """Fit on the train split and score train/test/OOT; memoised per session and data
+    folder, so the importance, metrics and log queries reuse one fit per model."""
+    key = (spark.sparkContext.applicationId, sf, model_name)
+    if key not in _FITTED:
+        _FITTED[key] = _fit_and_score(spark, sf, model_name)
+    return _FITTED[key]
+
+
+def _fit_and_score(spark, sf, model_name):
+    _, oot, _, _, train, test = sampling(spark, sf)
+    train = materialize(_with_label(train))
+    model = ML.pipeline(_FEATS, MODELS[model_name]()).fit(train)
+    parts = [train.withColumn("split", F.lit("train")),
+             _with_label(test).withColumn("split", F.lit("test")),
+             _with_label(oot).withColumn("split", F.lit("oot"))]
+    scored = ML.probability_of_win(model.transform(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    scored = materialize(scored.select("id", "dt_ref", "driverid", "split", "flchampion", "prob_win"))
+    return model, scored
+
+
+@register("rf_scores")
+def q_rf_scores(spark, sf):
+    return fit_and_score(spark, sf, "random_forest")[1]
+
+
+@register("adaboost_scores")
+def q_adaboost_scores(spark, sf):
+    return fit_and_score(spark, sf, "ada_boost")[1]
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    out = None
+    for name in MODELS:
+        model, _ = fit_and_score(spark, sf, name)
+        fi = ML.feature_importance(model, _FEATS, spark).withColumn("model", F.lit(name))
+        out = fi if out is None else out.unionByName(fi)
+    return out
+
+
+def _metrics(spark, sf):
+    rows = None
+    for name in MODELS:
+        _, scored = fit_and_score(spark, sf, name)
+        auc = MT.auc_by_split(scored, score="prob_win").withColumn("model", F.lit(name))
+        rows = auc if rows is None else rows.unionByName(auc)
+    return rows
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf):
+    return _metrics(spark, sf)
+
+
+@register("run_log")
+def q_run_log(spark, sf):
+    """Parameters and metrics of each model run, appended to a log table."""
+    path = scratch_dir(spark, "run-log")
+    for name in MODELS:
+        est = MODELS[name]()
+        params = [(name, "param", p.name, str(v)) for p, v in est.extractParamMap().items()]
+        params += [(name, "param", "imputation_strategy", "arbitrary"),
+                   (name, "param", "imputation_value", str(IMPUTE_VALUE))]
+        spark.createDataFrame(params, "run string, kind string, key string, value string") \
+            .write.mode("append").parquet(path)
+    m = _metrics(spark, sf).select(F.col("model").alias("run"), F.lit("metric").alias("kind"),
+                                   F.concat(F.lit("auc_"), F.col("split")).alias("key"),
+                                   F.col("auc").cast("string").alias("value"))
+    m.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("batch_scores")
+def q_batch_scores(spark, sf):
+    """Refit on every ABT row (M11), save (S15), load (S16), score the whole store."""
+    from pyspark.ml import PipelineModel
+    analytics, oot = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    full = materialize(_with_label(analytics.unionByName(oot)))
+    model = ML.pipeline(_FEATS, MODELS["random_forest"]()).fit(full)
+    path = scratch_dir(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    store = features_all(spark, sf)
+    return ML.probability_of_win(loaded.transform(store)).select("id", "dt_ref", "driverid", "prob_win")
