@@ -85,3 +85,18 @@ def prob_pivot(filtered: DataFrame, names: list[str] | None = None) -> DataFrame
 def attach_scores(rows: DataFrame, scores: DataFrame, key: str = "id") -> DataFrame:
     """Score lookup by id; a missing id gives NULL."""
     return rows.join(scores, key, "left")
+
+
+def require_rows(df: DataFrame) -> DataFrame:
+    """Empty-input guard (P20): scoring an empty request is an error."""
+    if df.isEmpty():
+        raise ValueError("No features provided")
+    return df
+
+
+def require_unique(df: DataFrame, key: str = "id") -> DataFrame:
+    """Payload ids must be unique to be keyed (T24); one small probe job."""
+    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"duplicate {key}: {dup[0][key]}")
+    return df
