@@ -140,3 +140,11 @@ def test_payload_guards(spark):
         report.require_unique(df)
     with pytest.raises(ValueError):
         report.require_rows(df.where("x > 5"))
+
+
+def test_latest_model_is_numeric_max(spark):
+    from asofstore.sources.registry import latest_model
+    reg = spark.createDataFrame([("m", "9", "/a"), ("m", "10", "/b"), ("x", "99", "/c")],
+                                "name string, version string, path string")
+    r = latest_model(reg, "m").first()
+    assert (r.version, r.path) == ("10", "/b")
