@@ -8,14 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
-from .common import read
+from ..session import scratch_dir
+from . import (chat, decontaminate, embedding, language, minhash, packing, rollups, sharding, substring, toxicity)
+from .common import read, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARIES = {"byte_bpe_50k": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                     "byte_bpe_multi_50k": public_tokenizers.path("byte_bpe_multi_50k.tiktoken")}
+
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
@@ -26,6 +33,106 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def fold(divisor: int) -> Column:
+    """crc32(doc_id as text) modulo ``divisor``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@register("op1_language_mixture")
+def op1_language_mixture(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(fold(4) == 2, F.lit(False))
+    model = language.fit(docs, (fold(4) != 2))
+    found = language.identify(docs.select("doc_id", "text"), model, keep_text=False)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.to_json("languages").alias("languages"))
+
+
+@register("op2_embedding_near_dedup")
+def op2_embedding_near_dedup(spark, sf_dir):
+    return embedding.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@register("op3_substring_dedup")
+def op3_substring_dedup(spark, sf_dir):
+    return substring.digests(read(spark, sf_dir, "documents"), window=50)
+
+
+@register("op4_histogram_sort_shards")
+def op4_histogram_sort_shards(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    sharded = sharding.shard_by_bytes(docs, shards=24)
+    return sharded.select(
+        "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# Both texts of this conversation look like control strings.
+ODD_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@register("op5_chat_format", r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, r || x AS rx,
+         regexp_matches(r, '</s>|\[INST\]|\[/INST\]|\\[bla]') OR regexp_matches(x, '</s>|\[INST\]|\[/INST\]|\\[bla]')
+         AS odd FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
+       CAST(coalesce(sum(length(x)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(17 + length(r) + length(x) + CASE WHEN odd THEN length(regexp_replace(rx, '[^\\\[<]', '', 'g'))
+                ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op5_chat_format(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(ODD_CONVERSATION, turns.schema)
+    return chat.digests(chat.format_conversations(turns.union(odd)))
+
+
+@register("op6_toxicity_distance")
+def op6_toxicity_distance(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(*toxicity.training_sample(docs, labels, fold(3) != 1, sample=3000, longest=20_000))
+    held = F.coalesce(fold(3) == 1, F.lit(False))
+    return toxicity.score(docs, model, cut=0.7).select(
+        "doc_id", held.alias("held_out"), "score", "predicted", "toxic_windows", "n_windows")
+
+
+@register("op7_token_rollups")
+def op7_token_rollups(spark, sf_dir):
+    """Load, delete exact copies, recount other languages with a second
+    vocabulary, and repeat the last two commits, which must change nothing."""
+    base, multi = BYTE_VOCABULARIES
+    counted = stage(rollups.count_tokens(
+        read(spark, sf_dir, "documents"), BYTE_VOCABULARIES, public_tokenizers.PATTERN,
+        only={multi: lambda lang: lang != "en"}), "rollup-counts")
+    first = counted.groupBy("_k1", "_k2").agg(F.min("_id").alias("_first"))
+    ledger = stage(counted.join(first, ["_k1", "_k2"]).withColumn("_copy", F.coalesce(F.col("_id") > F.col("_first"),
+                                                                                     F.lit(False))), "rollup-ledger")
+    recounted = ledger.where(f"NOT _copy AND {multi} IS NOT NULL")
+    batches = {"0-load": rollups.signed(ledger, base, 1),
+               "1-copies": rollups.signed(ledger.where("_copy"), base, -1),
+               "2-recount": rollups.signed(recounted, base, -1).union(rollups.signed(recounted, multi, 1))}
+    totals = rollups.Rollup(spark, scratch_dir(spark, "llm-rollup"))
+    for batch_id in [*batches, "1-copies", "2-recount"]:
+        totals.commit(batch_id, batches[batch_id])
+    return totals.totals()
+
+
+@register("op8_vector_packing")
+def op8_vector_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2, tokens=4096)
+
+
+@register("op9_template_decontamination")
+def op9_template_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @register("op10_minhash_near_dedup")
 def op10_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=4, percent=80)
