@@ -109,21 +109,40 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_PER_BATCH) -> Ite
             yield b.slice(i, rows)
 
 
-def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Whole groups of equal (non-null long) keys from a stream sorted by them."""
+def grouped(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, bounds) from a stream sorted by non-null long keys: group ``i`` is
+    the rows from ``bounds[i]`` to ``bounds[i + 1]``, and every group is whole."""
     rest: pa.Table | None = None
     for b in batches:
+        if not b.num_rows:
+            continue
         t = pa.Table.from_batches([b])
         t = t if rest is None else pa.concat_tables([rest, t])
         k = np.stack([t.column(c).to_numpy() for c in keys])
-        cut = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
-        start = 0
-        for c in cut:
-            yield t.slice(start, c - start)
-            start = c
-        rest = t.slice(start).combine_chunks()
+        bounds = np.flatnonzero(np.concatenate([[True], (k[:, 1:] != k[:, :-1]).any(axis=0)]))
+        if len(bounds) > 1:
+            yield t.slice(0, bounds[-1]).combine_chunks(), bounds
+        rest = t.slice(bounds[-1])
     if rest is not None and rest.num_rows:
-        yield rest
+        yield rest.combine_chunks(), np.array([0, rest.num_rows])
+
+
+def bytes_matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Rows of equally long binaries as a matrix."""
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), kind).reshape(len(values), -1)
+
+
+def block_labels(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id that the links (i, j) reach from each of ``n`` rows."""
+    label = ids.copy()
+    while True:
+        before = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        if (label == before).all():
+            return label
 
 
 def long_array(a: np.ndarray) -> pa.Array:

@@ -134,58 +134,45 @@ def _linker(threshold: float, k: int, tables: int):
 
     def run(batches):
         out = [[], [], []]
-        for g in C.groups(batches, ["_key", "_dim", "_bi", "_bj"]):
-            bi, bj, dim = (g.column(x)[0].as_py() for x in ("_bi", "_bj", "_dim"))
-            table = g.column("_table").to_numpy()[0]
-            rep, chunk = g.column("_rep").to_numpy(), g.column("_chunk").to_numpy()
-            left, right = np.flatnonzero(chunk == bi), np.flatnonzero(chunk == bj)
-            if len(rep) < 2 or not len(left) or not len(right):
-                continue
-            if dim not in turn:
-                turn[dim] = rotation(dim)
-            x = unit(np.frombuffer(b"".join(g.column("_vec").to_pylist()), np.float64).reshape(len(rep), dim))
-            code = np.frombuffer(b"".join(g.column("_code").to_pylist()), np.uint8).reshape(len(rep), -1)
-            bits = np.unpackbits(code, axis=1)
-            est, bound = estimates(bits[left], g.column("_c").to_numpy()[left],
-                                   x[right].astype(np.float32) @ turn[dim].T)
-            i, j = np.nonzero(est + bound[:, None].astype(np.float32) >= threshold)
-            i, j = left[i], right[j]
-            once = rep[i] < rep[j] if bi == bj else rep[i] != rep[j]
-            i, j = i[once], j[once]
-            exact = np.concatenate([np.einsum("ij,ij->i", x[i[s:s + 65536]], x[j[s:s + 65536]])
-                                    for s in range(0, len(i), 65536)]) if len(i) else np.empty(0)
-            ok = exact >= threshold
-            i, j = i[ok], j[ok]
-            if table and len(i):        # pairs that met in an earlier table are counted there
-                keys = bucket_keys(bits, table_bits(dim, k, tables)[:table], dim)
-                new = np.ones(len(i), bool)
-                for t in range(table):
-                    new &= keys[i, t] != keys[j, t]
-                i, j = i[new], j[new]
-            if not len(i):
-                continue
-            mult = g.column("_mult").to_numpy()
-            links = np.zeros(len(rep), np.int64)
-            np.add.at(links, i, mult[j])
-            np.add.at(links, j, mult[i])
-            label = rep.copy()
-            while True:
-                low = np.minimum(label[i], label[j])
-                before = label.copy()
-                np.minimum.at(label, i, low)
-                np.minimum.at(label, j, low)
-                if (label == before).all():
-                    break
-            has = links > 0
-            for o, a in zip(out, (rep[has], links[has], label[has])):
-                o.append(a)
-            if sum(map(len, out[0])) > 20_000:
+        for t, bounds in C.grouped(batches, ["_key", "_dim", "_bi", "_bj"]):
+            rep, mult, chunk, table, dims, all_c, bi, bj = (t.column(x).to_numpy() for x in (
+                "_rep", "_mult", "_chunk", "_table", "_dim", "_c", "_bi", "_bj"))
+            vec, code = t.column("_vec"), t.column("_code")
+            for s, e in zip(bounds[:-1], bounds[1:]):
+                left, right = np.flatnonzero(chunk[s:e] == bi[s]), np.flatnonzero(chunk[s:e] == bj[s])
+                if e - s < 2 or not len(left) or not len(right):
+                    continue
+                dim, ids = int(dims[s]), rep[s:e]
+                if dim not in turn:
+                    turn[dim] = rotation(dim)
+                x = unit(C.bytes_matrix(vec.slice(s, e - s), np.float64))
+                bits = np.unpackbits(C.bytes_matrix(code.slice(s, e - s), np.uint8), axis=1)
+                est, bound = estimates(bits[left], all_c[s:e][left], x[right].astype(np.float32) @ turn[dim].T)
+                i, j = np.nonzero(est + bound[:, None].astype(np.float32) >= threshold)
+                i, j = left[i], right[j]
+                once = ids[i] < ids[j] if bi[s] == bj[s] else ids[i] != ids[j]
+                i, j = i[once], j[once]
+                exact = [np.einsum("ij,ij->i", x[i[p:p + 65536]], x[j[p:p + 65536]]) for p in range(0, len(i), 65536)]
+                ok = np.concatenate(exact) >= threshold if exact else np.zeros(0, bool)
+                i, j = i[ok], j[ok]
+                if table[s] and len(i):     # pairs that met in an earlier table are counted there
+                    keys = bucket_keys(bits, table_bits(dim, k, tables)[:table[s]], dim)
+                    new = np.ones(len(i), bool)
+                    for p in range(table[s]):
+                        new &= keys[i, p] != keys[j, p]
+                    i, j = i[new], j[new]
+                if not len(i):
+                    continue
+                links = np.zeros(e - s, np.int64)
+                np.add.at(links, i, mult[s:e][j])
+                np.add.at(links, j, mult[s:e][i])
+                has = links > 0
+                for o, a in zip(out, (ids[has], links[has], C.block_labels(e - s, i, j, ids)[has])):
+                    o.append(a)
+            if out[0]:
                 yield pa.RecordBatch.from_arrays([C.long_array(np.concatenate(o)) for o in out],
                                                  names=["_rep", "_links", "_label"])
                 out = [[], [], []]
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([C.long_array(np.concatenate(o)) for o in out],
-                                             names=["_rep", "_links", "_label"])
     return run
 
 

@@ -11,17 +11,19 @@ concentration of independent samples, and a set of more than a few hundred
 shingles needs one or two passes rather than ``t``.
 
 **Candidates.** 32 bands of 4 coordinates: two sets with similarity 0.8 share
-no band with probability 0.59^32 = 5e-8.
+no band with probability 0.59^32 = 5e-8. Inside a band's buckets the 8-bit
+sketches are compared, and pairs within five standard deviations of the
+threshold are likely. A bucket returns no pairs but one row per member, the
+smallest member that likely pairs reach; these rows join the documents into
+*clusters*, which contain every link.
 
 **Links.** Documents with the same shingle set form a class; only its smallest
-id goes on, so copies are never paired. Round one pairs the members of each
-band bucket with its smallest member, drops pairs whose sketches differ by more
-than six standard deviations from the threshold, and confirms the rest on the
-full sets. Round two looks only at buckets whose members are still in different
-components, and there at every pair across components (compared by sketch in
-blocks of bounded size, only likely pairs leave a block), so a bucket of
-thousands of near copies costs a linear number of confirmations and no link
-that could join two components is skipped.
+id goes on, so copies are never paired. Inside a cluster every pair is
+confirmed on the full sets: the intersections of a block of documents are one
+product of their shingle incidence matrix. Again a block returns one row per
+member, so a cluster of thousands of near copies costs output in proportion to
+its members. Buckets and clusters larger than a block are dealt out as pairs
+of chunks.
 
 Defined results: text that is null, empty or without words has an empty set
 and links with nothing; rows that share a doc_id are one document; a null
@@ -41,7 +43,8 @@ from . import common as C
 T, BANDS, ROWS = 128, 32, 4
 BIN_SHIFT = np.uint64(64 - 7)          # 2^7 = T bins
 LOW = np.uint64((1 << 56) - 1)
-BLOCK = 1024                           # rows of one side of a block comparison
+BLOCK = 512                            # rows of one side of a block comparison
+COLUMNS = 8192                         # shingles of one product
 
 
 # ------------------------------------------------------------------ sketches
@@ -58,7 +61,7 @@ def fast_similarity_sketch(elements: np.ndarray, lengths: np.ndarray) -> np.ndar
     for i in range(2 * T):
         if not len(elements):
             break
-        m = C.mix(elements + np.uint64(i + 1) * C.GOLDEN)
+        m = C.mix(elements + C._odd(2000 + i))
         place = (m >> BIN_SHIFT).astype(np.int64) if i < T else np.full(len(m), i - T)
         np.minimum.at(sketch, owner * T + place, (np.uint64(i) << np.uint64(56)) | (m & LOW))
         unfilled = (sketch.reshape(docs, T) == full).any(axis=1)
@@ -82,9 +85,9 @@ def short_sketch(sketch: np.ndarray) -> np.ndarray:
 
 def least_agreement(threshold: float) -> int:
     """Equal 8-bit coordinates below which a pair cannot reach ``threshold``
-    but with the probability of a six-sigma deviation."""
+    but with the probability of a five-sigma deviation."""
     mean = T * (threshold + (1 - threshold) / 256)
-    return int(mean - 6 * (T * threshold * (1 - threshold)) ** 0.5)
+    return int(mean - 5 * (T * threshold * (1 - threshold)) ** 0.5)
 
 
 SKETCHES = "_id bigint, _n bigint, _k1 bigint, _k2 bigint, _sk binary, _bands array<bigint>"
@@ -117,103 +120,141 @@ def sketches(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "t
     return src.mapInArrow(_sketcher(k), SKETCHES)
 
 
-# -------------------------------------------------------------- confirmation
+# --------------------------------------------------------------------- blocks
 
-def _agreeing(least: int, threshold: float):
-    """Keeps pairs whose sizes and sketches allow the threshold."""
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, T) for c in ("sa", "sb"))
-            na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
-            ok = ((x == y).sum(axis=1) >= least) & (np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c).filter(pa.array(ok)) for c in ("a", "b")], names=["a", "b"])
-    return run
+def _deal(rows: DataFrame, key: str, large: DataFrame) -> DataFrame:
+    """Rows of groups (``large``: key, _parts) with the pairs of chunks in which
+    each meets its whole group; a group of one chunk is one block."""
+    return (rows.join(large, key)
+            .withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.col("_parts")))
+            .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+            .withColumns({"_bi": F.least("_chunk", "_other"), "_bj": F.greatest("_chunk", "_other")})
+            .drop("_other", "_parts"))
+
+
+def _groups_of(rows: DataFrame, key: str) -> DataFrame:
+    return (rows.groupBy(key).agg(F.count("*").alias("_m")).where("_m > 1")
+            .select(key, F.ceil(F.col("_m") / BLOCK).cast("long").alias("_parts")))
+
+
+def _in_blocks(dealt: DataFrame, key: str, fn) -> DataFrame:
+    return (dealt.repartition(key, "_bi", "_bj").sortWithinPartitions(key, "_bi", "_bj")
+            .mapInArrow(fn, "a bigint, b bigint").distinct())
+
+
+def _sides(chunk: np.ndarray, bi: int, bj: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.flatnonzero(chunk == bi), np.flatnonzero(chunk == bj)
 
 
-def _linked(k: int, percent: int):
-    """Keeps pairs of texts whose full shingle sets reach the threshold."""
+def _out(ids: list[np.ndarray], labels: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = np.concatenate(ids), np.concatenate(labels)
+    return pa.RecordBatch.from_arrays([C.long_array(a[a != b]), C.long_array(b[a != b])], names=["a", "b"])
+
+
+def _likely(least: int, ratio: float):
+    """(member, smallest member that likely pairs reach) per bucket."""
+    def close(x, y, nx, ny):
+        return ((x == y).sum(axis=-1, dtype=np.int16) >= least) & (
+            np.minimum(nx, ny) >= ratio * np.maximum(nx, ny) - 1e-9)
+
     def run(batches):
-        for b in C.slices(batches):
-            keep, last, one = [], None, None
-            for ta, tb in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist()):
-                if ta != last or one is None:
-                    last, one = ta, C.shingle_set(C.words_of(ta.lower()), k)
-                two = C.shingle_set(C.words_of(tb.lower()), k)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
+        for t, bounds in C.grouped(batches, ["_key", "_bi", "_bj"]):
+            ids, n, chunk, bi, bj = (t.column(c).to_numpy() for c in ("_id", "_n", "_chunk", "_bi", "_bj"))
+            sk = C.bytes_matrix(t.column("_sk"), np.uint8)
+            size = np.diff(bounds)
+            two = bounds[:-1][size == 2]
+            two = two[(bi[two] == bj[two]) & close(sk[two], sk[two + 1], n[two], n[two + 1])]
+            out = [[ids[two], ids[two + 1]], [np.minimum(ids[two], ids[two + 1])] * 2]
+            for s, e in zip(bounds[:-1][size > 2], bounds[1:][size > 2]):
+                left, right = (s + x for x in _sides(chunk[s:e], bi[s], bj[s]))
+                pairs = [np.flatnonzero(close(sk[i], sk[right], n[i], n[right])) for i in left]
+                i = np.repeat(left, list(map(len, pairs))) - s
+                j = right[np.concatenate(pairs)] - s if pairs else i
+                out[0].append(ids[s:e])
+                out[1].append(C.block_labels(e - s, i, j, ids[s:e]))
+            yield _out(*out)
     return run
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, sk: DataFrame, k: int, percent: int,
-            id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) whose full sets reach ``percent`` / 100."""
-    side = sk.select("_id", "_n", "_sk")
-    likely = (pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
-              .mapInArrow(_agreeing(least_agreement(percent / 100), percent / 100), "a bigint, b bigint"))
-    likely = C.stage(likely, "minhash-likely")
-    needed = likely.select(F.col("a").alias("_id")).union(likely.select("b")).distinct()
-    text = (docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
-            .join(needed, "_id", "left_semi"))
-    text = C.stage(text.dropDuplicates(["_id"]) if _repeats(sk) else text, "minhash-texts")
-    full = (likely.join(text.toDF("a", "ta"), "a").join(text.toDF("b", "tb"), "b"))
-    return full.mapInArrow(_linked(k, percent), "a bigint, b bigint")
+def likely_clusters(sk: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of documents that likely pairs connect."""
+    rows = sk.select("_id", F.explode("_bands").alias("_key"))
+    large = _groups_of(rows, "_key")
+    dealt = _deal(rows, "_key", large).join(sk.select("_id", "_n", "_sk"), "_id")
+    return C.connected_components(_in_blocks(dealt, "_key", _likely(least_agreement(percent / 100), percent / 100)))
 
 
-def _repeats(sk: DataFrame) -> bool:
-    return not sk.groupBy("_id").count().where("count > 1").isEmpty()
-
+def _set_maker(k: int):
+    def run(batches):
+        for b in C.slices(batches, 500):
+            sets = [C.shingle_set(C.words_of(t.lower() if t else t), k).tobytes() for t in b.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_key"), pa.array(sets, pa.binary())], names=["_id", "_key", "_set"])
+    return run
 
-# ------------------------------------------------- pairs across components
 
-def _across(least: int, ratio: float):
-    """Likely pairs between components inside one block of one bucket."""
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sorted sets, all against all, as products
+    of incidence matrices; shingles of one side only cannot count."""
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not len(shared):
+        return out
+
+    def incidence(sets):
+        row = np.repeat(np.arange(len(sets)), list(map(len, sets)))
+        flat = np.concatenate(sets)
+        col = np.searchsorted(shared, flat)
+        ok = shared[np.minimum(col, len(shared) - 1)] == flat
+        order = np.argsort(col[ok], kind="stable")
+        return row[ok][order], col[ok][order]
+
+    def slab(side, n, c):
+        row, col = side
+        s, e = np.searchsorted(col, [c, c + COLUMNS])
+        m = np.zeros((n, min(COLUMNS, len(shared) - c)), np.float32)
+        m[row[s:e], col[s:e] - c] = 1
+        return m
+    a, b = incidence(left), incidence(right)
+    for c in range(0, len(shared), COLUMNS):
+        out += slab(a, len(left), c) @ slab(b, len(right), c).T
+    return out
+
+
+def _linked(percent: int):
+    """(member, smallest member that links reach) per block of a cluster."""
     def run(batches):
-        names = ["_key", "_bi", "_bj"]
-        for g in C.groups(batches, names):
-            bi, bj = g.column("_bi")[0].as_py(), g.column("_bj")[0].as_py()
-            rep, comp = g.column("_id").to_numpy(), g.column("_c").to_numpy()
-            n, chunk = g.column("_n").to_numpy(), g.column("_chunk").to_numpy()
-            sk = np.frombuffer(b"".join(g.column("_sk").to_pylist()), np.uint8).reshape(-1, T)
-            left = np.flatnonzero(chunk == bi)
-            right = np.flatnonzero(chunk == bj)
-            a, b = [], []
-            for i in left:
-                other = right[(comp[right] != comp[i]) & ((rep[right] > rep[i]) if bi == bj else True)]
-                if len(other):
-                    ok = ((sk[other] == sk[i]).sum(axis=1) >= least) & (
-                        np.minimum(n[other], n[i]) >= ratio * np.maximum(n[other], n[i]) - 1e-9)
-                    hit = rep[other[ok]]
-                    a.append(np.minimum(hit, rep[i]))
-                    b.append(np.maximum(hit, rep[i]))
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [C.long_array(np.concatenate(a)), C.long_array(np.concatenate(b))], names=["a", "b"])
+        for t, bounds in C.grouped(batches, ["_key", "_bi", "_bj"]):
+            ids, chunk, bi, bj = (t.column(c).to_numpy() for c in ("_id", "_chunk", "_bi", "_bj"))
+            sets = t.column("_set")
+            out = [[], []]
+            for s, e in zip(bounds[:-1], bounds[1:]):
+                own = [np.frombuffer(x, np.uint64) for x in sets.slice(s, e - s).to_pylist()]
+                left, right = _sides(chunk[s:e], bi[s], bj[s])
+                if not len(left) or not len(right):
+                    continue
+                size = np.fromiter(map(len, own), np.int64, len(own))
+                if e - s == 2 and bi[s] == bj[s]:
+                    both = np.array([[len(np.intersect1d(*own, assume_unique=True))]])
+                    left, right = left[:1], right[1:]
+                else:
+                    both = intersections([own[i] for i in left], [own[j] for j in right]).astype(np.int64)
+                i, j = np.nonzero(100 * both >= percent * (size[left][:, None] + size[right][None, :] - both))
+                out[0].append(ids[s:e])
+                out[1].append(C.block_labels(e - s, left[i], right[j], ids[s:e]))
+            if out[0]:
+                yield _out(*out)
     return run
 
 
-def cross_pairs(sk: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (a < b) that share a bucket and are in different components."""
-    rows = (sk.join(comps.toDF("_id", "_c0"), "_id", "left")
-            .select("_id", "_n", "_sk", F.coalesce("_c0", "_id").alias("_c"), F.explode("_bands").alias("_key")))
-    mixed = (rows.groupBy("_key").agg(F.count("*").alias("_m"), F.min("_c").alias("_lo"), F.max("_c").alias("_hi"))
-             .where("_lo < _hi").select("_key", F.ceil(F.col("_m") / BLOCK).cast("int").alias("_parts")))
-    # every row meets every chunk of its bucket once: a bucket of one chunk is
-    # one block, a larger one is dealt out as pairs of chunks
-    dealt = (rows.join(mixed, "_key")
-             .withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.col("_parts")))
-             .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts").cast("long") - 1)))
-             .select("_key", F.least("_chunk", "_other").alias("_bi"), F.greatest("_chunk", "_other").alias("_bj"),
-                     "_chunk", "_id", "_c", "_n", "_sk"))
-    return (dealt.repartition("_key", "_bi", "_bj").sortWithinPartitions("_key", "_bi", "_bj")
-            .mapInArrow(_across(least_agreement(percent / 100), percent / 100), "a bigint, b bigint").distinct())
+def links_within(clusters: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b), as many as it takes to connect what links connect."""
+    members = clusters.toDF("_id", "_key")
+    text = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
+    sets = (text.join(members, "_id").mapInArrow(_set_maker(k), "_id bigint, _key bigint, _set binary"))
+    return _in_blocks(_deal(sets, "_key", _groups_of(members, "_key")), "_key", _linked(percent))
 
 
-# ------------------------------------------------------------------ operator
+# ------------------------------------------------------------------- operator
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,26 +268,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80,
     usable = every.where("_id IS NOT NULL AND _n > 0")
     same = usable.groupBy("_n", "_k1", "_k2").agg(F.min("_id").alias("_rep"))
     classes = C.stage(usable.select("_id", "_n", "_k1", "_k2").distinct()
-                      .join(same, ["_n", "_k1", "_k2"]).select("_id", "_rep"), "minhash-classes")
+                      .join(same, ["_n", "_k1", "_k2"]).select("_id", "_rep").distinct(), "minhash-classes")
     reps = C.stage(usable.join(classes.where("_id = _rep").select("_id"), "_id", "left_semi"), "minhash-reps")
 
-    rows = reps.select("_id", F.explode("_bands").alias("_key"))
-    lead = (rows.groupBy("_key").agg(F.min("_id").alias("a"), F.max("_id").alias("_hi"))
-            .where("a < _hi").select("_key", "a"))
-    pairs = C.stage(rows.join(lead, "_key").where("_id != a").select("a", F.col("_id").alias("b")).distinct(),
-                    "minhash-pairs")
-    links = C.stage(confirm(pairs, docs, reps, k, percent, id_col, text_col), "minhash-links")
-    # one id in several classes (rows that share a doc_id) ties them together
+    clusters = C.stage(likely_clusters(reps, percent), "minhash-clusters")
+    links = links_within(clusters, docs, k, percent, id_col, text_col)
+    # a class is linked in itself, and so is an id with several texts
     ties = classes.where("_id != _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b"))
     comps = C.connected_components(links.union(ties))
 
-    rest = cross_pairs(reps, comps, percent).join(pairs, ["a", "b"], "left_anti")
-    rest = C.stage(rest, "minhash-rest")
-    if not rest.isEmpty():
-        more = confirm(rest, docs, reps, k, percent, id_col, text_col)
-        comps = C.connected_components(comps.toDF("a", "b").union(more))
-
-    out = every.join(comps.toDF("_id", "_c"), "_id", "left")
+    out = every.select("_id", "_n").join(comps.toDF("_id", "_c"), "_id", "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("_c", "_id"))
     return out.select(F.col("_id").alias("doc_id"), F.col("_n").alias("n_shingles"),
                       component.alias("component_id"),
