@@ -32,11 +32,32 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back."""
-    path = scratch_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once to the shared folder and read it back.
+
+    The job's shuffle files go with the job: nothing after it reads them.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, f"llm-{name}")
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._staged)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # --------------------------------------------------------------- word hashes
@@ -183,8 +204,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                  .distinct())
         least_of = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least_of, "a")
-        e = stage(small.select("a", F.col("m").alias("b"))
-                  .union(small.where("b != m").select(F.col("b"), F.col("m"))).distinct(), "cc")
+        last, e = e, stage(small.select("a", F.col("m").alias("b"))
+                           .union(small.where("b != m").select(F.col("b"), F.col("m"))).distinct(), "cc")
+        unstage(last)
         now = _digest(e)
         if now == seen:
             break

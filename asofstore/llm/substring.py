@@ -12,7 +12,7 @@ documents. The tree is never built whole:
    exchanged to find the marks that several documents share. Runs equal in
    their whole text are one node path and are settled as a unit.
 2. **Prefix partitioning.** Each remaining suffix is described by the hashes of
-   its first 8, 16, 32 and ``window`` words. Suffixes are dealt out by the
+   its first 8, 24 and ``window`` words. Suffixes are dealt out by the
    shortest of these prefixes that at most ``group_rows`` suffixes share:
    rare prefixes stay short, frequent ones are extended until the group fits
    in memory. Nodes that are larger than a group even at full depth are not
@@ -22,8 +22,7 @@ documents. The tree is never built whole:
    neighbours at full depth form a deep internal node. Its first document owns
    the sequence, and every other suffix below the node is a repeat.
 
-Documents with the same words are settled before the tree: all windows of all
-but the first are repeats.
+A document that is settled whole (a copy) needs no text any more.
 
 Defined results: null or empty text has no words; rows that share a doc_id are
 one document (equal text in one document is no repeat of itself); a null doc_id
@@ -37,28 +36,22 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
 
 GRAM = 10
-LEVELS = (8, 16, 32)
+LEVELS = (8, 24)
 GROUP_ROWS = 200_000
+MAX_FREQUENT = 500_000
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
-SCAN = ("_id bigint, _t bigint, _n bigint, _k1 bigint, _k2 bigint, _sha string, "
+SCAN = ("_id bigint, _t int, _n bigint, _sha binary, "
         "_mark array<bigint>, _start array<int>, _content array<bigint>")
 SPANS = "array<struct<start:int,len:int>>"
 
 
-def text_key(words: list[bytes]) -> tuple[int, int, bytes]:
-    joined = b" ".join(words)
-    k = xxhash.xxh3_128_intdigest(joined)
-    return k >> 64, k & 0xFFFFFFFFFFFFFFFF, joined
-
-
 class Stretches:
     """Hashes of any stretch of a word sequence from prefix sums."""
 
@@ -107,19 +100,17 @@ def _scanner(window: int):
             rows, mark, start, content = [], [], [], []
             for t in b.column("_text").to_pylist():
                 words = C.words_of(t)
-                k1, k2, joined = text_key(words)
                 m, s, c = runs_of(C.hash_words(words), window)
-                rows.append((len(words), k1, k2, hashlib.sha256(joined).hexdigest(), len(m)))
+                rows.append((len(words), hashlib.sha256(b" ".join(words)).digest(), len(m)))
                 mark.append(m), start.append(s), content.append(c)
-            n, k1, k2, sha, runs = zip(*rows)
+            n, sha, runs = zip(*rows)
             runs = np.array(runs)
             yield pa.RecordBatch.from_arrays([
-                b.column("_id"), b.column("_t"), pa.array(n, pa.int64()), C.long_array(np.array(k1, np.uint64)),
-                C.long_array(np.array(k2, np.uint64)), pa.array(sha),
+                b.column("_id"), b.column("_t"), pa.array(n, pa.int64()), pa.array(sha, pa.binary()),
                 C.list_array(np.concatenate(mark).view(np.int64), runs, pa.int64()),
                 C.list_array(np.concatenate(start).astype(np.int32), runs, pa.int32()),
                 C.list_array(np.concatenate(content).view(np.int64), runs, pa.int64())],
-                names=["_id", "_t", "_n", "_k1", "_k2", "_sha", "_mark", "_start", "_content"])
+                names=["_id", "_t", "_n", "_sha", "_mark", "_start", "_content"])
     return run
 
 
@@ -136,13 +127,13 @@ def _suffixes(window: int):
                 hashed = Stretches(C.hash_words(C.words_of(t)))
                 at = np.unique(np.concatenate([np.arange(s["start"], s["start"] + s["len"]) for s in spans]))
                 ids.append(np.full(len(at), i, np.int64))
-                keys.append(np.full(len(at), k, np.int64))
+                keys.append(np.full(len(at), k, np.int32))
                 pos.append(at)
                 for out, depth in zip(pre, (*LEVELS, window)):
                     out.append(hashed(at, at + depth))
             if ids:
                 yield pa.RecordBatch.from_arrays(
-                    [C.long_array(np.concatenate(ids)), C.long_array(np.concatenate(keys)),
+                    [C.long_array(np.concatenate(ids)), pa.array(np.concatenate(keys)),
                      pa.array(np.concatenate(pos).astype(np.int32)),
                      *(C.long_array(np.concatenate(x)) for x in pre)], names=["_id", "_t", "_pos", *names])
     return run
@@ -174,26 +165,35 @@ def _subtrees(levels: int):
     return run
 
 
-def deep_repeats(suffixes: DataFrame, window: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+def deep_repeats(suffixes: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(_id, _t, _pos) of suffixes whose first ``window`` words also begin a
-    suffix of a document with a smaller id."""
+    suffix of a document with a smaller id.
+
+    At most ``rows / group_rows`` prefixes are frequent; their table is joined
+    to the suffixes by broadcast while it has fewer than ``MAX_FREQUENT`` rows.
+    """
     paths = [f"_p{i}" for i in range(len(LEVELS) + 1)]
-    with_counts = suffixes
+    rest, group, huge = suffixes, F.col(paths[0]), None
     for i, p in enumerate(paths):
-        frequent = (suffixes.groupBy(p).agg(F.count("*").alias("_c"), F.min("_id").alias("_lo"))
-                    .where(f"_c > {int(group_rows)}").select(p, F.lit(True).alias(f"_big{i}"),
-                                                             *([F.col("_lo")] if p == paths[-1] else [])))
-        with_counts = with_counts.join(frequent, p, "left")
-    last = len(paths) - 1
-    level = F.coalesce(*[F.when(F.col(f"_big{i}").isNull(), F.lit(i)) for i in range(last + 1)])
-    dealt = with_counts.withColumn("_level", level)
-    huge = dealt.where("_level IS NULL AND _lo < _id").select("_id", "_t", "_pos")
-    group = F.element_at(F.array(*paths), F.col("_level") + 1)
-    fit = (dealt.where("_level IS NOT NULL").withColumn("_g", group)
-           .select("_level", "_g", *paths, "_id", "_t", "_pos")
-           .repartition("_level", "_g").sortWithinPartitions("_level", "_g", *paths, "_id")
-           .mapInArrow(_subtrees(len(paths)), "_id bigint, _t bigint, _pos int"))
-    return fit.union(huge)
+        own = F.min("_id").alias("_lo")
+        frequent = C.stage(rest.groupBy(p).agg(F.count("*").alias("_c"), own).where(f"_c > {int(group_rows)}")
+                           .select(p, "_lo"), "substring-frequent")
+        n = frequent.count()
+        if not n:
+            break
+        if n < MAX_FREQUENT:
+            frequent = F.broadcast(frequent)
+        if i + 1 < len(paths):      # extend the prefix of the suffixes below it
+            rest = rest.join(frequent.select(p), p, "left_semi")
+            deeper = suffixes.select("*").join(frequent.select(p, F.lit(True).alias(f"_big{i}")), p, "left")
+            suffixes, group = deeper, F.when(F.col(f"_big{i}"), F.col(paths[i + 1])).otherwise(group)
+        else:                       # a node larger than a group
+            suffixes = suffixes.join(frequent.select(p, F.col("_lo")), p, "left")
+            huge = suffixes.where("_lo < _id").select("_id", "_t", "_pos")
+            suffixes = suffixes.where("_lo IS NULL")
+    found = (suffixes.repartition(group).sortWithinPartitions(*paths, "_id").select(*paths, "_id", "_t", "_pos")
+             .mapInArrow(_subtrees(len(paths)), "_id bigint, _t int, _pos int"))
+    return found if huge is None else found.union(huge)
 
 
 # ------------------------------------------------------------------ operator
@@ -202,28 +202,23 @@ def _cutter(window: int):
     def run(batches):
         for b in C.slices(batches, 500):
             removed, texts, shas, where = [], [], [], []
-            for t, spans, whole in zip(b.column("_text").to_pylist(), b.column("_spans").to_pylist(),
-                                       b.column("_whole").to_pylist()):
+            for t, spans in zip(b.column("_text").to_pylist(), b.column("_spans").to_pylist()):
                 words = C.words_of(t)
                 gone = np.zeros(len(words) + 1, np.int32)
-                if whole and len(words) >= window:
-                    gone[:-1] = 1
-                else:
-                    for s in spans or ():
-                        gone[s["start"]] += 1
-                        gone[s["start"] + s["len"] + window - 1] -= 1
-                    gone = np.cumsum(gone)
-                cover = gone[:-1] > 0
+                for s in spans:
+                    gone[s["start"]] += 1
+                    gone[s["start"] + s["len"] + window - 1] -= 1
+                cover = np.cumsum(gone)[:-1] > 0
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], cover, [False]]).astype(np.int8)))
                 kept = b" ".join([words[i] for i in np.flatnonzero(~cover)])
                 removed.append(int(cover.sum()))
                 texts.append(kept)
-                shas.append(hashlib.sha256(kept).hexdigest())
+                shas.append(hashlib.sha256(kept).digest())
                 where.append([{"start": int(s), "len": int(e - s)} for s, e in edge.reshape(-1, 2)])
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), b.column("_t"), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()),
-                 pa.array(shas, pa.string()), pa.array(where, pa.list_(pa.struct([("start", pa.int32()),
-                                                                                ("len", pa.int32())])))],
+                 pa.array(shas, pa.binary()), pa.array(where, pa.list_(pa.struct([("start", pa.int32()),
+                                                                                  ("len", pa.int32())])))],
                 names=["_id", "_t", "_removed", "_kept", "_sha", "_spans"])
     return run
 
@@ -231,29 +226,20 @@ def _cutter(window: int):
 def repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text",
             group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
     """(scan, cut): one row per document row with its word count and digest,
-    and one row per changed text with removed words, kept text and the removed
-    spans (maximal repeats, in words). Rows are found again by ``_id`` and
-    ``_t``, a hash of the text, so that rows may share a doc_id."""
+    and one row per changed text with removed words, kept text, its digest and
+    the removed spans (maximal repeats, in words). Rows are found again by
+    ``_id`` and ``_t``, a hash of the text, so that rows may share a doc_id."""
     if window <= max(LEVELS):
         raise ValueError(f"window must be over {max(LEVELS)} words")
     src = _source(docs, id_col, text_col)
     scan = C.stage(src.mapInArrow(_scanner(window), SCAN), "substring-scan")
-    ids = scan.where(f"_id IS NOT NULL AND _n >= {window}")
     at = ["_id", "_t"]
-
-    # documents with the same words: the first stands for all
-    first = (ids.groupBy("_k1", "_k2").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
-             .where("_first < _last").select("_k1", "_k2", "_first"))
-    copies = C.stage(ids.select(*at, "_k1", "_k2").join(first, ["_k1", "_k2"]).where("_id > _first")
-                     .select(*at).distinct(), "substring-copies")
-    runs = (ids.join(copies, at, "left_anti")
+    runs = (scan.where("_id IS NOT NULL")
             .select(*at, "_n", F.posexplode("_mark").alias("_i", "_m"), "_start", "_content")
             .withColumn("_begin", F.element_at("_start", F.col("_i") + 1))
             .select(*at, F.col("_m").alias("_mark"), F.element_at("_content", F.col("_i") + 1).alias("_content"),
-                    F.struct(F.col("_begin").alias("start"),
-                             (F.coalesce(F.try_element_at("_start", F.col("_i") + 2),
-                                         (F.col("_n") - window + 1).cast("int")) - F.col("_begin")).alias("len"))
-                    .alias("_run")))
+                    "_begin", (F.coalesce(F.try_element_at("_start", F.col("_i") + 2),
+                                          (F.col("_n") - window + 1).cast("int")) - F.col("_begin")).alias("_len")))
 
     # runs whose mark several documents share
     shared = (runs.groupBy("_mark").agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi"))
@@ -261,34 +247,42 @@ def repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col:
     runs = C.stage(runs.join(shared, "_mark"), "substring-runs")
     # equal runs are settled by their first document; a mark is open where runs
     # of several first documents share it
-    equal = runs.groupBy("_mark", "_content", F.col("_run.len").alias("_len")).agg(F.min("_id").alias("_own"))
-    owned = C.stage(runs.withColumn("_len", F.col("_run.len")).join(equal, ["_mark", "_content", "_len"])
-                    .select(*at, "_mark", "_run", "_own"), "substring-owned")
-    settled = owned.where("_own < _id").select(*at, "_run")
+    equal = runs.groupBy("_mark", "_content", "_len").agg(F.min("_id").alias("_own"))
+    owned = C.stage(runs.join(equal, ["_mark", "_content", "_len"]).drop("_content"), "substring-owned")
+    C.unstage(runs)
+    run = F.struct(F.col("_begin").alias("start"), F.col("_len").alias("len"))
     open_marks = (owned.groupBy("_mark").agg(F.min("_own").alias("_lo"), F.max("_own").alias("_hi"))
                   .where("_lo < _hi").select("_mark"))
-    wanted = (owned.where("_own = _id").join(open_marks, "_mark")
-              .groupBy(*at).agg(F.collect_list("_run").alias("_runs")))
-
-    # the texts that take part, once
-    part = C.stage(wanted.join(settled.select(*at).distinct(), at, "full")
-                   .join(copies.withColumn("_whole", F.lit(True)), at, "full"), "substring-part")
+    wanted = (owned.where("_own = _id").join(open_marks, "_mark").groupBy(*at).agg(F.collect_list(run).alias("_runs")))
+    settled = C.stage(owned.where("_own < _id").groupBy(*at).agg(
+        F.collect_list(run).alias("_settled"), F.sum("_len").alias("_covered")), "substring-settled")
+
+    # the texts that take part, once; a text that is settled whole needs none
+    whole = scan.join(settled, at).where(f"_covered >= _n - {window - 1}").select(*at, F.col("_n").alias("_whole"))
+    whole = C.stage(whole.distinct(), "substring-whole")
+    part = wanted.join(settled.join(whole, at, "left_anti").select(*at, "_settled"), at, "full")
     texts = C.stage(src.join(part, at), "substring-texts")
+    C.unstage(owned, settled)
     suffixes = C.stage(texts.where("_runs IS NOT NULL").mapInArrow(
-        _suffixes(window), "_id bigint, _t bigint, _pos int, " + ", ".join(
+        _suffixes(window), "_id bigint, _t int, _pos int, " + ", ".join(
             f"_p{i} bigint" for i in range(len(LEVELS) + 1))), "substring-suffixes")
-    found = deep_repeats(suffixes, window, group_rows).select(
-        *at, F.struct(F.col("_pos").alias("start"), F.lit(1).alias("len")).alias("_run"))
-    spans = found.union(settled).groupBy(*at).agg(F.collect_list("_run").alias("_spans"))
-    cut = (texts.select(*at, "_text", F.coalesce("_whole", F.lit(False)).alias("_whole"))
-           .join(spans, at, "left").where("_whole OR _spans IS NOT NULL")
+    found = C.stage(deep_repeats(suffixes, group_rows).groupBy(*at)
+                    .agg(F.collect_list("_pos").alias("_found")), "substring-found")
+    C.unstage(suffixes)
+    spans = F.concat(F.coalesce("_settled", F.array().cast(SPANS)), F.coalesce(F.transform(
+        "_found", lambda x: F.struct(x.alias("start"), F.lit(1).alias("len"))), F.array().cast(SPANS)))
+    cut = (texts.join(found, at, "left").where("_settled IS NOT NULL OR _found IS NOT NULL")
+           .select(*at, "_text", spans.alias("_spans"))
            .mapInArrow(_cutter(window),
-                       f"_id bigint, _t bigint, _removed bigint, _kept binary, _sha string, _spans {SPANS}"))
-    return scan, cut
+                       f"_id bigint, _t int, _removed bigint, _kept binary, _sha binary, _spans {SPANS}"))
+    gone = whole.select(*at, F.col("_whole").alias("_removed"), F.lit(b"").alias("_kept"),
+                        F.unhex(F.sha2(F.lit(""), 256)).alias("_sha"),
+                        F.array(F.struct(F.lit(0).alias("start"), F.col("_whole").cast("int").alias("len"))).alias("_spans"))
+    return scan, cut.union(gone)
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_t"),
+    return docs.select(F.col(id_col).cast("long").alias("_id"), F.hash(F.col(text_col)).alias("_t"),
                        F.col(text_col).cast("binary").alias("_text"))
 
 
@@ -299,7 +293,7 @@ def digests(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col:
     return (scan.select("_id", "_t", "_n", "_sha").join(done, ["_id", "_t"], "left")
             .select(F.col("_id").alias("doc_id"), F.col("_n").alias("n_words"),
                     F.coalesce("_removed", F.lit(0).cast("long")).alias("n_removed"),
-                    F.coalesce("_cut", "_sha").alias("kept_sha256")))
+                    F.lower(F.hex(F.coalesce("_cut", "_sha"))).alias("kept_sha256")))
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -307,8 +301,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     space); texts without repeats are unchanged, texts that are nothing but
     repeats become empty."""
     _, cut = repeats(docs, window, id_col, text_col)
-    done = (cut.select("_id", "_t", F.col("_kept").cast("string").alias("_kept")).dropDuplicates(["_id", "_t"]))
-    keyed = docs.withColumns({"_at": F.col(id_col).cast("long"), "_tt": F.xxhash64(F.col(text_col))})
+    done = cut.select("_id", "_t", F.col("_kept").cast("string").alias("_kept")).dropDuplicates(["_id", "_t"])
+    keyed = docs.withColumns({"_at": F.col(id_col).cast("long"), "_tt": F.hash(F.col(text_col))})
     joined = keyed.join(done, (F.col("_at") == F.col("_id")) & (F.col("_tt") == F.col("_t")), "left")
     return joined.select(*[F.coalesce("_kept", F.col(c)).alias(c) if c == text_col else keyed[c]
                            for c in docs.columns])

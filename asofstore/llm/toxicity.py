@@ -1,20 +1,19 @@
 """Toxicity by compression distance with zstandard dictionaries (operator 6).
 
-A text is split into windows of ``window`` words; each word is cut to its first
-``STEM`` letters, so that inflections count as one, and written as a 64-bit
-code, so that a dictionary matches whole stems and never chance letter
-sequences. A window's distance is the difference of its compressed lengths with
-two dictionaries: one trained on ordinary wording, one on toxic wording. A
-window that has nothing of either compresses alike with both. The positive
-distances of a document's windows, from a calibrated threshold on, are summed,
-and a logistic curve fitted on the training documents turns the sum into a
-score.
+A text is split into windows of ``window`` words, and each word is written as a
+128-bit code, so that a dictionary matches whole words and never chance letter
+sequences; words that begin with a stem that the toxic dictionary holds are
+written as that stem, so that inflections count as one. A window's distance is
+the difference of its compressed lengths with two dictionaries: one trained on
+ordinary wording, one on toxic wording. A window that has nothing of either
+compresses alike with both. The positive distances of a document's windows,
+from a calibrated threshold on, are summed, and a logistic curve fitted on the
+training documents turns the sum into a score.
 
 **Training** uses a bounded sample: ``sample`` documents per label (parameter),
 of at most ``longest`` bytes each. Wording that both classes share says
 nothing, so each dictionary is trained on the windows' words that its class
-uses more often, counted by distinct neighbourhoods so that copies of one
-passage count once. Both dictionaries have the same number of words.
+alone uses (see :func:`_uses`). Both dictionaries have the same number of words.
 Everything else covers whole texts of all rows.
 
 Defined results: null or empty text has no windows and gets the score of a
@@ -38,88 +37,101 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-LEVEL = 3
-STEM = 4
-RATIO, EVIDENCE = 4.0, 15.0     # over-use by a class, and its log-likelihood ratio
+STEMS = (4, 6, 8)   # letters of the stems that are tried before the whole word
+CODE = 16           # long enough that one matched word pays for a compressed block
+PURITY, EVIDENCE = 0.99, 15.0   # share of a class in a stem's uses (at equal class sizes), log-likelihood ratio
 _SPACED = bytes((c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128)
                 else 32 for c in range(256))
 
 
-def stem(word: bytes) -> bytes:
-    return word.decode("utf-8", "replace")[:STEM].encode() if len(word) > STEM else word
+def words(text: str | None) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").translate(_SPACED).split() if text else []
+
+
+def units(word: bytes) -> list[bytes]:
+    """Stems of a word, the shortest first, and the word."""
+    if word.isascii():
+        return [word[:n] for n in STEMS if n < len(word)] + [word]
+    letters = word.decode("utf-8", "replace")
+    return [letters[:n].encode() for n in STEMS if n < len(letters)] + [word]
+
 
+class Codes(dict):
+    """Code of each word (``CODE`` bytes), remembered up to a bound."""
 
-class _Codes(dict):
-    """8-byte code of each word's stem, remembered up to a bound."""
+    LIMIT = 300_000
 
-    LIMIT = 400_000
+    def __init__(self, stems: frozenset[bytes]):
+        super().__init__()
+        self.stems = stems
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.LIMIT:
             self.clear()
-        code = self[word] = xxhash.xxh3_64_digest(stem(word))
+        stem = next((u for u in units(word) if u in self.stems), word)
+        code = self[word] = xxhash.xxh3_128_digest(stem)
         return code
 
-
-_CODES = _Codes()
-
-
-def split(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_SPACED).split() if text else []
-
-
-def words(text: str | None) -> list[bytes]:
-    """Stems of a text's words in order."""
-    return list(map(stem, split(text)))
-
-
-def windows(text: str | None, size: int) -> list[bytes]:
-    codes = b"".join(map(_CODES.__getitem__, split(text)))
-    return [codes[i:i + 8 * size] for i in range(0, len(codes), 8 * size)]
+    def windows(self, text: str | None, size: int) -> list[bytes]:
+        codes = b"".join(map(self.__getitem__, words(text)))
+        return [codes[i:i + CODE * size] for i in range(0, len(codes), CODE * size)]
 
 
 @dataclass
 class Model:
-    toxic: bytes                # dictionary contents; empty: no model
+    toxic: bytes                    # dictionary contents; empty: no model
     ordinary: bytes
+    stems: frozenset[bytes]
     window: int
-    threshold: int              # least distance of a toxic window
+    threshold: int                  # least distance of a toxic window
     weights: tuple[float, float]
 
     def scorer(self):
         if not self.toxic:
             return lambda text: (0.0, 0, 0)
-        near, far = _compressor(self.toxic), _compressor(self.ordinary)
+        near, far, codes = _compressor(self.toxic), _compressor(self.ordinary), Codes(self.stems)
         a, b = self.weights
 
         def score(text: str | None) -> tuple[float, int, int]:
-            found = distances(text, near, far, self.window)
+            found = distances(codes.windows(text, self.window), near, far)
             hits = [d for d in found if d >= self.threshold]
             return 1 / (1 + math.exp(-(a + b * math.log1p(sum(hits))))), len(hits), len(found)
         return score
 
 
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
+    params = zstd.ZstdCompressionParameters(
+        window_log=17, hash_log=14, chain_log=14, search_log=4, min_match=5, strategy=zstd.STRATEGY_GREEDY,
+        write_content_size=0, write_checksum=0, write_dict_id=0)
     d = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
-    d.precompute_compress(level=LEVEL)
-    return zstd.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False,
-                               write_dict_id=False)
+    d.precompute_compress(compression_params=params)
+    return zstd.ZstdCompressor(dict_data=d, compression_params=params)
 
 
-def distances(text: str | None, near: zstd.ZstdCompressor, far: zstd.ZstdCompressor, size: int) -> list[int]:
-    return [len(far.compress(w)) - len(near.compress(w)) for w in windows(text, size)]
+def distances(windows: list[bytes], near: zstd.ZstdCompressor, far: zstd.ZstdCompressor) -> list[int]:
+    return [len(far.compress(w)) - len(near.compress(w)) for w in windows]
 
 
 # ------------------------------------------------------------------- training
 
 def _uses(texts: list[str]) -> dict[bytes, int]:
-    """Distinct neighbourhoods of each word."""
+    """Uses of each stem and word: its distinct neighbourhoods or its documents,
+    whichever are fewer, so that neither copies of a passage nor one long text
+    count much."""
     around: dict[bytes, set] = defaultdict(set)
+    docs: Counter = Counter()
     for t in texts:
         w = [b"", *words(t), b""]
+        found = defaultdict(set)
         for before, word, after in zip(w, w[1:], w[2:]):
-            around[word].add(xxhash.xxh3_64_intdigest(before + b" " + after))
-    return {w: len(s) for w, s in around.items()}
+            found[word].add(hash((before, after)))
+        stems = set()
+        for word, places in found.items():
+            for u in units(word):
+                around[u] |= places
+                stems.add(u)
+        docs.update(stems)
+    return {u: min(len(s), docs[u]) for u, s in around.items()}
 
 
 def _evidence(a: int, b: int, na: int, nb: int) -> float:
@@ -127,35 +139,47 @@ def _evidence(a: int, b: int, na: int, nb: int) -> float:
     return 2 * ((a * math.log(a / ea) if a else 0) + (b * math.log(b / eb) if b else 0))
 
 
-def _dictionary(codes: list[bytes], kinds: int) -> bytes:
-    """A trained dictionary; too few samples to train on stand for themselves."""
+def _dictionary(codes: list[bytes]) -> bytes:
+    """A dictionary trained on the codes; codes that training left out (or all,
+    where there are too few samples to train on) are put in front."""
+    kinds = sorted(set(codes))
     try:
-        return zstd.train_dictionary(max(1024, 16 * kinds), codes, k=16, d=8).as_bytes()
+        content = zstd.train_dictionary(max(1024, 2 * CODE * len(kinds)), codes, k=CODE, d=8).as_bytes()
     except zstd.ZstdError:
-        return b"".join(sorted(set(codes)))
+        content = b""
+    whole = b"".join(c for c in kinds if c not in content) + content
+    return whole + bytes(CODE)      # a compressor does not index a dictionary's last bytes
 
 
 def fit(toxic: list[str], ordinary: list[str], window: int = 16) -> Model:
     """Dictionaries, window threshold and score curve from labelled texts."""
     toxic, ordinary = sorted(t for t in toxic if t), sorted(t for t in ordinary if t)
-    ut, uo = _uses(toxic), _uses(ordinary)
-    nt, no = sum(ut.values()), sum(uo.values())
+    nt, no = len(toxic), len(ordinary)
+    none = Model(b"", b"", frozenset(), window, 0, (0.0, 0.0))
     if not nt or not no:
-        return Model(b"", b"", window, 0, (0.0, 0.0))
-    over = {w for w, a in ut.items()
-            if a / nt > RATIO * (uo.get(w, 0) + 0.5) / no and _evidence(a, uo.get(w, 0), nt, no) > EVIDENCE}
-    if not over:
-        return Model(b"", b"", window, 0, (0.0, 0.0))
-    under = set(sorted(uo, key=lambda w: (ut.get(w, 0) / nt - uo[w] / no, w))[:len(over)]) - over
-    count = lambda texts, kind: Counter(w for t in texts for w in words(t) if w in kind)
-    spread = lambda c: [_CODES[w] for w in sorted(c) for _ in range(min(c[w], 200))]
-    content = [_dictionary(spread(count(texts, kind)), len(kind)) for texts, kind in ((toxic, over), (ordinary, under))]
+        return none
+    ut, uo = _uses(toxic), _uses(ordinary)
+
+    def pure(u: bytes) -> bool:
+        a, b = ut[u], uo.get(u, 0)
+        return a / nt >= PURITY * (a / nt + b / no) and _evidence(a, b, nt, no) > EVIDENCE
+    found = {u for u in ut if pure(u)}
+    stems = frozenset(u for u in found if not any(p in found for p in units(u)[:-1]))
+    if not stems:
+        return none
+    codes = Codes(stems)
+    count = Counter(codes[w] for t in toxic for w in words(t))
+    mine = {xxhash.xxh3_128_digest(u) for u in stems}
+    plain = Counter(codes[w] for t in ordinary for w in words(t))
+    common = set(sorted((c for c in plain if not count[c]), key=lambda c: (-plain[c], c))[:len(stems)])
+    spread = lambda kinds, n: [c for c in sorted(kinds) for _ in range(min(n[c], 200))]
+    content = [_dictionary(spread(mine, count)), _dictionary(spread(common, plain))]
     near, far = map(_compressor, content)
-    found = [[distances(t, near, far, window) for t in texts] for texts in (toxic, ordinary)]
+    measured = [[distances(codes.windows(t, window), near, far) for t in texts] for texts in (toxic, ordinary)]
 
     # the window threshold that separates the documents best
     def sums(k: int) -> list[np.ndarray]:
-        return [np.array([sum(d for d in one if d >= k) for one in docs]) for docs in found]
+        return [np.array([sum(d for d in one if d >= k) for one in docs]) for docs in measured]
 
     def right(k: int) -> float:
         t, o = sums(k)
@@ -174,7 +198,7 @@ def fit(toxic: list[str], ordinary: list[str], window: int = 16) -> Model:
         a, b = a + step[0], b + step[1]
         if np.abs(step).max() < 1e-9:
             break
-    return Model(content[0], content[1], window, threshold, (float(a), float(b)))
+    return Model(content[0], content[1], stems, window, threshold, (float(a), float(b)))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample: int, longest: int,
