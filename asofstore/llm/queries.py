@@ -96,7 +96,7 @@ def op5_chat_format(spark, sf_dir):
 def op6_toxicity_distance(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(*toxicity.training_sample(docs, labels, fold(3) != 1, sample=3000, longest=20_000))
+    model = toxicity.fit(*toxicity.training_sample(docs, labels, fold(3) != 1, sample=2000, longest=20_000))
     held = F.coalesce(fold(3) == 1, F.lit(False))
     return toxicity.score(docs, model, cut=0.7).select(
         "doc_id", held.alias("held_out"), "score", "predicted", "toxic_windows", "n_windows")

@@ -10,8 +10,8 @@ compresses alike with both. The positive distances of a document's windows,
 from a calibrated threshold on, are summed, and a logistic curve fitted on the
 training documents turns the sum into a score.
 
-**Training** uses a bounded sample: ``sample`` documents per label (parameter),
-of at most ``longest`` bytes each. Wording that both classes share says
+**Training** uses a bounded sample: about ``sample`` toxic and three times as
+many ordinary documents (parameter), of at most ``longest`` bytes each. Wording that both classes share says
 nothing, so each dictionary is trained on the windows' words that its class
 alone uses (see :func:`_uses`). Both dictionaries have the same number of words.
 Everything else covers whole texts of all rows.
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 STEMS = (4, 6, 8)   # letters of the stems that are tried before the whole word
+LEAST = 4           # documents that must use a stem
 CODE = 16           # long enough that one matched word pays for a compressed block
 PURITY, EVIDENCE = 0.99, 15.0   # share of a class in a stem's uses (at equal class sizes), log-likelihood ratio
 _SPACED = bytes((c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128)
@@ -114,23 +115,34 @@ def distances(windows: list[bytes], near: zstd.ZstdCompressor, far: zstd.ZstdCom
 
 # ------------------------------------------------------------------- training
 
+def _documents(texts: list[str], wanted: set[bytes] | None = None) -> Counter:
+    """Documents that use each (wanted) stem or word."""
+    of: dict[bytes, list[bytes]] = {}
+    docs: Counter = Counter()
+    for t in texts:
+        found = set()
+        for w in set(words(t)):
+            if w not in of:
+                of[w] = [u for u in units(w) if wanted is None or u in wanted]
+            found.update(of[w])
+        docs.update(found)
+    return docs
+
+
 def _uses(texts: list[str]) -> dict[bytes, int]:
-    """Uses of each stem and word: its distinct neighbourhoods or its documents,
-    whichever are fewer, so that neither copies of a passage nor one long text
-    count much."""
+    """Uses of each stem and word that ``LEAST`` documents have: its distinct
+    neighbourhoods or its documents, whichever are fewer, so that neither copies
+    of a passage nor one long text count much."""
+    docs = {u: n for u, n in _documents(texts).items() if n >= LEAST}
     around: dict[bytes, set] = defaultdict(set)
-    docs: Counter = Counter()
+    of: dict[bytes, list[bytes]] = {}
     for t in texts:
         w = [b"", *words(t), b""]
-        found = defaultdict(set)
         for before, word, after in zip(w, w[1:], w[2:]):
-            found[word].add(hash((before, after)))
-        stems = set()
-        for word, places in found.items():
-            for u in units(word):
-                around[u] |= places
-                stems.add(u)
-        docs.update(stems)
+            if word not in of:
+                of[word] = [u for u in units(word) if u in docs]
+            for u in of[word]:
+                around[u].add((before, after))
     return {u: min(len(s), docs[u]) for u, s in around.items()}
 
 
@@ -158,7 +170,8 @@ def fit(toxic: list[str], ordinary: list[str], window: int = 16) -> Model:
     none = Model(b"", b"", frozenset(), window, 0, (0.0, 0.0))
     if not nt or not no:
         return none
-    ut, uo = _uses(toxic), _uses(ordinary)
+    ut = _uses(toxic)
+    uo = _documents(ordinary, set(ut))
 
     def pure(u: bytes) -> bool:
         a, b = ut[u], uo.get(u, 0)
@@ -204,10 +217,11 @@ def fit(toxic: list[str], ordinary: list[str], window: int = 16) -> Model:
 def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample: int, longest: int,
                     id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic") -> tuple[list[str], list[str]]:
-    """At most ``2 * sample`` texts per label, drawn by a hash of the id.
+    """About ``sample`` toxic and ``3 * sample`` ordinary texts, at most twice as
+    many, drawn by a hash of the id.
 
     The ids are drawn from the labels first; their number is bounded by
-    ``4 * sample``, so they are broadcast and only their texts leave the scan.
+    ``8 * sample``, so they are broadcast and only their texts leave the scan.
     """
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & usable)
              .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("int").alias("_y")))
@@ -215,7 +229,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample:
     draw = (F.xxhash64("_id") / F.lit(2.0 ** 63) + 1) / 2
     ids = None
     for y, total in n.items():
-        one = known.where((F.col("_y") == y) & (draw < min(1.0, sample / total))).limit(2 * sample)
+        most = sample * (1 if y else 3)
+        one = known.where((F.col("_y") == y) & (draw < min(1.0, most / total))).limit(2 * most)
         ids = one if ids is None else ids.union(one)
     if ids is None:
         return [], []
