@@ -24,15 +24,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcast a calendar map only when its analytical row bound is below this.
-MAX_BROADCAST_MAP_ROWS = 5_000_000
+# Broadcast a calendar map only when its analytical bound is below this many
+# bytes, at 64 bytes a row (a few longs and dates as they are held in memory).
+MAX_BROADCAST_MAP_BYTES = 64 << 20
+MAP_ROW_BYTES = 64
 
 
 def with_session_date(results: DataFrame) -> DataFrame:
-    """Add ``d``: the session timestamp truncated to a date (F1)."""
+    """Add ``d``: the session timestamp truncated to a date (F1); a NaN measure
+    becomes NULL, wherever the rows come from (T20)."""
     if "d" in results.columns:
         return results
-    return results.withColumn("d", F.to_date("date"))
+    kinds = dict(results.dtypes)
+    clean = {c: F.when(~F.isnan(c), F.col(c)) for c in ("position", "gridposition", "points")
+             if kinds.get(c) in ("double", "float")}
+    return results.withColumns({**clean, "d": F.to_date("date")})
 
 
 def _in_years(col, year_start, year_stop):
@@ -66,7 +72,7 @@ def maybe_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
     Without a bound the optimizer decides from statistics (and AQE from
     runtime sizes), which keeps a shuffle join available for large inputs.
     """
-    if row_bound is not None and row_bound <= MAX_BROADCAST_MAP_ROWS:
+    if row_bound is not None and row_bound * MAP_ROW_BYTES <= MAX_BROADCAST_MAP_BYTES:
         return F.broadcast(df)
     return df
 
@@ -160,19 +166,21 @@ def sessions_known_at(results: DataFrame, year_start: int | None = None,
                       year_stop: int | None = None) -> DataFrame:
     """Per reference date: number of sessions, and their points, known at it (J1 as counts).
 
-    Sessions are first reduced to one row per date, then accumulated over
-    dates; the inequality join runs between two calendar-sized relations.
+    Sessions are first reduced to one row per date; running sums over the
+    calendar's dates answer every reference date, linear in the history. The
+    window reads a row per date and reference season.
     """
     s = with_session_date(results)
-    per_day = s.groupBy("d").agg(F.count(F.lit(1)).alias("n"),
-                                 F.sum("points").alias("p"))
-    dates = maybe_broadcast(dim_dates(results, year_start, year_stop),
-                            date_bound(year_start, year_stop))
-    j = per_day.join(dates, F.col("d") <= F.col("dt_ref"))
-    return j.groupBy("dt_ref", "ref_year").agg(
-        F.sum("n").alias("n_sessions"),
-        F.sum("p").alias("sum_points"),
-        F.count(F.lit(1)).alias("n_session_dates"))
+    per_day = (s.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.sum("points").alias("p"))
+               .select(F.col("d").alias("t"), "n", "p", F.lit(1).alias("k"), F.lit(0).alias("phase")))
+    dates = dim_dates(results, year_start, year_stop).select(F.col("dt_ref").alias("t"), "ref_year",
+                                                             F.lit(1).alias("phase"))
+    w = Window.partitionBy(F.lit(0)).orderBy("t", "phase").rowsBetween(Window.unboundedPreceding, 0)
+    rows = per_day.unionByName(dates, allowMissingColumns=True)
+    return (rows.select("t", "ref_year", "phase", F.sum("n").over(w).alias("n_sessions"),
+                        F.sum("p").over(w).alias("sum_points"), F.sum("k").over(w).cast("long").alias("n_session_dates"))
+            .where("phase = 1").select(F.col("t").alias("dt_ref"), "ref_year", "n_sessions", "sum_points",
+                                       "n_session_dates"))
 
 
 def round_window_map(results: DataFrame, year_start: int | None, year_stop: int | None,

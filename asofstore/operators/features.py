@@ -22,19 +22,17 @@ qtde_sessions_with_overtake      position < gridposition
 avg_overtake                     mean of gridposition - position
 ===============================  =====================================================
 
-Two physical forms compute the same rows:
-
-* **Events** (default, every window): a round stays inside the last-N window
-  over one contiguous run of reference dates, so every session counts on an
-  interval of dates. Sessions become entry and exit events, pre-aggregated
-  per (driver, season, date) with map-side combining, and one running-sum
-  window per driver reads all reference dates. Work is linear in the sessions
-  for any N, and per driver the window sees at most a few rows per date,
-  however many sessions a hot driver has.
-* **Fan-out** (``method="fanout"``, used as a cross-check): each session row is
-  equi-joined to a broadcast (reference date, round, rank) map and aggregated
-  per (dt_ref, driverid); join and partial aggregation run in one pipelined
-  stage. The fan-out is about 2N rows per session.
+How the windows are computed:
+
+* **Last N rounds**: each session row is equi-joined to a broadcast calendar map
+  (reference date, round, rank) and aggregated twice: per (dt_ref, driver,
+  session type) into additive state, map-side combined in the stage of the
+  join, then over the at most three session types into the 43 features. All
+  finite windows share one pass: the widest window's rows carry their rank, and
+  a narrower window is a condition on it. Nothing is subtracted, so sums need
+  no scale and keep their precision.
+* **Whole career**: sessions are first reduced to one row per (driver, season,
+  date); one running sum per driver over dates answers every reference date.
 """
 
 from __future__ import annotations
@@ -66,10 +64,6 @@ FAMILIES = [
 ]
 
 
-def _mode_cond(mode):
-    return "TRUE" if mode is None else f"mode = '{mode}'"
-
-
 def feature_specs():
     """``[(name, kind, sql, mode)]`` for the 43 features in output order."""
     specs = [("qtd_seasons", "distinct", None, None),
@@ -98,214 +92,126 @@ def all_feature_names(windows=tuple(WINDOWS)) -> list[str]:
 # Wide generated column lists are built as SQL text: one parse on the JVM
 # side instead of thousands of Python-to-JVM calls per plan.
 
-# ---------------------------------------------------------------- fan-out form
-
-def _distinct_seasons_sql(cond: str, max_rounds: int) -> str:
-    """Exact count of distinct seasons among rows where ``cond`` holds.
+# ------------------------------------------------------------ additive state
 
-    Each row carries ``yk``, the rank of its season inside the window of its
-    reference date (``1 <= yk <= max_rounds``). Seasons are OR-ed into 63-bit
-    words and the set bits counted, so the aggregate stays a fixed-width,
-    code-generated hash aggregate with one shuffle (``count(DISTINCT)`` would
-    add an expand and a second exchange; a set aggregate is not codegen'd).
-    """
-    words = []
-    for word in range((max_rounds + 62) // 63):
-        bits = (f"bit_or(CASE WHEN ({cond}) AND floor((yk - 1) / 63) = {word} "
-                f"THEN shiftleft(1L, CAST((yk - 1) % 63 AS INT)) END)")
-        words.append(f"coalesce(CAST(bit_count({bits}) AS BIGINT), 0L)")
-    return " + ".join(words)
-
-
-def _agg_sql(in_window: str, suffix: str, max_rounds: int) -> list[str]:
-    """Aggregates of the 43 features over rows where ``in_window`` holds."""
-    out = []
-    for name, kind, sql, mode in feature_specs():
-        cond = f"({in_window}) AND {_mode_cond(mode)}"
-        if kind == "distinct":
-            e = _distinct_seasons_sql(cond, max_rounds)
-        elif kind == "count":
-            e = f"CAST(sum(CASE WHEN {cond} AND ({sql}) THEN 1 ELSE 0 END) AS BIGINT)"
-        elif kind == "sum":
-            e = f"sum(CASE WHEN {cond} THEN {sql} END)"
-        else:
-            e = f"avg(CASE WHEN {cond} THEN {sql} END)"
-        out.append(f"{e} AS {name}{suffix}")
-    return out
+_TYPES = (RACE, SPRINT)
 
 
-def finite_window_features(results: DataFrame, year_start: int | None, year_stop: int | None,
-                           windows: dict, year_lag: int = 2,
-                           eligible=None) -> DataFrame:
-    """Fan-out form: features for several finite windows ``{suffix: n_rounds}`` in one pass.
-
-    A (dt_ref, driverid) row is produced when the driver has a session in the
-    largest window; a row belongs to a smaller window when its
-    ``qtd_sessions`` there is positive. Eligibility is applied after the
-    aggregation: it only filters whole groups, and both sides are then
-    partitioned by the same key, so the semi join adds no shuffle of sessions.
-    """
-    s = asof.with_session_date(results)
-    nmax = max(windows.values())
-    m = asof.round_window_map(results, year_start, year_stop, nmax)
-    fan = s.join(m, ["year", "roundnumber"]).where(F.col("d") <= F.col("dt_ref"))
-    exprs = []
-    for suffix, n in windows.items():
-        exprs += _agg_sql("TRUE" if n == nmax else f"rn <= {n}", suffix, nmax)
-    agg = fan.groupBy(*KEYS).agg(*[F.expr(e) for e in exprs])
-    if eligible is False:       # caller applies eligibility through another join
-        return agg
-    if eligible is None:
-        eligible = asof.eligible_drivers(results, year_start, year_stop, year_lag)
-    return agg.join(eligible, KEYS, "left_semi")
-
-
-# ------------------------------------------------------------- cumulative form
-#
-# A round is inside the window of a reference date from the first date it is
-# seen until its rank among seen rounds exceeds N; ranks only grow as dates
-# advance, so those dates form one contiguous run of reference dates, ending
-# at ``last_in``. A session therefore counts at reference date ``dt`` exactly
-# when ``d <= dt <= last_in(round)``: an interval. Each session becomes an
-# entry event at ``d`` and an exit event just after ``last_in``; a running sum
-# per driver over (date, phase) -- entries, then probes, then exits --
-# answers every reference date at once. The whole career is the case without
-# exits. Work is linear in the sessions whatever N is, where the fan-out form
-# costs about 2N rows per session.
-
-# Sums are accumulated as fixed-point integers (6 decimals) so adding and
-# removing values cannot leave floating-point residue.
-_SCALE = 1_000_000
-
-
-def _row_partials() -> list[tuple[str, str]]:
-    """Per-session additive state of the 43 features (seasons apart), as SQL."""
-    out = []
-    for name, kind, sql, mode in feature_specs():
-        mc = _mode_cond(mode)
+def _state() -> list[tuple[str, str]]:
+    """Additive state of one session row, whatever its type: ``[(name, sql)]``."""
+    out = [("n", "1L")]
+    for name, kind, sql in FAMILIES:
         if kind == "count":
-            out.append((f"{name}__c", f"CAST(CASE WHEN {mc} AND ({sql}) THEN 1 ELSE 0 END AS BIGINT)"))
-        elif kind in ("sum", "avg"):
-            v = f"(CASE WHEN {mc} THEN {sql} END)"
-            out.append((f"{name}__s", f"CAST(round({v} * {_SCALE}) AS BIGINT)"))
-            out.append((f"{name}__n", f"CAST(CASE WHEN {v} IS NOT NULL THEN 1 ELSE 0 END AS BIGINT)"))
+            out.append((name, f"CASE WHEN {sql} THEN 1L ELSE 0L END"))
+        else:
+            out.append((f"{name}__s", f"CAST({sql} AS DOUBLE)"))
+            out.append((f"{name}__n", f"CASE WHEN ({sql}) IS NOT NULL THEN 1L ELSE 0L END"))
     return out
 
 
-def _finalize_sql(w: str = "") -> list[str]:
-    out = []
-    for name, kind, _, _ in feature_specs():
-        if kind == "distinct":
-            e = f"coalesce(seasons__d{w}, 0L)"
-        elif kind == "count":
-            e = f"coalesce({name}__c{w}, 0L)"
-        else:
-            sm = f"CAST({name}__s{w} AS DOUBLE) / {_SCALE}"
-            e = f"CASE WHEN {name}__n{w} > 0 THEN {sm if kind == 'sum' else f'{sm} / {name}__n{w}'} END"
-        out.append(f"{e} AS {name}{w}")
+def _total(col: str, mode: str | None) -> str:
+    """Sum of a state column over the rows of a session type, as SQL."""
+    return f"sum({col})" if mode is None else f"sum(CASE WHEN mode = '{mode}' THEN {col} END)"
+
+
+def _features_sql(w: str, seasons: str, total=_total) -> list[str]:
+    """The 43 features of window ``w`` from its state columns ``<name>{w}``."""
+    out = [f"{seasons} AS qtd_seasons{w}",
+           *(f"coalesce({total(f'n{w}', m)}, 0L) AS {name}{w}"
+             for name, m in (("qtd_sessions", None), ("qtd_race", RACE), ("qtd_sprint", SPRINT)))]
+    for name, kind, _ in FAMILIES:
+        for m in (None, *_TYPES):
+            if kind == "count":
+                e = f"coalesce({total(f'{name}{w}', m)}, 0L)"
+            else:
+                sm, n = total(f"{name}__s{w}", m), total(f"{name}__n{w}", m)
+                e = f"CASE WHEN {n} > 0 THEN {sm if kind == 'sum' else f'{sm} / {n}'} END"
+            out.append(f"{e} AS {name}{MODE_SUFFIX[m]}{w}")
     return out
 
 
-def round_exit_map(results: DataFrame, year_start: int | None, year_stop: int | None,
-                   windows: dict) -> DataFrame:
-    """``(year, roundnumber, last_in<w>...)``: per finite window ``w`` of ``n``
-    rounds, the last reference date with the round among the last ``n``.
+# --------------------------------------------------------- the last N rounds
+
+def finite_window_features(results: DataFrame, year_start: int | None, year_stop: int | None,
+                           windows: dict, eligible: DataFrame) -> DataFrame:
+    """Features of several finite windows ``{suffix: n_rounds}`` in one pass.
 
-    Derived from the calendar-sized (date, round) map of the largest window,
-    so it is broadcast under the same row bound.
+    A row is kept where the driver has a session in the smallest window (the
+    windows are nested, so that is the inner join of their stores).
     """
     nmax = max(windows.values())
-    m = asof.last_rounds(results, year_start, year_stop, nmax)
-    x = m.groupBy("year", "roundnumber").agg(
-        *[F.expr(f"max(CASE WHEN rn <= {n} THEN dt_ref END) AS last_in{w}") for w, n in windows.items()])
-    bound = asof.date_bound(year_start, year_stop)
-    return asof.maybe_broadcast(x, None if bound is None else bound * nmax)
-
+    m = asof.round_window_map(results, year_start, year_stop, nmax)
+    s = asof.with_session_date(results).selectExpr(
+        "driverid", "year", "roundnumber", "d",
+        f"CASE WHEN mode IN ({', '.join(repr(t) for t in _TYPES)}) THEN mode END AS mode",
+        *[f"{e} AS {c}" for c, e in _state()])
+    fan = s.join(m, ["year", "roundnumber"]).where("d <= dt_ref")
+    words = range((nmax + 62) // 63)    # seasons of a window, numbered by yk, as bits
+    state = []
+    for w, n in windows.items():
+        inside = "" if n == nmax else f"rn <= {n}"
+        pick = lambda e: f"CASE WHEN {inside} THEN {e} END" if inside else e
+        state += [f"sum({pick(c)}) AS {c}{w}" for c, _ in _state()]
+        for k in words:
+            at = f"floor((yk - 1) / 63) = {k}" + (f" AND {inside}" if inside else "")
+            state.append(f"bit_or(CASE WHEN {at} THEN shiftleft(1L, CAST((yk - 1) % 63 AS INT)) END) AS seasons{k}{w}")
+    per_type = fan.groupBy(*KEYS, "mode").agg(*[F.expr(e) for e in state])
+    feats = []
+    for w in windows:
+        seasons = " + ".join(f"coalesce(CAST(bit_count(bit_or(seasons{k}{w})) AS BIGINT), 0L)" for k in words)
+        feats += _features_sql(w, seasons)
+    out = per_type.groupBy(*KEYS).agg(*[F.expr(e) for e in feats])
+    smallest = min(windows, key=windows.get)
+    return out.where(f"qtd_sessions{smallest} > 0").join(eligible, KEYS, "left_semi")
+
+
+# ---------------------------------------------------------------- the career
 
 _RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
-def window_stores(results: DataFrame, year_start: int | None, year_stop: int | None,
-                  windows: dict, eligible: DataFrame) -> DataFrame:
-    """Features of several windows ``{suffix: n_rounds or None}`` in one pass.
+def career_features(results: DataFrame, eligible: DataFrame, suffix: str = "") -> DataFrame:
+    """Features over all sessions on or before each reference date.
 
-    Returns ``dt_ref, driverid`` and the 43 features of each window with its
-    suffix, probed at ``eligible``. With finite windows, rows are kept where
-    the smallest window holds a session (windows are nested, so that is the
-    inner join of the window stores).
+    Sessions become one row per (driver, date) with their state per session
+    type; the window per driver reads dates, not sessions, so a driver with a
+    third of all sessions does not make a large group.
     """
     s = asof.with_session_date(results)
-    parts = _row_partials()
-    finite = {w: n for w, n in windows.items() if n is not None}
-    incl = {w: ("TRUE" if n is None else f"last_in{w} IS NOT NULL AND d <= last_in{w}")
-            for w, n in windows.items()}
-    cols = {w: [f"{c}{w}" for c, _ in parts] for w in windows}
-    all_cols = [c for w in windows for c in cols[w]]
-
-    if finite:
-        x = round_exit_map(results, year_start, year_stop, finite)
-        how = "left" if len(finite) < len(windows) else "inner"
-        s = s.join(x, ["year", "roundnumber"], how)
-        if how == "inner":      # sessions in no window's rounds do not matter
-            s = s.where(" OR ".join(f"({incl[w]})" for w in finite))
-    entry = s.selectExpr(
-        "driverid", "year", "d AS t", "0 AS phase",
-        *[f"CASE WHEN {incl[w]} THEN {e} END AS {c}{w}" for w in windows for c, e in parts])
-    events = entry
-    for w in finite:
-        exit_ = s.where(incl[w]).selectExpr(
-            "driverid", "year", f"last_in{w} AS t", "2 AS phase",
-            *[f"-({e}) AS {c}{w}" for c, e in parts])
-        events = events.unionByName(exit_, allowMissingColumns=True)
-    # map-side combined: per task at most one row per (driver, season, date, phase)
-    events = events.groupBy("driverid", "year", "t", "phase").agg(
-        *[F.expr(f"sum({c}) AS {c}") for c in all_cols])
-
-    probes = eligible.selectExpr("driverid", "CAST(NULL AS INT) AS year", "dt_ref AS t",
-                                 "1 AS phase")
-    rows = events.unionByName(probes, allowMissingColumns=True).repartition("driverid")
-
-    # distinct seasons: a season is present while the driver has a session of
-    # it inside the window; count presence switches. These windows and the
-    # running sums below run on the driver partitioning made above.
-    season_w = "PARTITION BY driverid, year ORDER BY t, phase"
-    rows = rows.selectExpr("*", *[
-        f"CASE WHEN phase <> 1 THEN CAST(sum(qtd_sessions__c{w}) OVER ({season_w} {_RUNNING}) > 0"
-        f" AS INT) ELSE 0 END AS _on{w}" for w in windows])
-    rows = rows.selectExpr("*", *[
-        f"CASE WHEN phase <> 1 THEN _on{w} - lag(_on{w}, 1, 0) OVER ({season_w}) ELSE 0 END"
-        f" AS seasons__d{w}" for w in windows])
-
-    driver_w = f"PARTITION BY driverid ORDER BY t, phase {_RUNNING}"
-    run_cols = all_cols + [f"seasons__d{w}" for w in windows]
-    running = rows.selectExpr("driverid", "t", "phase",
-                              *[f"sum({c}) OVER ({driver_w}) AS {c}" for c in run_cols])
-    running = running.where("phase = 1")
-    if finite:
-        smallest = min(finite, key=finite.get)
-        running = running.where(f"qtd_sessions__c{smallest} > 0")
-    return running.selectExpr("t AS dt_ref", "driverid",
-                              *[e for w in windows for e in _finalize_sql(w)])
+    total = lambda c, m: c if m is None else f"{c}_{m}"
+    cols = [(total(c, m), f"sum({e if m is None else f'CASE WHEN mode = {m!r} THEN {e} END'})")
+            for c, e in _state() for m in (None, *_TYPES)]
+    first = s.groupBy("driverid", "year").agg(F.min("d").alias("d")).groupBy("driverid", "d").agg(
+        F.count("*").alias("seasons"))
+    days = (s.groupBy("driverid", "d").agg(*[F.expr(f"{e} AS {c}") for c, e in cols])
+            .join(first, ["driverid", "d"], "left").withColumnRenamed("d", "t").withColumn("phase", F.lit(0)))
+    probes = eligible.selectExpr("driverid", "dt_ref AS t", "1 AS phase")
+    rows = days.unionByName(probes, allowMissingColumns=True)
+    over = f"OVER (PARTITION BY driverid ORDER BY t, phase {_RUNNING})"
+    running = rows.selectExpr("driverid", "t", "phase", f"sum(seasons) {over} AS seasons",
+                              *[f"sum({c}) {over} AS {c}{suffix}" for c, _ in cols]).where("phase = 1")
+    named = lambda c, m: c if m is None else f"{c[:len(c) - len(suffix)]}_{m}{suffix}"
+    out = running.selectExpr("t AS dt_ref", "driverid",
+                             *_features_sql(suffix, "coalesce(seasons, 0L)", named))
+    return out.where(f"qtd_sessions{suffix} > 0")
 
 
 # ------------------------------------------------------------------ public API
 
 def window_features(results: DataFrame, year_start: int | None = None,
                     year_stop: int | None = None, last_rounds: int | None = 10,
-                    year_lag: int = 2, order: bool = False,
-                    method: str = "events") -> DataFrame:
+                    year_lag: int = 2, order: bool = False, probes: DataFrame | None = None) -> DataFrame:
     """``(dt_ref, driverid, 43 features)`` over the last ``last_rounds`` rounds.
 
     ``last_rounds=None`` means the whole career. ``order=True`` adds the final
     ``dt_ref DESC, driverid`` sort (a range shuffle); stores do not need it.
-    ``method="fanout"`` selects the join-and-aggregate form (same rows).
+    ``probes`` limits the rows to given (dt_ref, driverid) pairs, for repairs.
     """
     elig = asof.eligible_drivers(results, year_start, year_stop, year_lag)
-    if method == "fanout" and last_rounds is not None:
-        out = finite_window_features(results, year_start, year_stop, {"": last_rounds},
-                                     year_lag, elig)
-    else:
-        out = window_stores(results, year_start, year_stop, {"": last_rounds}, elig)
+    if probes is not None:
+        elig = elig.join(probes, KEYS, "left_semi")
+    out = (career_features(results, elig) if last_rounds is None else
+           finite_window_features(results, year_start, year_stop, {"": last_rounds}, elig))
     out = out.select(*KEYS, *FEATURE_NAMES)
     if order:
         out = out.orderBy(F.col("dt_ref").desc(), F.col("driverid"))
@@ -338,17 +244,18 @@ def consolidated_features(results: DataFrame, year_start: int | None = None,
                           with_id: bool = True) -> DataFrame:
     """The consolidated store: ``id, dt_ref, driverid``, 4 x 43 features, attributes.
 
-    One event pass per window (a single pass over all windows was measured
-    slower: a 224-column running window), inner-joined on (dt_ref, driverid).
-    Every pass ends in a window partitioned by driver, so the joins need no
-    further shuffle of the window outputs. The eligible set is shared.
+    One pass for all finite windows and one for the career, inner-joined on
+    (dt_ref, driverid). Columns that a query does not read are pruned from the
+    aggregates and windows below.
     """
     windows = dict(WINDOWS if windows is None else windows)
     elig = asof.eligible_drivers(results, year_start, year_stop, year_lag)
-    out = None
-    for w, n in windows.items():
-        part = window_stores(results, year_start, year_stop, {f"_{w}": n}, elig)
-        out = part if out is None else out.join(part, KEYS, "inner")
+    finite = {f"_{w}": n for w, n in windows.items() if n is not None}
+    parts = [finite_window_features(results, year_start, year_stop, finite, elig)] if finite else []
+    parts += [career_features(results, elig, f"_{w}") for w, n in windows.items() if n is None]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part, KEYS, "inner")
 
     attrs = _attributes(results, dedupe)
     out = out.join(attrs, KEYS, "left")

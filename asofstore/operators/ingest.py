@@ -13,13 +13,17 @@ MAX_ROUNDS = 29
 MODES = (RACE, SPRINT)
 
 
-def session_grid(seasons: DataFrame, max_rounds: int = MAX_ROUNDS, modes=MODES) -> DataFrame:
+def session_grid(seasons: DataFrame, max_rounds: int = MAX_ROUNDS, modes=MODES,
+                 years: tuple[int, int] | None = None) -> DataFrame:
     """``(year, roundnumber, mode)`` candidates: seasons x rounds 1..max x modes.
 
-    Generated with ``explode`` per season row -- no cross join.
+    ``years`` gives the seasons as an inclusive range, so that a season without
+    a landed session is a candidate too; without it they are those of
+    ``seasons``. Generated with ``explode`` per season row -- no cross join.
     """
-    return (seasons.select(F.col("year").cast("int").alias("year")).distinct()
-            .withColumn("roundnumber", F.explode(F.sequence(F.lit(1), F.lit(max_rounds))))
+    base = (seasons.select(F.col("year").cast("int").alias("year")).distinct() if years is None else
+            seasons.sparkSession.range(years[0], years[1] + 1).select(F.col("id").cast("int").alias("year")))
+    return (base.withColumn("roundnumber", F.explode(F.sequence(F.lit(1), F.lit(max_rounds))))
             .withColumn("mode", F.explode(F.array(*[F.lit(m) for m in modes]))))
 
 
@@ -43,7 +47,7 @@ def enrich_sessions(results: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def session_files(landed: DataFrame, raw_dir: str = "data/raw",
-                  bucket_folder: str = "f1/results") -> DataFrame:
+                  bucket_folder: str = "landed") -> DataFrame:
     """Per landed session: its file name ``{year}_{round:02}_{code}.parquet``,
     the local path and the object-store key built from the file name (F12)."""
     s = landed.select("year", "roundnumber", "mode").distinct()

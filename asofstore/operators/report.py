@@ -8,7 +8,7 @@ whole driver's rows in one task, and ties resolve deterministically.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import team_color
@@ -72,14 +72,22 @@ def driver_colors(filtered: DataFrame) -> DataFrame:
     return c.groupBy("fullname_correct").agg(last["color"].alias("color"))
 
 
-def prob_pivot(filtered: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Rows ``dt_ref``, one column per driver name, mean ``prob_win``.
+def driver_slots(drivers: DataFrame) -> DataFrame:
+    """``(driverid, slot)``: chosen drivers numbered from 1 by name, then id.
+
+    The chosen drivers of a report are a handful (the top ``k``).
+    """
+    w = Window.orderBy("fullname_correct", "driverid")
+    return drivers.select("driverid", F.row_number().over(w).alias("slot"))
+
+
+def prob_pivot(filtered: DataFrame, names: list | None = None, by: str = "fullname_correct") -> DataFrame:
+    """Rows ``dt_ref``, one column per driver, mean ``prob_win``.
 
     Pass ``names`` to fix the columns (no extra job to find them).
     """
     g = filtered.groupBy("dt_ref")
-    return (g.pivot("fullname_correct", names) if names is not None
-            else g.pivot("fullname_correct")).agg(F.avg("prob_win"))
+    return (g.pivot(by, names) if names is not None else g.pivot(by)).agg(F.avg("prob_win"))
 
 
 def attach_scores(rows: DataFrame, scores: DataFrame, key: str = "id") -> DataFrame:

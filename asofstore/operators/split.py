@@ -52,7 +52,6 @@ def stratified_split(units: DataFrame, train_frac: float = 0.8, seed: int = 42,
     label; the final rank is taken inside a bucket. No task holds more than
     one bucket of one label.
     """
-    nb = 16 ** buckets_hex
     u = units.withColumn("_h", _hash_key(seed)).withColumn(
         "_b", F.conv(F.substring("_h", 1, buckets_hex), 16, 10).cast("int"))
     sizes = u.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_m"))
@@ -61,8 +60,8 @@ def stratified_split(units: DataFrame, train_frac: float = 0.8, seed: int = 42,
              .withColumn("_off", F.coalesce(F.sum("_m").over(
                  wl.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
              .withColumn("_k", F.floor(F.lit(train_frac) * F.sum("_m").over(wl))))
-    # one row per (label, bucket): bounded by 2 * 16**buckets_hex for a 0/1 label
-    sizes = F.broadcast(sizes.select(label, "_b", "_off", "_k")) if nb <= 65536 else sizes
+    # one row per (label, bucket); AQE broadcasts it by its measured size
+    sizes = sizes.select(label, "_b", "_off", "_k")
     j = u.join(sizes, [label, "_b"])
     pos = F.col("_off") + F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h"))
     return (j.withColumn("split", F.when(pos <= F.col("_k"), "train").otherwise("test"))

@@ -128,6 +128,7 @@ def q_feature_id(spark, sf):
 # ------------------------------------------------------------ step 3: labels, ABT
 
 from ..functions import scalar as SC  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
 from ..operators import labels as LB  # noqa: E402
 from ..operators import metrics as MT  # noqa: E402
 from ..operators import report as RP  # noqa: E402
@@ -140,22 +141,18 @@ DROP_LATEST, TRAIN_FRAC, SEED = 6, 0.8, 42
 
 _LABEL_CTES = f"""{OF.consolidated_ctes(YEAR_START, YEAR_STOP)},
 season_points AS (
-  SELECT CAST(year AS INT) AS year, driverid, SUM(points) AS totalpoints
+  SELECT CAST(year AS INT) AS year, driverid, sum(points) AS totalpoints
   FROM session_results
-  WHERE mode IN ('Race', 'Sprint') AND year <> EXTRACT(year FROM CURRENT_DATE)
-  GROUP BY year, driverid),
+  WHERE (mode = 'Race' OR mode = 'Sprint') AND NOT year = year(current_date)
+  GROUP BY ALL),
 season_champions AS (
-  SELECT * FROM (
-    SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY year ORDER BY totalpoints DESC, driverid) AS INT)
-           AS rankdriver
-    FROM season_points) AS r
-  WHERE rankdriver = 1),
+  SELECT p.*, 1 AS rankdriver FROM season_points AS p
+  WHERE p.driverid = (SELECT min(q.driverid) FROM season_points AS q WHERE q.year = p.year
+    AND q.totalpoints = (SELECT max(r.totalpoints) FROM season_points AS r WHERE r.year = q.year))),
 abt AS (
-  SELECT t1.*, COALESCE(t2.rankdriver, 0) AS flchampion
-  FROM fs_all AS t1
-  LEFT JOIN season_champions AS t2
-    ON t1.driverid = t2.driverid AND EXTRACT(YEAR FROM t1.dt_ref) = t2.year
-  WHERE t1.dt_ref >= DATE '{ABT_START}' AND t1.dt_ref < DATE '{ABT_STOP}'),
+  SELECT fs_all.*, CASE WHEN (year(dt_ref), driverid) IN (SELECT (year, driverid) FROM season_champions)
+    THEN 1 ELSE 0 END AS flchampion
+  FROM fs_all WHERE dt_ref BETWEEN DATE '{ABT_START}' AND DATE '{ABT_STOP}' - INTERVAL 1 DAY),
 abty AS (SELECT *, CAST(year(dt_ref) AS INT) AS year FROM abt),
 analytics AS (SELECT * FROM abty WHERE year < {OOT_YEAR}),
 oot AS (SELECT * FROM abty WHERE year = {OOT_YEAR}),
@@ -187,20 +184,18 @@ def _labels(select: str) -> str:
     return f"WITH {_LABEL_CTES}\n{select}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the cluster's checkpoint folder and read it back.
-
-    Used where one query reads the same expensive relation several times:
-    the plan below is computed once, lineage is cut, and lost executors
-    re-read the checkpoint instead of recomputing the store.
-    """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def features_all(spark, sf):
+    """The consolidated store, lazily: a query that reads a few columns makes
+    only those."""
+    return FE.consolidated_features(results(spark, sf), YEAR_START, YEAR_STOP)
 
 
-def features_all(spark, sf):
-    return materialize(FE.consolidated_features(results(spark, sf), YEAR_START, YEAR_STOP))
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, where one query reads an
+    expensive relation several times."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def champions(spark, sf):
@@ -381,7 +376,7 @@ def scored_store(spark, sf):
 
 
 def named_store(spark, sf):
-    return materialize(RP.attach_names(scored_store(spark, sf)))
+    return RP.attach_names(scored_store(spark, sf))
 
 
 def filtered_report(spark, sf):
@@ -441,10 +436,15 @@ def q_driver_colors(spark, sf):
 
 
 @register("prob_pivot", _report(
-    "PIVOT (SELECT dt_ref, fullname_correct, prob_win FROM filtered)"
-    " ON fullname_correct USING avg(prob_win) GROUP BY dt_ref"))
+    "SELECT dt_ref, " + ", ".join(f"avg(CASE WHEN slot = {k} THEN prob_win END) AS driver_{k}" for k in (1, 2, 3))
+    + " FROM filtered JOIN (SELECT driverid, row_number() OVER (ORDER BY fullname_correct, driverid) AS slot"
+    " FROM defaults) AS s USING (driverid) GROUP BY dt_ref"))
 def q_prob_pivot(spark, sf):
-    return RP.prob_pivot(filtered_report(spark, sf))
+    named = named_store(spark, sf)
+    slots = RP.driver_slots(RP.default_drivers(named))
+    rows = filtered_report(spark, sf).join(slots, "driverid")
+    wide = RP.prob_pivot(rows, [1, 2, 3], by="slot")
+    return wide.select("dt_ref", *[F.col(str(k)).alias(f"driver_{k}") for k in (1, 2, 3)])
 
 
 @register("attach_scores", _report(
@@ -459,11 +459,17 @@ def q_attach_scores(spark, sf):
 
 
 @register("score_payload", _report(
-    "SELECT DISTINCT id, printf('{\"0\":%.6f,\"1\":%.6f}', round(1 - prob_win, 6), round(prob_win, 6))"
-    " AS payload FROM sc"))
+    "SELECT dt_ref, id, key, CASE key WHEN '0' THEN 1 - prob_win ELSE prob_win END AS probability"
+    " FROM (SELECT DISTINCT dt_ref, id, prob_win FROM sc) AS u, (VALUES ('0'), ('1')) AS k(key)"))
 def q_score_payload(spark, sf):
-    sc = scored_store(spark, sf).select("id", "prob_win").distinct()
-    return sc.select("id", SC.prediction_payload(F.col("prob_win")).alias("payload")).distinct()
+    """One response per reference date, read back: the text keeps full precision."""
+    from pyspark.sql import types as T
+    sc = RP.require_unique(scored_store(spark, sf).select("dt_ref", "id", "prob_win").distinct(), "id")
+    texts = sc.groupBy("dt_ref").agg(SC.response(F.col("id"), F.col("prob_win")).alias("payload"))
+    shape = T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))
+    body = F.from_json("payload", T.StructType([T.StructField("predictions", shape)]))["predictions"]
+    return (texts.select("dt_ref", F.explode(body).alias("id", "_p"))
+            .select("dt_ref", "id", F.explode("_p").alias("key", "probability")))
 
 
 _PAYLOAD_FEATS = ["qtde_points_last_10", "qtde_points_life", "qtd_sessions_last_10"]
@@ -484,7 +490,6 @@ def q_payload_records(spark, sf):
 # ------------------------------------------------------------ step 7: ingestion and sinks
 
 from ..operators import ingest as IG  # noqa: E402
-from ..session import scratch_dir  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..sources.tables import read_table  # noqa: E402
 from ..sources.upsert import upsert  # noqa: E402
@@ -494,10 +499,12 @@ _SR = f"WITH session_results AS ({OF.SESSION_RESULTS_SQL})"
 
 
 @register("session_grid", f"{_SR}\nSELECT y.year, CAST(r.roundnumber AS INT) AS roundnumber, m.mode"
-          " FROM (SELECT DISTINCT year FROM session_results) AS y,"
-          " range(1, 30) AS r(roundnumber), (VALUES ('Race'), ('Sprint')) AS m(mode)")
+          f" FROM (SELECT CAST(y AS INT) AS year FROM range({YEAR_START}, {YEAR_STOP + 2}) AS s(y)) AS y,"
+          " range(1, 30) AS r(roundnumber), (VALUES ('Race'), ('Sprint')) AS m(mode)"
+          " WHERE EXISTS (SELECT 1 FROM session_results)")
 def q_session_grid(spark, sf):
-    return IG.session_grid(results(spark, sf))
+    """Up to the season after the last one landed, which has no session yet."""
+    return IG.session_grid(results(spark, sf), years=(YEAR_START, YEAR_STOP + 1))
 
 
 @register("missing_sessions", f"{_SR},\n"
@@ -550,7 +557,7 @@ def q_enrich_sessions(spark, sf):
           " 'data/raw/' || printf('%d_%02d_%s.parquet', year, roundnumber, substr(mode, 1, 1)) AS path"
           " FROM session_results)"
           " SELECT year, roundnumber, mode, path, regexp_extract(path, '[^/]+$') AS file,"
-          " 'f1/results/' || regexp_extract(path, '[^/]+$') AS bucket_path FROM f")
+          " 'landed/' || regexp_extract(path, '[^/]+$') AS bucket_path FROM f")
 def q_session_file_name(spark, sf):
     return IG.session_files(results(spark, sf))
 
@@ -589,8 +596,10 @@ def q_upsert_features(spark, sf):
     part = F.year("dt_ref").alias("dt_year")
     before = FE.window_features(early, YEAR_START, YEAR_STOP, None)
     before.select("*", part).write.mode("overwrite").partitionBy("dt_year").parquet(table)
-    redo = (FE.window_features(res, YEAR_START, YEAR_STOP, None)
-            .join(F.broadcast(first_late), F.col("dt_ref") >= F.col("d0")).drop("d0"))
+    dates = asof.dim_dates(res, YEAR_START, YEAR_STOP)
+    later = dates.join(F.broadcast(first_late), F.col("dt_ref") >= F.col("d0")).select("dt_ref").distinct()
+    probes = asof.eligible_drivers(res, YEAR_START, YEAR_STOP).join(later, "dt_ref", "left_semi")
+    redo = FE.window_features(res, YEAR_START, YEAR_STOP, None, probes=probes)
     upsert(spark, table, redo.select("*", part), ["dt_ref", "driverid"], "dt_year")
     return spark.read.parquet(table).drop("dt_year")
 
@@ -598,7 +607,7 @@ def q_upsert_features(spark, sf):
 @register("stream_ingest", OF.SESSION_RESULTS_SQL)
 def q_stream_ingest(spark, sf):
     """Session files land in three groups; a stream merges them into bronze."""
-    res = results(spark, sf)
+    res = written(results(spark, sf), "sessions")
     root = scratch_dir(spark, "ingest")
     landing, bronze = f"{root}/landing", f"{root}/bronze"
     for cond in (F.col("year") <= 1996, F.col("year").between(1997, 1999), F.col("year") >= 2000):
@@ -623,28 +632,16 @@ def _with_label(df):
     return df.withColumn("label", F.col("flchampion").cast("double"))
 
 
-_FITTED: dict = {}
-
-
 def fit_and_score(spark, sf, model_name):
-    """Fit on the train split and score train/test/OOT; memoised per session and data
-    folder, so the importance, metrics and log queries reuse one fit per model."""
-    key = (spark.sparkContext.applicationId, sf, model_name)
-    if key not in _FITTED:
-        _FITTED[key] = _fit_and_score(spark, sf, model_name)
-    return _FITTED[key]
-
-
-def _fit_and_score(spark, sf, model_name):
+    """Fit on the train split; score train, test and OOT. The scores are written
+    once, so reading them does not fit again."""
     _, oot, _, _, train, test = sampling(spark, sf)
-    train = materialize(_with_label(train))
-    model = ML.pipeline(_FEATS, MODELS[model_name]()).fit(train)
-    parts = [train.withColumn("split", F.lit("train")),
-             _with_label(test).withColumn("split", F.lit("test")),
-             _with_label(oot).withColumn("split", F.lit("oot"))]
-    scored = ML.probability_of_win(model.transform(parts[0].unionByName(parts[1]).unionByName(parts[2])))
-    scored = materialize(scored.select("id", "dt_ref", "driverid", "split", "flchampion", "prob_win"))
-    return model, scored
+    parts = [train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test")),
+             oot.withColumn("split", F.lit("oot"))]
+    rows = written(_with_label(parts[0].unionByName(parts[1]).unionByName(parts[2])), "splits")
+    model = ML.pipeline(_FEATS, MODELS[model_name]()).fit(rows.where("split = 'train'"))
+    scored = ML.probability_of_win(model.transform(rows))
+    return model, written(scored.select("id", "dt_ref", "driverid", "split", "flchampion", "prob_win"), "scores")
 
 
 @register("rf_scores")
@@ -664,7 +661,9 @@ def q_feature_importance(spark, sf):
         model, _ = fit_and_score(spark, sf, name)
         fi = ML.feature_importance(model, _FEATS, spark).withColumn("model", F.lit(name))
         out = fi if out is None else out.unionByName(fi)
-    return out
+    path = scratch_dir(spark, "importance")
+    ML.write_importance(out, path)
+    return spark.read.parquet(path)
 
 
 def _metrics(spark, sf):
@@ -701,13 +700,16 @@ def q_run_log(spark, sf):
 
 @register("batch_scores")
 def q_batch_scores(spark, sf):
-    """Refit on every ABT row (M11), save (S15), load (S16), score the whole store."""
+    """Refit on every ABT row (M11), register (S15, S20), load the newest version
+    (S16, S19), score the whole store (M12)."""
     from pyspark.ml import PipelineModel
-    analytics, oot = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
-    full = materialize(_with_label(analytics.unionByName(oot)))
-    model = ML.pipeline(_FEATS, MODELS["random_forest"]()).fit(full)
-    path = scratch_dir(spark, "model")
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    store = features_all(spark, sf)
+    from ..sources.registry import latest_model, register_model
+    store = written(features_all(spark, sf), "store")
+    abt = LB.abt(store, champions(spark, sf), ABT_START, ABT_STOP)
+    analytics, oot = SP.oot_split(abt, OOT_YEAR)
+    model = ML.pipeline(_FEATS, MODELS["ada_boost"]()).fit(written(_with_label(analytics.unionByName(oot)), "full"))
+    registry = scratch_dir(spark, "registry")
+    register_model(registry, model, "season_title", "1", scratch_dir(spark, "model"), spark)
+    newest = latest_model(spark.read.parquet(registry), "season_title").first()
+    loaded = PipelineModel.load(newest["path"])
     return ML.probability_of_win(loaded.transform(store)).select("id", "dt_ref", "driverid", "prob_win")

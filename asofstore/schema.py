@@ -26,16 +26,6 @@ SESSION_RESULTS = T.StructType([
     T.StructField("teamcolor", T.StringType()),
 ])
 
-# Session context attached at ingestion (event dimension).
-EVENT_CONTEXT = T.StructType([
-    T.StructField("year", T.IntegerType()),
-    T.StructField("roundnumber", T.IntegerType()),
-    T.StructField("mode", T.StringType()),
-    T.StructField("officialeventname", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("location", T.StringType()),
-])
-
 # Session-type names used by the feature definitions.
 RACE = "Race"
 SPRINT = "Sprint"

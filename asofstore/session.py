@@ -6,7 +6,10 @@ takes DataFrames. These helpers are for tests, the bench and the entry point.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a scratch folder is created.
+    is; without it this is an error, as a folder of one machine would be lost
+    with it. Only a local master gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -53,7 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[[^-]*\])?$", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     path = tempfile.mkdtemp(prefix="asof-ckpt-", dir="/tmp")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path
 

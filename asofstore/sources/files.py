@@ -41,8 +41,3 @@ def write_sessions(df: DataFrame, path: str, mode: str = "append") -> None:
     Partition columns make season/round filters prune whole directories.
     """
     df.write.mode(mode).partitionBy("year", "roundnumber", "mode").parquet(path)
-
-
-def landed_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet files of a landing folder, ignoring other files."""
-    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)

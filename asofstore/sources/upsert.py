@@ -1,10 +1,15 @@
 """Keyed upsert (merge) into a partitioned Parquet table.
 
-Plain Parquet has no MERGE: the affected partitions are recomputed as
-``existing LEFT ANTI incoming UNION incoming``, written to a staging folder,
-and then swapped in with a dynamic partition overwrite. The table path is
-never written while it is being read, and partitions without incoming rows
-are not touched.
+Plain Parquet has no MERGE. Incoming rows are written to a staging folder once
+and checked there; the partitions that they touch (where they go, and where
+their keys are now) are recomputed into a second staging folder and swapped in,
+and staging is removed. The table path is never written while it is read, and
+other partitions are not touched.
+
+A run that stops before the swap leaves the table as it was; one that stops
+during the swap is repaired by running it again with the same rows. A key may be
+NULL (NULL equals NULL) and its partition value may be NULL or change: the old
+row goes. Duplicate keys in the incoming rows are an error.
 """
 
 from __future__ import annotations
@@ -22,24 +27,56 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """A folder without a data file is no table."""
+    if not _exists(spark, path):
+        return False
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def upsert(spark: SparkSession, table_path: str, incoming: DataFrame, keys: list[str],
            partition_col: str, staging_root: str | None = None) -> None:
-    """Merge ``incoming`` into the table at ``table_path`` on ``keys``.
-
-    ``incoming`` must hold ``partition_col``. Later rows win; duplicate keys
-    inside ``incoming`` are an error of the caller (checked lazily by the
-    anti join semantics: all of them are kept).
-    """
-    if not _exists(spark, table_path):
-        incoming.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
-        return
-    # affected partition values: one row per partition (calendar-bounded)
-    parts = [r[0] for r in incoming.select(partition_col).distinct().collect()]
-    current = spark.read.parquet(table_path).where(F.col(partition_col).isin(parts))
-    merged = (current.join(incoming.select(*keys), keys, "left_anti")
-              .unionByName(incoming.select(*current.columns)))
-    staging = f"{(staging_root or table_path).rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(table_path))
+    """Merge ``incoming`` (which holds ``partition_col``) into the table on ``keys``;
+    its rows win. ``incoming`` is evaluated once."""
+    root = f"{(staging_root or table_path).rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
+    try:
+        incoming.write.parquet(f"{root}/incoming")
+        new = spark.read.schema(incoming.schema).parquet(f"{root}/incoming")
+        double = new.groupBy(*keys).count().where("count > 1").drop("count").limit(1).collect()
+        if double:
+            raise ValueError(f"duplicate key in the incoming rows: {double[0].asDict()}")
+        if not _has_rows(spark, table_path):
+            new.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
+            return
+        table = spark.read.schema(new.schema).parquet(table_path)
+        same = [table[k].eqNullSafe(new[k]) for k in keys]
+        old = table.join(new.select(*keys), same, "left_semi").select(partition_col)
+        parts = new.select(partition_col).union(old).distinct().withColumnRenamed(partition_col, "_part")
+        touched = table.join(parts, table[partition_col].eqNullSafe(F.col("_part")), "left_semi")
+        merged = touched.join(new.select(*keys), [touched[k].eqNullSafe(new[k]) for k in keys], "left_anti")
+        merged.unionByName(new).write.parquet(f"{root}/merged")
+        parts.write.parquet(f"{root}/parts")
+        out = spark.read.schema(new.schema).parquet(f"{root}/merged")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(table_path))
+        # a partition that all rows have left is not overwritten by its absence
+        left = spark.read.schema(f"_part {dict(new.dtypes)[partition_col]}").parquet(f"{root}/parts")
+        gone = left.join(out.select(F.col(partition_col).alias("_now")).distinct(),
+                         F.col("_part").eqNullSafe(F.col("_now")), "left_anti")
+        for r in gone.toLocalIterator():
+            value = "__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0]
+            _delete(spark, f"{table_path.rstrip('/')}/{partition_col}={value}")
+    finally:
+        _delete(spark, root)

@@ -22,18 +22,28 @@ BRONZE_KEYS = ["driverid", "year", "roundnumber", "mode"]
 
 def ingest_landing(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                    max_files_per_trigger: int = 1, archive_dir: str | None = None) -> None:
-    """Drain ``landing`` into ``bronze`` (Parquet partitioned by ``year``)."""
+    """Drain ``landing`` into ``bronze`` (Parquet partitioned by ``year``).
+
+    ``archive_dir``: where to move files whose batch is in; ``""`` deletes them.
+    """
     reader = (spark.readStream.schema(SESSION_RESULTS)
               .option("pathGlobFilter", "*.parquet")
               .option("maxFilesPerTrigger", max_files_per_trigger))
-    if archive_dir:
+    if archive_dir == "":
+        reader = reader.option("cleanSource", "delete")
+    elif archive_dir:
         # move a landed file away only after its batch committed
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.parquet(landing)
+    # a session and its correction may land in one batch: the newest file wins
+    stream = reader.parquet(landing).select("*", F.col("_metadata.file_modification_time").alias("_at"),
+                                            F.col("_metadata.file_name").alias("_file"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = normalize_results(batch).dropDuplicates(BRONZE_KEYS)
-        upsert(batch.sparkSession, bronze, rows, BRONZE_KEYS, "year")
+        rows = normalize_results(batch)
+        cols = [f.name for f in SESSION_RESULTS if f.name not in BRONZE_KEYS]
+        newest = F.max(F.struct("_at", "_file", F.struct(*cols).alias("row"))).alias("_n")
+        rows = rows.groupBy(*BRONZE_KEYS).agg(newest).select(*BRONZE_KEYS, "_n.row.*")
+        upsert(batch.sparkSession, bronze, rows.select(*SESSION_RESULTS.names), BRONZE_KEYS, "year")
 
     q = (stream.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint)
@@ -41,7 +51,8 @@ def ingest_landing(spark: SparkSession, landing: str, bronze: str, checkpoint: s
     q.awaitTermination()
 
 
-def score_stream(model, stream: DataFrame, features_col: str = "probability") -> DataFrame:
-    """Scoring is a stateless map: a fitted PipelineModel applies to a stream as is."""
-    from ..functions.scalar import class1_probability
-    return model.transform(stream).withColumn("prob_win", class1_probability(F.col(features_col)))
+def score_stream(model, stream: DataFrame) -> DataFrame:
+    """Scoring is a stateless map: a fitted PipelineModel of either kind applies
+    to a stream as is (M12)."""
+    from ..operators.ml import probability_of_win
+    return probability_of_win(model.transform(stream))
