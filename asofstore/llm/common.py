@@ -14,7 +14,8 @@ Conventions that hold for every operator in this subpackage:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import weakref
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers in batches of at most 1,000 rows: memory
+    on both sides is bounded by a batch. A smaller setting of the caller stays."""
+    now = int(spark.conf.get(BATCH, "10000"))
+    if now <= 0 or now > 1000:
+        spark.conf.set(BATCH, "1000")
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -41,6 +53,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     The job's shuffle files go with the job: nothing after it reads them.
     """
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, f"llm-{name}")
+    small_batches(spark)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
@@ -62,10 +75,30 @@ def unstage(*tables: DataFrame) -> None:
 
 # --------------------------------------------------------------- word hashes
 
-class WordHashes(dict):
-    """64-bit xxh3 of each word, remembered per Python worker up to a bound."""
+class Remembered(dict):
+    """What a Python worker remembers, up to a bound.
+
+    Workers outlive their tasks and serve one operator after the other, so a
+    task that begins to use one memory drops the others.
+    """
+
+    LIMIT = 250_000
+    _all: list[weakref.ref] = []
+
+    def __init__(self):
+        super().__init__()
+        self._all.append(weakref.ref(self))
+
+    def use(self):
+        for ref in self._all:
+            other = ref()
+            if other is not None and other is not self:
+                other.clear()
+        return self
 
-    LIMIT = 400_000
+
+class WordHashes(Remembered):
+    """64-bit xxh3 of each word."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -83,6 +116,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word."""
     return np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
@@ -176,10 +210,6 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 # ------------------------------------------------------ connected components
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -51,11 +51,9 @@ NUM, NAME, UNIT = (np.uint64(xxhash.xxh3_64_intdigest(x) & ~7) for x in (b"<num>
 _SLOT, _CAPITAL, _END = np.uint64(1), np.uint64(2), np.uint64(4)
 
 
-class _Canonical(dict):
+class _Canonical(C.Remembered):
     """Canonical code of a word; its low bits say slot, capitalised, ends a sentence."""
 
-    LIMIT = 400_000
-
     def __missing__(self, word: str) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
@@ -172,12 +170,14 @@ PAIRS = ("doc_id bigint, item_id bigint, n_windows bigint, coverage double, n_sl
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, least: int = 4, coverage: float = 0.5,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per contaminated (doc_id, item_id)."""
+    C.small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     out = docs.sparkSession.createDataFrame([], PAIRS)
     for index in blocks(benchmark, window, least):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
+            _CANONICAL.use()
             for b in C.slices(batches):
                 rows = [(i, *m) for i, t in zip(b.column("_id").to_pylist(), b.column("_text").to_pylist())
                         for m in shared.value.matches(t, coverage)]
@@ -192,10 +192,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, least:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 8, least: int = 4, coverage: float = 0.5,
           text_col: str = "text") -> DataFrame:
     """``docs`` without contaminated rows."""
+    C.small_batches(docs.sparkSession)
     for index in blocks(benchmark, window, least):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
+            _CANONICAL.use()
             for b in C.slices(batches):
                 yield b.filter(pa.array([not shared.value.matches(t, coverage)
                                          for t in b.column(text_col).to_pylist()], pa.bool_()))

@@ -151,6 +151,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep_text: b
     rest = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    C.small_batches(docs.sparkSession)
 
     def run(batches):
         m = shared.value

@@ -95,6 +95,7 @@ SKETCHES = "_id bigint, _n bigint, _k1 bigint, _k2 bigint, _sk binary, _bands ar
 
 def _sketcher(k: int):
     def run(batches):
+        C._WORDS.use()
         for b in C.slices(batches):
             sets = [C.shingle_set(C.words_of(t.lower() if t else t), k)
                     for t in b.column("_text").to_pylist()]
@@ -116,6 +117,7 @@ def _sketcher(k: int):
 
 def sketches(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Set size, 128-bit set key, 8-bit sketch and band keys of every row."""
+    C.small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     return src.mapInArrow(_sketcher(k), SKETCHES)
 

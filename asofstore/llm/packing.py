@@ -43,16 +43,14 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ž]*")
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\s{_L}{_N}]+")
 
 
-class WordTokens(dict):
-    """Ids (little-endian uint32 bytes) per pre-token, remembered up to a bound.
+class WordTokens(C.Remembered):
+    """Ids (little-endian uint32 bytes) per pre-token.
 
     Pre-tokens are encoded independently of each other by this kind of
     tokenizer, so a text's ids are its pre-tokens' ids in order; texts with
     characters outside the plain range go to the tokenizer whole.
     """
 
-    LIMIT = 400_000
-
     def __init__(self, path: str, end_id: int):
         super().__init__()
         from tokenizers import Tokenizer
@@ -169,6 +167,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, tokens: int = 40
     ``prompt_col``: text that precedes ``text_col`` and bears no loss (for
     instruction data); without it every token bears loss.
     """
+    C.small_batches(docs.sparkSession)
     loss_limit = tokens if loss_tokens is None else loss_tokens
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
                       (F.col(prompt_col) if prompt_col else F.lit(None).cast("string")).alias("_prompt"))
@@ -185,7 +184,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, tokens: int = 40
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        coder = _coder(tokenizer_path, end_id)
+        coder = _coder(tokenizer_path, end_id).use()
         packer = Packer(TaskContext.get().partitionId(), tokens, segments, loss_limit)
         for b in C.slices(batches, 500):
             texts, prompts = b.column("_text").to_pylist(), b.column("_prompt").to_pylist()

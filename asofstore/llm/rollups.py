@@ -40,10 +40,8 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-ž]*")
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\\s{_L}{_N}]+|\\s+(?!\\S)|\\s+")
 
 
-class PieceCounts(dict):
-    """Number of tokens of each pre-token, remembered up to a bound."""
-
-    LIMIT = 400_000
+class PieceCounts(C.Remembered):
+    """Number of tokens of each pre-token."""
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
@@ -81,6 +79,7 @@ def count_tokens(docs: DataFrame, vocabularies: dict[str, str], pattern: str, on
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, source, lang, _k1, _k2, one count per tokenizer version). ``only``
     limits a version to the languages it is for (the count is null elsewhere)."""
+    C.small_batches(docs.sparkSession)
     only = only or {}
     names = list(vocabularies)
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col("source").cast("string").alias("source"),

@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -182,22 +182,24 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, tolerance: float = 0.0, ra
     columns of these names are replaced."""
     new = ("size", "shard", "slot")
     rest = [c for c in docs.columns if c not in new]
+    h, i, place_col, row = "__shard_hash", "__shard_id", "__shard_place", "__shard_row"
     keyed = docs.select(*rest).withColumns({
         "size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 8,
-        "_h": F.xxhash64(text_col), "_i": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))})
-    light = C.stage(keyed.select("_h", "_i", "size"), "sharding-keys")
+        h: F.xxhash64(text_col), i: F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))})
+    light = C.stage(keyed.select(F.col(h).alias("_h"), F.col(i).alias("_i"), "size"), "sharding-keys")
     bounds, shard, base = splitters(light, shards, tolerance, ranges)
+    C.unstage(light)
     b = np.array([_as_key(x) for x in bounds], "S16")
     shard_of, base_of = np.array(shard), np.array(base)
 
     @F.pandas_udf("struct<r:int,shard:int,base:bigint>")
-    def place(h: pd.Series, i: pd.Series) -> pd.DataFrame:
-        at = np.searchsorted(b, _keys(h.to_numpy(), i.to_numpy()), "right")
+    def place(hashes: pd.Series, ids: pd.Series) -> pd.DataFrame:
+        at = np.searchsorted(b, _keys(hashes.to_numpy(), ids.to_numpy()), "right")
         return pd.DataFrame({"r": at.astype(np.int32), "shard": shard_of[at].astype(np.int32), "base": base_of[at]})
-    from pyspark.sql import Window
-    order = Window.partitionBy("_p.r").orderBy("_h", "_i")
-    return (keyed.withColumn("_p", place("_h", "_i")).withColumn("_n", F.row_number().over(order))
-            .select(*rest, "size", F.col("_p.shard").alias("shard"), (F.col("_p.base") + F.col("_n") - 1).alias("slot")))
+    order = Window.partitionBy(F.col(place_col)["r"]).orderBy(h, i)
+    return (keyed.withColumn(place_col, place(h, i)).withColumn(row, F.row_number().over(order))
+            .select(*rest, "size", F.col(place_col)["shard"].alias("shard"),
+                    (F.col(place_col)["base"] + F.col(row) - 1).alias("slot")))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

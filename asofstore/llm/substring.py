@@ -96,6 +96,7 @@ def runs_of(w: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def _scanner(window: int):
     def run(batches):
+        C._WORDS.use()
         for b in C.slices(batches):
             rows, mark, start, content = [], [], [], []
             for t in b.column("_text").to_pylist():
@@ -231,6 +232,7 @@ def repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col:
     ``_id`` and ``_t``, a hash of the text, so that rows may share a doc_id."""
     if window <= max(LEVELS):
         raise ValueError(f"window must be over {max(LEVELS)} words")
+    C.small_batches(docs.sparkSession)
     src = _source(docs, id_col, text_col)
     scan = C.stage(src.mapInArrow(_scanner(window), SCAN), "substring-scan")
     at = ["_id", "_t"]
@@ -301,8 +303,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     space); texts without repeats are unchanged, texts that are nothing but
     repeats become empty."""
     _, cut = repeats(docs, window, id_col, text_col)
-    done = cut.select("_id", "_t", F.col("_kept").cast("string").alias("_kept")).dropDuplicates(["_id", "_t"])
-    keyed = docs.withColumns({"_at": F.col(id_col).cast("long"), "_tt": F.hash(F.col(text_col))})
-    joined = keyed.join(done, (F.col("_at") == F.col("_id")) & (F.col("_tt") == F.col("_t")), "left")
-    return joined.select(*[F.coalesce("_kept", F.col(c)).alias(c) if c == text_col else keyed[c]
+    done = (cut.select("_id", "_t", F.col("_kept").cast("string")).dropDuplicates(["_id", "_t"])
+            .toDF("__cut_id", "__cut_hash", "__cut_text"))
+    joined = docs.join(done, (F.col(id_col).cast("long") == F.col("__cut_id"))
+                       & (F.hash(F.col(text_col)) == F.col("__cut_hash")), "left")
+    return joined.select(*[F.coalesce("__cut_text", F.col(c)).alias(c) if c == text_col else F.col(c)
                            for c in docs.columns])

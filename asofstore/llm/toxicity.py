@@ -57,10 +57,8 @@ def units(word: bytes) -> list[bytes]:
     return [letters[:n].encode() for n in STEMS if n < len(letters)] + [word]
 
 
-class Codes(dict):
-    """Code of each word (``CODE`` bytes), remembered up to a bound."""
-
-    LIMIT = 300_000
+class Codes(C.Remembered):
+    """Code of each word (``CODE`` bytes)."""
 
     def __init__(self, stems: frozenset[bytes]):
         super().__init__()
@@ -78,6 +76,17 @@ class Codes(dict):
         return [codes[i:i + CODE * size] for i in range(0, len(codes), CODE * size)]
 
 
+_LAST: dict[frozenset[bytes], Codes] = {}
+
+
+def _codes(stems: frozenset[bytes]) -> Codes:
+    """One table per Python worker and model; it outlives a task."""
+    if stems not in _LAST:
+        _LAST.clear()
+        _LAST[stems] = Codes(stems)
+    return _LAST[stems]
+
+
 @dataclass
 class Model:
     toxic: bytes                    # dictionary contents; empty: no model
@@ -90,7 +99,7 @@ class Model:
     def scorer(self):
         if not self.toxic:
             return lambda text: (0.0, 0, 0)
-        near, far, codes = _compressor(self.toxic), _compressor(self.ordinary), Codes(self.stems)
+        near, far, codes = _compressor(self.toxic), _compressor(self.ordinary), _codes(self.stems).use()
         a, b = self.weights
 
         def score(text: str | None) -> tuple[float, int, int]:
@@ -249,6 +258,7 @@ def score(docs: DataFrame, model: Model, cut: float = 0.7, text_col: str = "text
     rest = [c for c in docs.columns if c != text_col and c not in new]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    C.small_batches(docs.sparkSession)
 
     def run(batches):
         scorer = shared.value.scorer()
