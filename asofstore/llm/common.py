@@ -76,19 +76,38 @@ def unstage(*tables: DataFrame) -> None:
 # --------------------------------------------------------------- word hashes
 
 class Remembered(dict):
-    """What a Python worker remembers, up to a bound.
+    """What a Python worker remembers, up to a bound: a full half becomes the
+    old half, and what is asked for again moves over, so frequent keys stay.
 
     Workers outlive their tasks and serve one operator after the other, so a
     task that begins to use one memory drops the others.
     """
 
-    LIMIT = 250_000
+    LIMIT = 300_000
     _all: list[weakref.ref] = []
 
     def __init__(self):
         super().__init__()
+        self.old: dict = {}
         self._all.append(weakref.ref(self))
 
+    def make(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.LIMIT // 2:
+            self.old = dict(self)
+            super().clear()
+        self[key] = value
+        return value
+
+    def clear(self):
+        super().clear()
+        self.old = {}
+
     def use(self):
         for ref in self._all:
             other = ref()
@@ -100,11 +119,8 @@ class Remembered(dict):
 class WordHashes(Remembered):
     """64-bit xxh3 of each word."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+    def make(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
 
 
 _WORDS = WordHashes()

@@ -54,9 +54,7 @@ _SLOT, _CAPITAL, _END = np.uint64(1), np.uint64(2), np.uint64(4)
 class _Canonical(C.Remembered):
     """Canonical code of a word; its low bits say slot, capitalised, ends a sentence."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
+    def make(self, word: str) -> int:
         bare = word.strip(_EDGE)
         low = bare.lower()
         if _NUMBER.match(bare) or low in NUMBER_WORDS:
@@ -69,7 +67,6 @@ class _Canonical(C.Remembered):
                 code |= 2
         if word[-1:] in ".!?:":
             code |= 4
-        self[word] = code
         return code
 
 

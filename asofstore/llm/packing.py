@@ -23,6 +23,7 @@ carried; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -43,39 +44,47 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ž]*")
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\s{_L}{_N}]+")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable
+    bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    extra = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(extra)) for b in range(256)]
+
+
 class WordTokens(C.Remembered):
-    """Ids (little-endian uint32 bytes) per pre-token.
+    """Ids (little-endian uint32 bytes) of each lower-cased word.
 
-    Pre-tokens are encoded independently of each other by this kind of
-    tokenizer, so a text's ids are its pre-tokens' ids in order; texts with
-    characters outside the plain range go to the tokenizer whole.
+    This kind of tokenizer drops white space and encodes pre-tokens
+    independently of each other, so a text's ids are its words' ids in order;
+    texts with characters outside the plain range go to the tokenizer whole.
     """
 
+    LIMIT = 800_000
+    LETTERS = _byte_letters()
+
     def __init__(self, path: str, end_id: int):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.end = np.uint32(end_id).tobytes()
 
+    def make(self, word: str) -> bytes:
+        ids = []
+        for piece in _PIECES.findall(word):
+            if not piece.isascii():
+                piece = "".join(map(self.LETTERS.__getitem__, piece.encode()))
+            ids += [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [_PIECES.findall(t.lower()) if t and "<|" not in t and _PLAIN.fullmatch(t) else t for t in texts]
-        new = set()
-        for p in pieces:
-            if isinstance(p, list):
-                new.update(p)
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-        else:
-            new.difference_update(self.keys())
-        new = list(new)
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
         out = []
-        for p in pieces:
-            if isinstance(p, list):
-                ids = b"".join(map(self.__getitem__, p))
+        for t in texts:
+            if t and "<|" not in t and _PLAIN.fullmatch(t):
+                ids = b"".join(map(self.__getitem__, t.lower().split()))
             else:
-                ids = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids if p else [], "<u4").tobytes()
+                ids = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids if t else [], "<u4").tobytes()
             out.append(ids + self.end)
         return out
 

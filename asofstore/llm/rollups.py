@@ -52,11 +52,8 @@ class PieceCounts(C.Remembered):
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.coder = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def __missing__(self, piece: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        n = self[piece] = len(self.coder.encode_ordinary(piece))
-        return n
+    def make(self, piece: str) -> int:
+        return len(self.coder.encode_ordinary(piece))
 
     def count(self, text: str | None) -> int:
         if not text:

@@ -64,12 +64,8 @@ class Codes(C.Remembered):
         super().__init__()
         self.stems = stems
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        stem = next((u for u in units(word) if u in self.stems), word)
-        code = self[word] = xxhash.xxh3_128_digest(stem)
-        return code
+    def make(self, word: bytes) -> bytes:
+        return xxhash.xxh3_128_digest(next((u for u in units(word) if u in self.stems), word))
 
     def windows(self, text: str | None, size: int) -> list[bytes]:
         codes = b"".join(map(self.__getitem__, words(text)))
