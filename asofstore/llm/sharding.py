@@ -11,8 +11,8 @@ round or two. A splitter is done when the bytes it can be off by are within
 between two probes are looked at themselves and the splitter is exact: a row
 belongs to shard ``floor(bytes before it * shards / all bytes)``.
 
-Then the rows are exchanged once, into ``ranges`` sub-ranges per shard whose
-exact row counts give every row its place in its shard without a window over a
+Then the rows are exchanged once, into ``ranges`` or more sub-ranges per shard
+(of at most about 32 MB each) whose exact row counts give every row its place in its shard without a window over a
 whole shard.
 
 Size is the UTF-8 bytes of the text (null: none) plus 8. Defined results: a
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
+RANGE_BYTES = 32 << 20       # most of a sub-range; their number is bounded by all bytes over this
 PROBES = 16                 # new probes per open splitter and round
 LOOK = 256                  # rows between two probes that are looked at themselves
 MAX_ROUNDS = 64
@@ -118,6 +119,7 @@ def splitters(keyed: DataFrame, shards: int, tolerance: float = 0.0, ranges: int
     total, _, low, high = all_rows[0]
     goals = {s: -(-s * total // shards) for s in range(1, shards)}     # bytes that come before shard s
     slack = int(tolerance * total / shards)
+    ranges = max(ranges, -(-total // (shards * RANGE_BYTES)))
     probes = sorted({low + (high - low) * j // (shards * ranges) for j in range(1, shards * ranges)})
     done: dict[int, int] = {}
     for _ in range(MAX_ROUNDS):
