@@ -47,12 +47,41 @@ def op1_language_mixture(spark, sf_dir):
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.to_json("languages").alias("languages"))
 
 
-@register("op2_embedding_near_dedup")
+@register("op2_embedding_near_dedup", r"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good AS a JOIN good AS b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = reach.vec_id) AS n_links, min(other) AS component_id,
+       vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id""")
 def op2_embedding_near_dedup(spark, sf_dir):
     return embedding.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
-@register("op3_substring_dedup")
+@register("op3_substring_dedup", r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 48)) AS st,
+         unnest(list_transform(range(1, len(ws) - 48), lambda i: md5(array_to_string(ws[i:i + 49], ' ')))) AS h
+  FROM w WHERE len(ws) >= 50),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(st, st + 50)) AS pos
+  FROM windows JOIN (SELECT h, min(doc_id) AS own FROM windows GROUP BY h) USING (h) WHERE own < doc_id),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+       coalesce((SELECT count(*) FROM gone WHERE gone.doc_id = w.doc_id), 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""")
 def op3_substring_dedup(spark, sf_dir):
     return substring.digests(read(spark, sf_dir, "documents"), window=50)
 
@@ -133,6 +162,25 @@ def op9_template_decontamination(spark, sf_dir):
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-@register("op10_minhash_near_dedup")
+@register("op10_minhash_near_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS s FROM w),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+parts AS (SELECT doc_id, md5(unnest(s)) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM parts AS a JOIN parts AS b USING (x)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes AS p ON p.doc_id = a JOIN sizes AS q ON q.doc_id = b
+  WHERE 100 * m >= 80 * (p.n + q.n - m)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN comp USING (doc_id)""")
 def op10_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=4, percent=80)

@@ -7,10 +7,11 @@ import math
 import random
 
 import numpy as np
+import oracle
 import pytest
 
 from asofstore.llm import common, embedding, minhash, substring
-from asofstore.llm.queries import QUERIES
+from asofstore.llm.queries import ORACLE, QUERIES
 from conftest import SF_SMALL
 from llm_cases import no_docs, odd_docs  # noqa: F401
 
@@ -67,6 +68,12 @@ def found(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
 
 
+@pytest.mark.parametrize("name", ["op2_embedding_near_dedup", "op3_substring_dedup", "op10_minhash_near_dedup"])
+def test_query_equals_its_sql(spark, con, name):
+    ok, message = oracle.compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
+    assert ok, message
+
+
 def test_minhash_query_equals_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in common.read(spark, SF_SMALL, "documents").collect()]
     got = QUERIES["op10_minhash_near_dedup"](spark, SF_SMALL)
