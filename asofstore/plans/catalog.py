@@ -632,13 +632,17 @@ def _with_label(df):
     return df.withColumn("label", F.col("flchampion").cast("double"))
 
 
-def fit_and_score(spark, sf, model_name):
-    """Fit on the train split; score train, test and OOT. The scores are written
-    once, so reading them does not fit again."""
+def model_rows(spark, sf):
+    """Train, test and OOT rows with their split, written once for all models."""
     _, oot, _, _, train, test = sampling(spark, sf)
     parts = [train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test")),
              oot.withColumn("split", F.lit("oot"))]
-    rows = written(_with_label(parts[0].unionByName(parts[1]).unionByName(parts[2])), "splits")
+    return written(_with_label(parts[0].unionByName(parts[1]).unionByName(parts[2])), "splits")
+
+
+def fit_and_score(rows, model_name):
+    """Fit on the train split; score train, test and OOT. The scores are written
+    once, so reading them does not fit again."""
     model = ML.pipeline(_FEATS, MODELS[model_name]()).fit(rows.where("split = 'train'"))
     scored = ML.probability_of_win(model.transform(rows))
     return model, written(scored.select("id", "dt_ref", "driverid", "split", "flchampion", "prob_win"), "scores")
@@ -646,19 +650,19 @@ def fit_and_score(spark, sf, model_name):
 
 @register("rf_scores")
 def q_rf_scores(spark, sf):
-    return fit_and_score(spark, sf, "random_forest")[1]
+    return fit_and_score(model_rows(spark, sf), "random_forest")[1]
 
 
 @register("adaboost_scores")
 def q_adaboost_scores(spark, sf):
-    return fit_and_score(spark, sf, "ada_boost")[1]
+    return fit_and_score(model_rows(spark, sf), "ada_boost")[1]
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    out = None
+    out, rows = None, model_rows(spark, sf)
     for name in MODELS:
-        model, _ = fit_and_score(spark, sf, name)
+        model = ML.pipeline(_FEATS, MODELS[name]()).fit(rows.where("split = 'train'"))
         fi = ML.feature_importance(model, _FEATS, spark).withColumn("model", F.lit(name))
         out = fi if out is None else out.unionByName(fi)
     path = scratch_dir(spark, "importance")
@@ -667,12 +671,12 @@ def q_feature_importance(spark, sf):
 
 
 def _metrics(spark, sf):
-    rows = None
+    out, rows = None, model_rows(spark, sf)
     for name in MODELS:
-        _, scored = fit_and_score(spark, sf, name)
+        _, scored = fit_and_score(rows, name)
         auc = MT.auc_by_split(scored, score="prob_win").withColumn("model", F.lit(name))
-        rows = auc if rows is None else rows.unionByName(auc)
-    return rows
+        out = auc if out is None else out.unionByName(auc)
+    return out
 
 
 @register("model_metrics")
