@@ -12,8 +12,8 @@ an escape) is rendered with backslash, ``[`` and ``<`` escaped, which no text
 survives as a control string, and compared again. The whole conversation is
 parsed once more at the end; a difference is an error, not a row.
 
-``loss`` says which text bears loss: for each assistant turn its number and the
-place of its text inside that turn, so reading it back is linear in the
+``loss`` says which text bears loss: per turn, the place of the text inside that
+turn (null where it bears none), so reading it back is linear in the
 conversation's length.
 
 Defined results: null role and null text are empty; turns are ordered by turn
@@ -58,7 +58,7 @@ def _bodies(formatted: Column) -> Column:
     """What stands before each END; a last part without END is kept, so that
     it fails as a turn."""
     parts = F.split(formatted, END.replace("/", "\\/"), -1)
-    return F.filter(parts, lambda x, i: (i < F.size(parts) - 1) | (x != ""))
+    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
 def _turn(body: Column) -> Column:
@@ -72,8 +72,8 @@ def _turn(body: Column) -> Column:
 
 def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text", loss_role: str = "assistant") -> DataFrame:
-    """conv_id, n_turns, formatted, loss (array of turn, start, length in code
-    points, all from 0), n_escaped."""
+    """conv_id, n_turns, formatted, loss (per turn null or start and length, in
+    code points, from 0), n_escaped."""
     t = turns.select(F.col(id_col).alias("conv_id"), F.col(turn_col).alias("_turn"),
                      F.coalesce(F.col(role_col), F.lit("")).alias("_role"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
@@ -84,10 +84,8 @@ def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: st
         "_x": F.when(F.col("_plain"), F.col("_text")).otherwise(escape(F.col("_text")))})
     whole = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(
         F.struct("_turn", "_role", "_text", "_plain", "_r", "_x"))).alias("_t"))
-    loss = F.filter(
-        F.transform("_t", lambda x, i: F.when(x["_role"] == loss_role, F.struct(
-            i.alias("turn"), (F.length(x["_r"]) + len(OPEN + CLOSE)).alias("start"),
-            F.length(x["_x"]).alias("length")))), lambda x: x.isNotNull())
+    loss = F.transform("_t", lambda x: F.when(x["_role"] == loss_role, F.struct(
+        (F.length(x["_r"]) + len(OPEN + CLOSE)).alias("start"), F.length(x["_x"]).alias("length"))))
     out = whole.select(
         "conv_id", F.size("_t").cast("long").alias("n_turns"),
         F.array_join(F.transform("_t", lambda x: render(x["_r"], x["_x"])), "").alias("formatted"),
@@ -103,9 +101,9 @@ def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: st
 def digests(formatted: DataFrame) -> DataFrame:
     """Turns and loss text read back from ``formatted`` and ``loss``."""
     spoken = F.transform(parse(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    bodies = formatted.withColumn("_b", _bodies(F.col("formatted"))).withColumn("_spoken", spoken)
-    under = F.array_join(F.transform("loss", lambda s: unescape(F.substr(
-        F.element_at("_b", s["turn"] + 1), s["start"] + 1, s["length"]))), "")
+    bodies = formatted.withColumn("_spoken", spoken)
+    under = F.array_join(F.zip_with(_bodies(F.col("formatted")), F.col("loss"), lambda b, s: F.when(
+        s.isNotNull(), unescape(F.substr(b, s["start"] + 1, s["length"]))).otherwise("")), "")
     return bodies.withColumn("_loss", under).select(
         "conv_id", F.size("_spoken").cast("long").alias("n_turns"),
         F.sha2(F.array_join("_spoken", ""), 256).alias("turns_sha256"),
