@@ -49,7 +49,7 @@ def render(role: Column, text: Column) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """Turns (role, text, escaped text's place) of a formatted conversation;
+    """Turns (role, text) of a formatted conversation;
     null in place of a turn that the grammar does not allow."""
     return F.transform(_bodies(formatted), _turn)
 
