@@ -2,13 +2,21 @@
 
 Numbers, names and units of benchmark items and documents are replaced by typed
 placeholders, so an item whose numbers, names or units were changed still has
-the same *template*. Windows of ``window`` canonical words are hash-joined:
-benchmark windows are the build side, documents are streamed past it whole.
-For each document and item the matches are aligned, and the **slots** (the
-placeholders' values) must be consistent: over the aligned words, equal values
-of the item stand against equal values of the document and the other way
-round. A document is contaminated by an item if consistent matches cover
-``coverage`` of the item's words.
+the same *template*. A run of names, or of numbers and units, inside a sentence
+is one placeholder, so a value may change its number of words. A name is any
+capitalised word of a document, wherever it stands; a sentence-initial word of
+an item may or may not be a name, so its windows are indexed under both
+readings. Windows of ``window`` canonical words are hash-joined: benchmark
+windows are the build side, documents are streamed past it whole.
+
+Matches of one shift that touch are a segment; segments of an item are chained
+in order, from one shift to the next by at most ``window`` words, and what a
+chain covers of the item counts together. The **slots** (the placeholders'
+values) of a chain must be consistent: equal values of the item stand against
+equal values of the document and the other way round; sentence-initial words
+take part only if they are names elsewhere in the item. A document is
+contaminated by an item if a consistent chain covers ``coverage`` of the item's
+words.
 
 The benchmark is a stated query set: it is read in blocks of at most
 ``BLOCK_BYTES`` of text, and each block is compared with all documents, so what
@@ -46,25 +54,37 @@ UNITS = frozenset("mm cm m km mg g kg lb lbs oz ml l inch inches foot feet yard
                   "percent dollar dollars euro euros cent cents pound pounds degrees celsius fahrenheit "
                   "mph kmh watt watts volt volts".split())
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$")
+_WITH_UNIT = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*([^\W\d]+)$")
 _EDGE = " \t\n\r.,;:!?\"'()[]{}<>*#|&%$“”‘’«»¿¡"
 NUM, NAME, UNIT = (np.uint64(xxhash.xxh3_64_intdigest(x) & ~7) for x in (b"<num>", b"<name>", b"<unit>"))
-_SLOT, _CAPITAL, _END = np.uint64(1), np.uint64(2), np.uint64(4)
+_KIND, _END = np.uint64(3), np.uint64(4)
+_GROUP = np.array([0, 1, 1, 2], np.int8)      # plain, number, unit, name: numbers and units run together
+
+
+def _is_number(low: str) -> bool:
+    """Numbers, number words, both with a unit ('5km') or hyphens ('twenty-five', '5-mile')."""
+    def one(part):
+        with_unit = _WITH_UNIT.match(part)
+        return part in NUMBER_WORDS or _NUMBER.match(part) or (with_unit and with_unit[1] in UNITS)
+    if one(low):
+        return True
+    parts = low.split("-")
+    return len(parts) > 1 and all(one(x) or x in UNITS for x in parts) and any(map(one, parts))
 
 
 class _Canonical(C.Remembered):
-    """Canonical code of a word; its low bits say slot, capitalised, ends a sentence."""
+    """Hash of a word; its low bits say plain, number, unit or name, and whether it ends a sentence."""
 
     def make(self, word: str) -> int:
         bare = word.strip(_EDGE)
         low = bare.lower()
-        if _NUMBER.match(bare) or low in NUMBER_WORDS:
-            code = int(NUM) | 1
+        code = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) & ~7
+        if _is_number(low):
+            code |= 1
         elif low in UNITS:
-            code = int(UNIT) | 1
-        else:
-            code = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) & ~7
-            if bare[:1].isupper() and bare[1:].islower():
-                code |= 2
+            code |= 2
+        elif bare[:1].isupper() and bare[1:].islower():
+            code |= 3
         if word[-1:] in ".!?:":
             code |= 4
         return code
@@ -73,76 +93,174 @@ class _Canonical(C.Remembered):
 _CANONICAL = _Canonical()
 
 
-def canonical(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, is a slot). A capitalised word inside a sentence is a name."""
+def canonical(words: list[str], plain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, first word of each code, kind of each word); names where ``plain`` is set count as plain."""
     raw = np.fromiter(map(_CANONICAL.__getitem__, words), np.uint64, len(words))
-    inside = np.zeros(len(raw), bool)
-    inside[1:] = (raw[:-1] & _END) == 0
-    name = inside & ((raw & _CAPITAL) != 0)
-    codes = np.where(name, NAME, raw & ~np.uint64(7))
-    return codes, name | ((raw & _SLOT) != 0)
+    kind = (raw & _KIND).astype(np.int8)
+    if plain is not None:
+        kind[plain & (kind == 3)] = 0
+    group = _GROUP[kind]
+    first = np.ones(len(raw), bool)
+    first[1:] = (group[1:] == 0) | (group[1:] != group[:-1]) | ((raw[:-1] & _END) != 0)
+    starts = np.flatnonzero(first)
+    slot = group[starts]
+    quantity = np.where(np.logical_or.reduceat(kind == 1, starts), NUM, UNIT)
+    codes = np.where(slot == 0, raw[starts] & ~np.uint64(7), np.where(slot == 2, NAME, quantity))
+    return codes, starts, kind
+
+
+def sentence_starts(words: list[str]) -> np.ndarray:
+    out = np.ones(len(words), bool)
+    out[1:] = [w[-1:] in ".!?:" for w in words[:-1]]
+    return out
+
+
+def _name(word: str) -> str:
+    return re.sub("['’]s$", "", word.strip(_EDGE).lower())
 
 
 class Index:
     """Template windows of a block of benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]], window: int, least: int):
-        self.window, self.words, self.ids = window, [], []
+        self.window, self.words, self.ids, self.names, self.readings = window, [], [], [], []
         sizes = defaultdict(lambda: ([], [], []))
         for item_id, text in items:
             words = (text or "").split()
-            codes, slot = canonical(words)
-            w = min(window, len(words))
-            if (~slot).sum() < min(least, window):
+            if not words:
                 continue
             n = len(self.ids)
+            begins = sentence_starts(words)
+            sure = canonical(words, begins)[2]
             self.ids.append(item_id)
-            self.words.append((words, slot))
-            plain = np.concatenate([[0], np.cumsum(~slot)])
-            enough = (plain[w:] - plain[:-w]) >= min(least, w)
-            at = np.flatnonzero(enough)
-            h, i, p = sizes[w]
-            h.append(C.gram_hashes(codes, w)[at])
-            i.append(np.full(len(at), n))
-            p.append(at)
-        self.sizes = {}
-        for w, (h, i, p) in sizes.items():
-            h, i, p = map(np.concatenate, (h, i, p))
-            order = np.argsort(h, kind="stable")
-            present = np.zeros(1 << 20, bool)
-            present[(h & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            self.sizes[w] = (h[order], i[order], p[order], present)
+            self.words.append(words)
+            self.names.append({_name(words[j]) for j in np.flatnonzero(sure == 3)})
+            done = set()
+            for plain in self._plain_words(begins):
+                codes, starts, kind = canonical(words, plain)
+                if codes.tobytes() in done:
+                    continue
+                done.add(codes.tobytes())
+                slot = kind[starts] > 0
+                w = min(window, len(codes))
+                count = np.concatenate([[0], np.cumsum(~slot)])
+                enough = (count[w:] - count[:-w]) >= min(least, w)
+                if (~slot).sum() < min(least, window):
+                    enough[:] = False
+                at = np.flatnonzero(enough)
+                h, i, p = sizes[w]
+                h.append(C.gram_hashes(codes, w)[at])
+                i.append(np.full(len(at), len(self.readings)))
+                p.append(at)
+                self.readings.append((n, np.append(starts, len(words)), kind))
+        self.sizes = {w: self._table(*map(np.concatenate, x)) for w, x in sizes.items()}
+
+    @staticmethod
+    def _plain_words(begins: np.ndarray) -> list[np.ndarray]:
+        """Sentence-initial words that are no names, per reading of an item."""
+        return [begins, np.zeros_like(begins)]
+
+    @staticmethod
+    def _table(h: np.ndarray, i: np.ndarray, p: np.ndarray) -> tuple:
+        order = np.argsort(h, kind="stable")
+        present = np.zeros(1 << 20, bool)
+        present[(h & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        return h[order], i[order], p[order], present
+
+    @staticmethod
+    def _hits(table: tuple, mine: np.ndarray, hits: dict) -> None:
+        h, reading, pos, present = table
+        at = np.flatnonzero(present[(mine & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        if not len(at):
+            return
+        lo, hi = np.searchsorted(h, mine[at], "left"), np.searchsorted(h, mine[at], "right")
+        for a, x, y in zip(at, lo, hi):
+            for k in range(x, y):
+                hits[int(reading[k]), int(a - pos[k])].append(int(pos[k]))
 
     def matches(self, text: str | None, coverage: float) -> list[tuple]:
         """(item_id, n_windows, coverage, n_slots, n_changed, first word) per item."""
         words = text.split() if text else []
         if not words:
             return []
-        codes, _ = canonical(words)
-        hits: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for w, (h, item, pos, present) in self.sizes.items():
-            mine = C.gram_hashes(codes, w)
-            at = np.flatnonzero(present[(mine & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            if not len(at):
-                continue
-            lo, hi = np.searchsorted(h, mine[at], "left"), np.searchsorted(h, mine[at], "right")
-            for a, x, y in zip(at, lo, hi):
-                for k in range(x, y):
-                    hits[int(item[k]), int(a - pos[k])].append(int(pos[k]))
-        best: dict[int, tuple] = {}
-        for (item, shift), starts in hits.items():
-            item_words, slot = self.words[item]
-            w = min(self.window, len(item_words))
-            cover = np.zeros(len(item_words), bool)
-            for s in starts:
-                cover[s:s + w] = True
-            share = float(cover.mean())
-            slots = np.flatnonzero(cover & slot)
-            pairs = {(item_words[j].strip(_EDGE), words[j + shift].strip(_EDGE)) for j in slots}
-            consistent = len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
-            if share >= coverage and consistent and share > best.get(item, (0, 0.0))[1]:
-                best[item] = (len(starts), share, len(slots), sum(a != b for a, b in pairs), shift + min(starts))
-        return [(self.ids[i], *v) for i, v in sorted(best.items())]
+        codes, starts, _ = canonical(words)
+        starts = np.append(starts, len(words))
+        segments: dict[int, list[tuple]] = defaultdict(list)
+        for w, table in self.sizes.items():
+            hits: dict[tuple[int, int], list[int]] = defaultdict(list)
+            self._hits(table, C.gram_hashes(codes, w), hits)
+            self._segments(hits, w, starts, words, segments)
+        out = []
+        for n, found in sorted(segments.items()):
+            best = self._chain(n, found, coverage)
+            if best:
+                out.append((self.ids[n], *best))
+        return out
+
+    def _segments(self, hits: dict, w: int, starts: np.ndarray, words: list[str], segments: dict) -> None:
+        """Hits of one shift that touch: (first and end word of the document, of the item, hits, slots)."""
+        for (reading, shift), at in hits.items():
+            n, own, kind = self.readings[reading]
+            at.sort()
+            cut = [0, *(k for k in range(1, len(at)) if at[k] > at[k - 1] + w), len(at)]
+            for x, y in zip(cut[:-1], cut[1:]):
+                p, q = at[x], at[y - 1] + w
+                slots = [(int(own[t]), kind[own[t]] == 3, self.words[n][own[t]:own[t + 1]],
+                          words[starts[t + shift]:starts[t + shift + 1]])
+                         for t in range(p, q) if kind[own[t]]]
+                segments[n].append((int(starts[p + shift]), int(starts[q + shift]), int(own[p]), int(own[q]),
+                                    y - x, slots))
+
+    def _consistent(self, n: int, slots: list[tuple], there: tuple = ({}, {})) -> tuple | None:
+        """``there`` (item value to document value and back) with the slots' values; None if they disagree."""
+        one, two = dict(there[0]), dict(there[1])
+        for _, name, mine, other in slots:
+            if name:
+                pairs = [(a, b) for a, b in zip(map(_name, mine), map(_name, other)) if a in self.names[n]]
+            else:
+                pairs = [(" ".join(x.strip(_EDGE) for x in mine), " ".join(x.strip(_EDGE) for x in other))]
+            for a, b in pairs:
+                if one.setdefault(a, b) != b or two.setdefault(b, a) != a:
+                    return None
+        return one, two
+
+    def _chain(self, n: int, segments: list[tuple], coverage: float) -> tuple | None:
+        """The consistent chain that covers most, as (n_windows, coverage, n_slots, n_changed, first word)."""
+        segments.sort(key=lambda s: s[:5])
+        size, chains, best = len(self.words[n]), [], None
+        for i, (d0, d1, i0, i1, hits, slots) in enumerate(segments):
+            values = self._consistent(n, slots)
+            top = None if values is None else (i1 - i0, d0, values, (i,))
+            for j in range(i - 1, -1, -1) if top else ():
+                e0, e1, j0, j1 = segments[j][:4]
+                if e0 < d0 - 2 * (size + self.window):
+                    break
+                if chains[j] is None or j0 > i0 or j1 >= i1 or e1 >= d1 or abs((d0 - i0) - (e1 - j1)) > self.window:
+                    continue
+                cover = chains[j][0] + i1 - max(i0, j1)
+                if cover > top[0]:
+                    both = self._consistent(n, slots, chains[j][2])
+                    if both:
+                        top = (cover, chains[j][1], both, (*chains[j][3], i))
+            chains.append(top)
+            if top and top[0] >= coverage * size and (best is None or top[0] > best[0]):
+                best = top
+        if best is None:
+            return None
+        slots = {s[0]: s for i in best[3] for s in segments[i][5]}
+        n_slots, changed = self._changes(n, slots.values())
+        return sum(segments[i][4] for i in best[3]), best[0] / size, n_slots, changed, best[1]
+
+    def _changes(self, n: int, slots) -> tuple[int, int]:
+        """Slot words of the item, and distinct changes of a value; a
+        sentence-initial word that is no name elsewhere is a slot if it changed."""
+        count, changed = 0, set()
+        for _, name, mine, other in slots:
+            a, b = ([(_name if name else str.lower)(x.strip(_EDGE)) for x in side] for side in (mine, other))
+            count += len(a) if not name or a != b else sum(x in self.names[n] for x in a)
+            pairs = zip(a, b) if len(a) == len(b) else [(" ".join(a), " ".join(b))]
+            changed.update((x, y) for x, y in pairs if x != y)
+        return count, len(changed)
 
 
 def blocks(benchmark: DataFrame, window: int, least: int, id_col: str = "item_id",

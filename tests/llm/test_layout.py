@@ -255,6 +255,26 @@ def test_decontamination_of_changed_questions():
     assert not judge("A farmer sold sheep and walked home with somebody over the hill in the rain")
 
 
+def test_decontamination_when_values_change_their_number_of_words():
+    plain = [f"word{i}" for i in range(30)]
+    item = [*plain[:10], "Tom", *plain[11:20], "Anna", *plain[21:]]
+    for a, b in (("Mary Ann", "Karl Gustav"), ("Otto", "Mia Marie")):
+        doc = [*plain[:10], a, *plain[11:20], b, *plain[21:]]
+        assert judge("so it goes: " + " ".join(doc), [(1, " ".join(item))])[0][2] == 1
+    item = " ".join([*plain[:6], "20", *plain[6:12], "5 km", *plain[12:18]])
+    for a, b in (("twenty five", "7km"), ("thirty-five", "eleven hundred miles"), ("1,000", "9-mile")):
+        assert judge(item.replace("20", a).replace("5 km", b), [(1, item)])[0][2] == 1
+    # a word put in or left out moves the shift; parts far from each other do not count together
+    item = " ".join(plain)
+    assert judge(" ".join([*plain[:10], "really", *plain[10:19], *plain[20:]]), [(1, item)])[0][2] == 29 / 30
+    assert not judge(" ".join([*plain[:9], *["x"] * 99, *plain[20:29]]), [(1, item)])
+
+
+def test_decontamination_of_sentence_initial_names():
+    item = "Mary gave 2 of her red apples away. Mary lost 1 of them on the way to school. Mary has how many left now?"
+    assert judge("Hi. " + item.replace("Mary", "John").replace("2", "5"), [(1, item)])[0][2] == 1
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, "the cat sat on the mat and looked at the moon", "x"), (2, None, "x"), (3, "", "x"), (4, "12 13 14", "x"),
