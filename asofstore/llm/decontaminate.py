@@ -5,10 +5,15 @@ placeholders, so an item whose numbers, names or units were changed still has
 the same *template*. A run of names, or of numbers and units, inside a sentence
 is one placeholder, so a value may change its number of words. A name is any
 capitalised word of a document, wherever it stands; a sentence-initial word of
-an item may or may not be a name, so its windows are indexed under both
-readings. Windows of ``window`` canonical words are hash-joined: benchmark
+an item (or line-initial: a new line begins a sentence) may or may not be a
+name, so its windows are indexed under both readings. Windows of ``window`` canonical words are hash-joined: benchmark
 windows are the build side, documents are streamed past it whole.
 
+Windows with fewer than ``least`` plain words under some reading are too weak as
+templates and are matched word by word instead (case and outer punctuation
+aside). An item without any template window is contaminating only if the
+document has all of it in this way.
+
 Matches of one shift that touch are a segment; segments of an item are chained
 in order, from one shift to the next by at most ``window`` words, and what a
 chain covers of the item counts together. The **slots** (the placeholders'
@@ -23,8 +28,9 @@ The benchmark is a stated query set: it is read in blocks of at most
 is broadcast has a fixed bound whatever the benchmark's size. Documents are
 never exchanged.
 
-Defined results: items that are null or have fewer than ``least`` plain words
-after canonicalisation match nothing; items shorter than a window are one
+Defined results: items that are null or have no words match nothing; items of
+fewer than ``least`` words match where they are a whole line of the document,
+as any text may have such words in it; items shorter than a window are one
 window; null or empty documents are clean; repeated rows are judged each for
 itself; a null doc_id is carried; extra columns are carried by :func:`clean`.
 """
@@ -78,7 +84,7 @@ class _Canonical(C.Remembered):
     def make(self, word: str) -> int:
         bare = word.strip(_EDGE)
         low = bare.lower()
-        code = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) & ~7
+        code = xxhash.xxh3_64_intdigest((low or word).encode("utf-8", "surrogatepass")) & ~7
         if _is_number(low):
             code |= 1
         elif low in UNITS:
@@ -93,9 +99,21 @@ class _Canonical(C.Remembered):
 _CANONICAL = _Canonical()
 
 
-def canonical(words: list[str], plain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _plain_form(word: str) -> str:
+    return word.strip(_EDGE).lower() or word
+
+
+def coded(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(_CANONICAL.__getitem__, words), np.uint64, len(words))
+
+
+def exact(raw: np.ndarray) -> np.ndarray:
+    """Codes of the words themselves, without case and outer punctuation."""
+    return raw & ~np.uint64(7)
+
+
+def canonical(raw: np.ndarray, plain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes, first word of each code, kind of each word); names where ``plain`` is set count as plain."""
-    raw = np.fromiter(map(_CANONICAL.__getitem__, words), np.uint64, len(words))
     kind = (raw & _KIND).astype(np.int8)
     if plain is not None:
         kind[plain & (kind == 3)] = 0
@@ -109,10 +127,13 @@ def canonical(words: list[str], plain: np.ndarray | None = None) -> tuple[np.nda
     return codes, starts, kind
 
 
-def sentence_starts(words: list[str]) -> np.ndarray:
-    out = np.ones(len(words), bool)
-    out[1:] = [w[-1:] in ".!?:" for w in words[:-1]]
-    return out
+def sentence_starts(text: str) -> np.ndarray:
+    """Per word; a new line begins a sentence."""
+    out = []
+    for line in text.splitlines():
+        words = line.split()
+        out += [True, *(w[-1:] in ".!?:" for w in words[:-1])][:len(words)]
+    return np.array(out, bool)
 
 
 def _name(word: str) -> str:
@@ -124,20 +145,23 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], window: int, least: int):
         self.window, self.words, self.ids, self.names, self.readings = window, [], [], [], []
-        sizes = defaultdict(lambda: ([], [], []))
+        self.whole, self.lines = [], []        # all of the item is needed; as a line of its own
+        sizes, exact_sizes = (defaultdict(lambda: ([], [], [])) for _ in range(2))
         for item_id, text in items:
             words = (text or "").split()
             if not words:
                 continue
             n = len(self.ids)
-            begins = sentence_starts(words)
-            sure = canonical(words, begins)[2]
+            begins = sentence_starts(text)
+            raw = coded(words)
+            sure = canonical(raw, begins)[2]
             self.ids.append(item_id)
             self.words.append(words)
             self.names.append({_name(words[j]) for j in np.flatnonzero(sure == 3)})
-            done = set()
+            done, any_template = set(), False
+            weak = np.zeros(len(words) - min(window, len(words)) + 1, bool)     # exact windows, by first word
             for plain in self._plain_words(begins):
-                codes, starts, kind = canonical(words, plain)
+                codes, starts, kind = canonical(raw, plain)
                 if codes.tobytes() in done:
                     continue
                 done.add(codes.tobytes())
@@ -148,17 +172,33 @@ class Index:
                 if (~slot).sum() < min(least, window):
                     enough[:] = False
                 at = np.flatnonzero(enough)
-                h, i, p = sizes[w]
-                h.append(C.gram_hashes(codes, w)[at])
-                i.append(np.full(len(at), len(self.readings)))
-                p.append(at)
-                self.readings.append((n, np.append(starts, len(words)), kind))
-        self.sizes = {w: self._table(*map(np.concatenate, x)) for w, x in sizes.items()}
+                any_template |= len(at) > 0
+                ends = np.append(starts, len(words))
+                for p in np.flatnonzero(~enough):
+                    weak[ends[p]:max(ends[p + w] - min(window, len(words)), ends[p]) + 1] = True
+                self._add(sizes[w], codes, w, at, len(self.readings))
+                self.readings.append((n, ends, kind))
+            w, at = min(window, len(words)), np.flatnonzero(weak)
+            self._add(exact_sizes[w], exact(raw), w, at, len(self.readings))
+            self.readings.append((n, np.arange(len(words) + 1), sure))
+            self.whole.append(not any_template)
+            self.lines.append([_plain_form(x) for x in words] if len(words) < least else None)
+        self.sizes, self.exact_sizes = ({w: self._table(*map(np.concatenate, x)) for w, x in part.items()
+                                         if any(map(len, x[0]))} for part in (sizes, exact_sizes))
+
+    @staticmethod
+    def _add(columns: tuple, codes: np.ndarray, w: int, at: np.ndarray, reading: int) -> None:
+        h, i, p = columns
+        h.append(C.gram_hashes(codes, w)[at])
+        i.append(np.full(len(at), reading))
+        p.append(at)
 
     @staticmethod
     def _plain_words(begins: np.ndarray) -> list[np.ndarray]:
         """Sentence-initial words that are no names, per reading of an item."""
-        return [begins, np.zeros_like(begins)]
+        first = np.zeros_like(begins)
+        first[0] = True                        # an item quoted inside a sentence
+        return [begins, np.zeros_like(begins), first]
 
     @staticmethod
     def _table(h: np.ndarray, i: np.ndarray, p: np.ndarray) -> tuple:
@@ -183,16 +223,26 @@ class Index:
         words = text.split() if text else []
         if not words:
             return []
-        codes, starts, _ = canonical(words)
+        raw = coded(words)
+        codes, starts, _ = canonical(raw)
         starts = np.append(starts, len(words))
         segments: dict[int, list[tuple]] = defaultdict(list)
         for w, table in self.sizes.items():
             hits: dict[tuple[int, int], list[int]] = defaultdict(list)
             self._hits(table, C.gram_hashes(codes, w), hits)
             self._segments(hits, w, starts, words, segments)
+        if self.exact_sizes:
+            codes, starts = exact(raw), np.arange(len(words) + 1)
+            for w, table in self.exact_sizes.items():
+                hits = defaultdict(list)
+                self._hits(table, C.gram_hashes(codes, w), hits)
+                self._segments(hits, w, starts, words, segments)
         out = []
         for n, found in sorted(segments.items()):
-            best = self._chain(n, found, coverage)
+            if self.lines[n] and not any([_plain_form(x) for x in line.split()] == self.lines[n]
+                                         for line in text.splitlines()):
+                continue
+            best = self._chain(n, found, 1.0 if self.whole[n] else coverage)
             if best:
                 out.append((self.ids[n], *best))
         return out

@@ -275,6 +275,28 @@ def test_decontamination_of_sentence_initial_names():
     assert judge("Hi. " + item.replace("Mary", "John").replace("2", "5"), [(1, item)])[0][2] == 1
 
 
+@pytest.mark.parametrize("item", ["What is the capital of France?", "Who wrote War and Peace?", "2 + 2 =",
+                                  "Compute 12 * 14 + 3", "A train leaves at 9 from Rome.",
+                                  "Question\nWhat is the capital of France"])
+def test_decontamination_of_verbatim_short_items(item):
+    for before in ("1) ", "- ", "Quiz\n", "they asked ", "", "Well. "):
+        assert [f[:3:2] for f in judge(f"{before}{item}\nand more text", [(1, item)])] == [(1, 1.0)], before
+    assert judge("here " + item[0].lower() + item[1:], [(1, item)])
+
+
+def test_decontamination_of_weak_items_takes_all_their_words():
+    assert not judge("Compute 12 * 15 + 3", [(1, "Compute 12 * 14 + 3")])
+    assert not judge("then compute 12 * 14", [(1, "Compute 12 * 14 + 3")])
+    numbers = " ".join(map(str, range(100, 130)))
+    assert judge("x " + numbers, [(1, numbers)])[0][2] == 1
+    assert not judge(" ".join(numbers.split()[:29]), [(1, numbers)])
+    # fewer words than ``least``: a line of its own
+    assert judge("so:\nParis.\nyes", [(1, "Paris")]) and not judge("we saw Paris then", [(1, "Paris")])
+    # a weak window of an item counts beside its template windows
+    item = "count with me 1 2 3 4 5 6 7 8 9 10 11 12 and then stop for a rest at home"
+    assert judge(item, [(1, item)])[0][2] == 1
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, "the cat sat on the mat and looked at the moon", "x"), (2, None, "x"), (3, "", "x"), (4, "12 13 14", "x"),
