@@ -16,10 +16,11 @@ document has all of it in this way.
 
 Matches of one shift that touch are a segment; segments of an item are chained
 in order, from one shift to the next by at most ``window`` words, and what a
-chain covers of the item counts together. The **slots** (the placeholders'
-values) of a chain must be consistent: equal values of the item stand against
-equal values of the document and the other way round; sentence-initial words
-take part only if they are names elsewhere in the item. A document is
+chain covers of the item counts together. The **names** of a chain must be
+consistent: equal names of the item stand against equal names of the document
+and the other way round; sentence-initial words take part only if they are
+names elsewhere in the item. Numbers and units may coincide or part; they are
+compared by value and by lemma, to count what changed. A document is
 contaminated by an item if a consistent chain covers ``coverage`` of the item's
 words.
 
@@ -136,6 +137,58 @@ def sentence_starts(text: str) -> np.ndarray:
     return np.array(out, bool)
 
 
+_LEMMAS = {"feet": "foot", "inches": "inch", "lbs": "lb", "metre": "meter", "metres": "meter", "kilometer": "km",
+           "kilometers": "km", "gram": "g", "grams": "g", "kilogram": "kg", "kilograms": "kg", "litre": "liter",
+           "litres": "liter"}
+_VALUES = {w: i for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen "
+                                      "fourteen fifteen sixteen seventeen eighteen nineteen".split())}
+_VALUES |= {w: 10 * i for i, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)}
+_SCALES = {"hundred": 100, "thousand": 1000, "million": 10 ** 6, "billion": 10 ** 9}
+
+
+def _lemma(unit: str) -> str:
+    return _LEMMAS.get(unit) or (unit[:-1] if unit[-1:] == "s" and unit[:-1] in UNITS else unit)
+
+
+def _quantity(words: list[str]) -> list:
+    """Values and unit lemmas of a run of numbers and units; successive number words are one value."""
+    out, total, current, open_ = [], 0, 0, False
+    parts = []
+    for word in words:
+        low = word.strip(_EDGE).lower()
+        with_unit = _WITH_UNIT.match(low)
+        if with_unit and with_unit[1] in UNITS:
+            parts += [low[:with_unit.start(1)], with_unit[1]]
+        elif "-" in low[1:]:
+            for x in low.split("-"):
+                with_unit = _WITH_UNIT.match(x)
+                parts += [x[:with_unit.start(1)], with_unit[1]] if with_unit else [x]
+        else:
+            parts.append(low)
+    for x in [*parts, None]:
+        if x in _VALUES:
+            current, open_ = current + _VALUES[x], True
+            continue
+        if x in _SCALES:
+            if x == "hundred":
+                current = max(current, 1) * 100
+            else:
+                total, current = total + max(current, 1) * _SCALES[x], 0
+            open_ = True
+            continue
+        if open_:
+            out.append(float(total + current))
+            total, current, open_ = 0, 0, False
+        if x in UNITS:
+            out.append(_lemma(x))
+        elif x is not None:
+            try:
+                out.append(float(x.strip("$€£").rstrip(".,:/%").replace(",", "")))
+            except ValueError:
+                out.append(x)
+    return out
+
+
 def _name(word: str) -> str:
     return re.sub("['’]s$", "", word.strip(_EDGE).lower())
 
@@ -262,15 +315,11 @@ class Index:
                                     y - x, slots))
 
     def _consistent(self, n: int, slots: list[tuple], there: tuple = ({}, {})) -> tuple | None:
-        """``there`` (item value to document value and back) with the slots' values; None if they disagree."""
+        """``there`` (item name to document name and back) with the slots' names; None if they disagree."""
         one, two = dict(there[0]), dict(there[1])
         for _, name, mine, other in slots:
-            if name:
-                pairs = [(a, b) for a, b in zip(map(_name, mine), map(_name, other)) if a in self.names[n]]
-            else:
-                pairs = [(" ".join(x.strip(_EDGE) for x in mine), " ".join(x.strip(_EDGE) for x in other))]
-            for a, b in pairs:
-                if one.setdefault(a, b) != b or two.setdefault(b, a) != a:
+            for a, b in zip(map(_name, mine), map(_name, other)) if name else ():
+                if a in self.names[n] and (one.setdefault(a, b) != b or two.setdefault(b, a) != a):
                     return None
         return one, two
 
@@ -306,9 +355,9 @@ class Index:
         sentence-initial word that is no name elsewhere is a slot if it changed."""
         count, changed = 0, set()
         for _, name, mine, other in slots:
-            a, b = ([(_name if name else str.lower)(x.strip(_EDGE)) for x in side] for side in (mine, other))
-            count += len(a) if not name or a != b else sum(x in self.names[n] for x in a)
-            pairs = zip(a, b) if len(a) == len(b) else [(" ".join(a), " ".join(b))]
+            a, b = ([*map(_name, side)] if name else _quantity(side) for side in (mine, other))
+            count += len(mine) if not name or a != b else sum(x in self.names[n] for x in a)
+            pairs = zip(a, b) if len(a) == len(b) else [(tuple(a), tuple(b))]
             changed.update((x, y) for x, y in pairs if x != y)
         return count, len(changed)
 

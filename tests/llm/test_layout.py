@@ -297,6 +297,21 @@ def test_decontamination_of_weak_items_takes_all_their_words():
     assert judge(item, [(1, item)])[0][2] == 1
 
 
+@pytest.mark.parametrize("a,b,changed", [
+    ("1 hour and then 3 hours", "2 hours and then 4 hours", 2), ("3 apples and then 5 pears", "4 apples and then 4 pears", 2),
+    ("2 cats and then 2 dogs", "3 cats and then 5 dogs", 2), ("2 cats and then 7 dogs", "2 cats and then 2 dogs", 1),
+    ("20 feet and then 1,000 grams", "twenty foot and then one thousand g", 0)])
+def test_decontamination_where_numbers_coincide_or_part(a, b, changed):
+    item = "in the story that we read they have {} in the garden behind the old house"
+    found = judge(item.format(b), [(1, item.format(a))])
+    assert found[0][2] == 1 and found[0][4] == changed
+
+
+def test_decontamination_values():
+    assert decontaminate._quantity("two hundred thirty-five 1,000 5km 3-hour $7.50".split()) == [
+        235, 1000, 5, "km", 3, "hour", 7.5]
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, "the cat sat on the mat and looked at the moon", "x"), (2, None, "x"), (3, "", "x"), (4, "12 13 14", "x"),
