@@ -12,8 +12,9 @@ that falls as a Gaussian tail in ``EPSILON``.
 code's bits as the key. Two vectors at the threshold agree in a bit with
 probability ``1 - acos(t) / pi``; ``k`` follows the number of vectors (about 16
 to a bucket) and the number of tables follows from ``k`` so that a pair exactly
-at the threshold is missed with probability ``miss`` at most, closer pairs far
-less often. Work is ``n * tables``, not ``n^2``.
+at the threshold is missed with probability ``miss`` at most, closer pairs less
+often; all tables draw from one code, so the number is taken from the joint
+distribution (:func:`missed`). Work is ``n * tables``, not ``n^2``.
 
 **Deciding.** Inside a bucket the estimate plus its bound rules out pairs; all
 others are recomputed exactly in double precision, and only exact cosines make
@@ -62,11 +63,32 @@ def table_bits(dim: int, k: int, tables: int) -> np.ndarray:
     return np.stack([rng.choice(width, k, replace=False) for _ in range(tables)])
 
 
+def missed(k: int, tables: int, cosine: float) -> float:
+    """Probability that two vectors at ``cosine`` share no key. All tables draw
+    from the same ``D`` bits, so the average is over the number of bits in
+    which the pair differs; a wider code misses less."""
+    p = math.acos(cosine) / math.pi
+    d = np.arange(D - k + 1)
+    choose = np.array([math.lgamma(D + 1) - math.lgamma(x + 1) - math.lgamma(D - x + 1) for x in d])
+    chance = np.exp(choose + d * math.log(p) + (D - d) * math.log1p(-p)) if p else (d == 0).astype(float)
+    share = np.cumprod(np.concatenate([[1.0], 1 - k / (D - d[:-1])]))     # all k bits among the D - d equal ones
+    none = np.where(share < 1, np.exp(tables * np.log1p(-np.minimum(share, 1 - 1e-16))), 0.0)
+    return float(chance @ none + max(0.0, 1 - chance.sum()))
+
+
 def plan_tables(n: int, threshold: float, miss: float) -> tuple[int, int]:
     """(bits per key, number of tables) for ``n`` vectors."""
-    agree = 1 - math.acos(threshold) / math.pi
     k = min(max(math.ceil(math.log2(max(n, 2) / 16)), 6), 48)
-    return k, max(1, math.ceil(math.log(miss) / math.log1p(-agree ** k)))
+    high = 1
+    while missed(k, high, threshold) > miss:
+        high *= 2
+        if high > 1 << 20:
+            raise ValueError(f"no number of tables misses at most {miss} at cosine {threshold}")
+    low = high // 2
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if missed(k, mid, threshold) > miss else (low, mid)
+    return k, high
 
 
 def bucket_keys(bits: np.ndarray, chosen: np.ndarray, dim: int) -> np.ndarray:

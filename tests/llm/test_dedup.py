@@ -163,6 +163,20 @@ def test_embedding_recall_of_production_parameters(spark):
     assert sum(links.values()) >= 0.95 * sum(n for n, _ in want.values())
 
 
+@pytest.mark.parametrize("n", [10 ** 4, 10 ** 6, 10 ** 8])
+def test_embedding_tables_miss_no_more_than_stated(n):
+    dim, pairs = 64, 5000
+    k, tables = embedding.plan_tables(n, 0.9, 0.005)
+    rng = np.random.default_rng(n)
+    x = embedding.unit(rng.standard_normal((pairs, dim)))
+    other = rng.standard_normal((pairs, dim))
+    other = embedding.unit(other - (other * x).sum(axis=1, keepdims=True) * x)
+    y = 0.9 * x + math.sqrt(1 - 0.81) * other
+    turn, chosen = embedding.rotation(dim).T, embedding.table_bits(dim, k, tables)
+    met = (embedding.bucket_keys(x @ turn > 0, chosen, dim) == embedding.bucket_keys(y @ turn > 0, chosen, dim)).any(axis=1)
+    assert (~met).mean() <= 0.005 + 3 * math.sqrt(0.005 / pairs)
+
+
 def test_embedding_query_on_the_table(spark):
     rows = [(r.vec_id, r.embedding) for r in common.read(spark, SF_SMALL, "embeddings").collect()]
     got = QUERIES["op2_embedding_near_dedup"](spark, SF_SMALL).collect()
