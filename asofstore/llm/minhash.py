@@ -26,9 +26,10 @@ its members. Buckets and clusters larger than a block are dealt out as pairs
 of chunks.
 
 Defined results: text that is null, empty or without words has an empty set
-and links with nothing; rows that share a doc_id are one document; a null
-doc_id links with nothing, has a null component and is kept; extra columns are
-ignored by :func:`near_duplicates` and carried by :func:`deduplicate`.
+and links with nothing; rows that share a doc_id are one document, of
+which :func:`deduplicate` keeps one row per text; a null doc_id links with
+nothing, has a null component and is kept; extra columns are ignored by
+:func:`near_duplicates` and carried by :func:`deduplicate`.
 """
 
 from __future__ import annotations
@@ -288,7 +289,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80,
 
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are not the first of their component."""
-    drop = (near_duplicates(docs, k, percent, id_col, text_col).where("NOT kept")
-            .select(F.col("doc_id").alias("_drop")).distinct())
-    return docs.join(drop, docs[id_col] == drop["_drop"], "left_anti")
+    """``docs`` without the rows that are not the first of their component, and
+    with one row for each text of a doc_id."""
+    found = (near_duplicates(docs, k, percent, id_col, text_col).where("doc_id IS NOT NULL")
+             .groupBy(F.col("doc_id").alias("_drop")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_rows")))
+    found = C.stage(found.where("NOT _kept OR _rows > 1"), "minhash-drop")
+    single = docs.join(found, docs[id_col] == found["_drop"], "left_anti")
+    repeated = found.where("_kept").select("_drop")
+    if repeated.isEmpty():
+        return single
+    repeated = C.stage(repeated, "minhash-repeated")
+    return single.union(docs.join(repeated, docs[id_col] == repeated["_drop"], "left_semi")
+                        .dropDuplicates([id_col, text_col]))

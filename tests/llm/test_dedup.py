@@ -121,6 +121,16 @@ def test_components_of_chains_and_hubs(spark):
     assert got == want
 
 
+def test_deduplicate_a_table_loaded_twice(spark, odd_docs):
+    once = minhash.deduplicate(odd_docs.where("doc_id IS NOT NULL")).collect()
+    assert len(once) == len({(r.doc_id, r.text) for r in once}) and {1, 2, 3, 5, 6, 11} <= {r.doc_id for r in once}
+    twice = minhash.deduplicate(odd_docs.union(odd_docs))
+    assert twice.columns == odd_docs.columns
+    got = collections.Counter((r.doc_id, r.text) for r in twice.collect())
+    assert {x: n for x, n in got.items() if x[0] is not None} == {(r.doc_id, r.text): 1 for r in once}
+    assert sum(n for (i, _), n in got.items() if i is None) == 2
+
+
 # ------------------------------------------------------------------ embeddings
 
 def brute_embedding(rows, threshold=0.9):
