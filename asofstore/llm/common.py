@@ -267,3 +267,23 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def _digest(e: DataFrame) -> tuple:
     r = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return (r[0], r[1])
+
+
+# ---------------------------------------------------------------- keyed joins
+
+def keyed_join(rows: DataFrame, keyed: DataFrame, key: str, salt_from: list[str], how: str = "left",
+               most: int = 100_000, salts: int = 16) -> DataFrame:
+    """``rows`` with the other columns of ``keyed``, a staged table of one small row per ``key``;
+    null equals null.
+
+    Up to ``most`` rows ``keyed`` is broadcast (its rows are counted). Beyond that both
+    sides are exchanged by key and a salt taken from the columns ``salt_from``, so the rows
+    of a frequent key go to ``salts`` tasks.
+    """
+    named = keyed.withColumnRenamed(key, "_key")
+    if keyed.count() <= most:
+        return rows.join(F.broadcast(named), rows[key].eqNullSafe(named["_key"]), how).drop("_key")
+    named = named.withColumn("_salt_k", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = rows.withColumn("_salt_r", F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int"))
+    return dealt.join(named, dealt[key].eqNullSafe(named["_key"]) & (F.col("_salt_r") == F.col("_salt_k")),
+                      how).drop("_key", "_salt_r", "_salt_k")

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import (chat, decontaminate, embedding, language, minhash, packing, rollups, sharding, substring, toxicity)
+from . import (chat, codes, decontaminate, embedding, fim, language, minhash, packing, rollups, sharding, substring,
+               toxicity, warc)
 from .common import read, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +185,79 @@ comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN comp USING (doc_id)""")
 def op10_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Codebooks and codes by comparing every part with every entry, a pair of CTEs per round."""
+    nearest = ("SELECT x.rid, x.p, any_value(x.v) AS v, min({{'d': list_sum(list_transform(range(1, len(x.v) + 1),"
+               " lambda i: (x.v[i] - b.c[i]) * (x.v[i] - b.c[i]))), 'e': b.e}}) AS best"
+               " FROM parts AS x JOIN book{0} AS b ON b.p = x.p GROUP BY x.rid, x.p")
+    ctes = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"""parts AS MATERIALIZED (
+  SELECT rid, p, q[p * len(q) // {parts} + 1 : (p + 1) * len(q) // {parts}] AS v FROM kept, range({parts}) AS r(p))""",
+            f"book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, v AS c FROM parts WHERE rid <= {entries})"]
+    for k in range(rounds):
+        ctes += [f"near{k} AS MATERIALIZED ({nearest.format(k)})",
+                 f"""mean{k} AS MATERIALIZED (
+  SELECT p, e, list((s - ((s % n + n) % n)) // n ORDER BY i) AS c FROM (
+    SELECT p, e, i, sum(x) AS s, count(*) AS n FROM (
+      SELECT p, best.e AS e, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM near{k}) AS u
+    GROUP BY p, e, i) AS m GROUP BY p, e)""",
+                 f"""book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} AS b LEFT JOIN mean{k} AS m ON m.p = b.p AND m.e = b.e)"""]
+    ctes += [f"final AS MATERIALIZED ({nearest.format(rounds)})",
+             """coded AS (
+  SELECT vec_id, label, code, error FROM kept JOIN (
+    SELECT rid, string_agg(lower(printf('%02x', best.e)), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM final GROUP BY rid) AS f USING (rid))""",
+             f"""book AS (
+  SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM (
+    SELECT p, e, unnest(range(1, len(c) + 1)) AS i, unnest(c) AS x FROM book{rounds}) AS u)"""]
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, book"""
+
+
+@register("op11_equal_average_codes", _codes_sql())
+def op11_equal_average_codes(spark, sf_dir):
+    return codes.compress(read(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096).drop("n_compared")
+
+
+@register("op12_fill_in_middle", r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS x, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s
+  FROM documents),
+k AS (
+  SELECT *, CAST('0x' || substr(s, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(s, 9, 8) AS BIGINT) % (n + 1) AS b,
+    CASE WHEN n = 0 OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>')
+              OR CAST('0x' || substr(s, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+         WHEN CAST('0x' || substr(s, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (
+  SELECT *, substr(x, 1, least(a, b)) AS pre, substr(x, least(a, b) + 1, abs(a - b)) AS mid,
+         substr(x, greatest(a, b) + 1) AS suf FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                   WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE x END) AS output_sha256,
+  sha256(x) AS restored_sha256
+FROM c""")
+def op12_fill_in_middle(spark, sf_dir):
+    return fim.digests(fim.transform(read(spark, sf_dir, "documents"), seed=1))
+
+
+@register("op13_warc_index", r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+         coalesce(html, '') AS x FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS owner FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM g""")
+def op13_warc_index(spark, sf_dir):
+    return warc.round_trip(read(spark, sf_dir, "pages"), least_bytes=0).drop("url")
