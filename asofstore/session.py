@@ -74,3 +74,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
