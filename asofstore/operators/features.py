@@ -22,17 +22,7 @@ qtde_sessions_with_overtake      position < gridposition
 avg_overtake                     mean of gridposition - position
 ===============================  =====================================================
 
-How the windows are computed:
-
-* **Last N rounds**: each session row is equi-joined to a broadcast calendar map
-  (reference date, round, rank) and aggregated twice: per (dt_ref, driver,
-  session type) into additive state, map-side combined in the stage of the
-  join, then over the at most three session types into the 43 features. All
-  finite windows share one pass: the widest window's rows carry their rank, and
-  a narrower window is a condition on it. Nothing is subtracted, so sums need
-  no scale and keep their precision.
-* **Whole career**: sessions are first reduced to one row per (driver, season,
-  date); one running sum per driver over dates answers every reference date.
+All windows come from one pass over sessions dealt by driver (:mod:`.windows`).
 """
 
 from __future__ import annotations
@@ -42,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..schema import ATTRIBUTES, KEYS, MODE_SUFFIX, RACE, SPRINT, WINDOWS
 from . import asof
+from . import windows as WN
 
 
 # Feature families in output order, as SQL over one session
@@ -89,9 +80,6 @@ def all_feature_names(windows=tuple(WINDOWS)) -> list[str]:
     return [c for w in windows for c in window_feature_names(w)]
 
 
-# Wide generated column lists are built as SQL text: one parse on the JVM
-# side instead of thousands of Python-to-JVM calls per plan.
-
 # ------------------------------------------------------------ additive state
 
 _TYPES = (RACE, SPRINT)
@@ -109,91 +97,22 @@ def _state() -> list[tuple[str, str]]:
     return out
 
 
-def _total(col: str, mode: str | None) -> str:
-    """Sum of a state column over the rows of a session type, as SQL."""
-    return f"sum({col})" if mode is None else f"sum(CASE WHEN mode = '{mode}' THEN {col} END)"
-
-
-def _features_sql(w: str, seasons: str, total=_total) -> list[str]:
-    """The 43 features of window ``w`` from its state columns ``<name>{w}``."""
-    out = [f"{seasons} AS qtd_seasons{w}",
-           *(f"coalesce({total(f'n{w}', m)}, 0L) AS {name}{w}"
-             for name, m in (("qtd_sessions", None), ("qtd_race", RACE), ("qtd_sprint", SPRINT)))]
-    for name, kind, _ in FAMILIES:
-        for m in (None, *_TYPES):
-            if kind == "count":
-                e = f"coalesce({total(f'{name}{w}', m)}, 0L)"
-            else:
-                sm, n = total(f"{name}__s{w}", m), total(f"{name}__n{w}", m)
-                e = f"CASE WHEN {n} > 0 THEN {sm if kind == 'sum' else f'{sm} / {n}'} END"
-            out.append(f"{e} AS {name}{MODE_SUFFIX[m]}{w}")
-    return out
-
-
-# --------------------------------------------------------- the last N rounds
+def _feature_plan() -> list[tuple[str, str, str, int]]:
+    """(name, kind, state, 0 all 1 race 2 sprint) of the 43 features, in output order."""
+    at = {m: i for i, m in enumerate((None, *_TYPES))}
+    return [(name, "seasons" if kind == "distinct" else kind,
+             "n" if sql in (None, "TRUE") else name.removesuffix(MODE_SUFFIX[mode]) if mode else name, at[mode])
+            for name, kind, sql, mode in feature_specs()]
 
-def finite_window_features(results: DataFrame, year_start: int | None, year_stop: int | None,
-                           windows: dict, eligible: DataFrame) -> DataFrame:
-    """Features of several finite windows ``{suffix: n_rounds}`` in one pass.
 
-    A row is kept where the driver has a session in the smallest window (the
-    windows are nested, so that is the inner join of their stores).
-    """
-    nmax = max(windows.values())
-    m = asof.round_window_map(results, year_start, year_stop, nmax)
-    s = asof.with_session_date(results).selectExpr(
-        "driverid", "year", "roundnumber", "d",
-        f"CASE WHEN mode IN ({', '.join(repr(t) for t in _TYPES)}) THEN mode END AS mode",
-        *[f"{e} AS {c}" for c, e in _state()])
-    fan = s.join(m, ["year", "roundnumber"]).where("d <= dt_ref")
-    words = range((nmax + 62) // 63)    # seasons of a window, numbered by yk, as bits
-    state = []
-    for w, n in windows.items():
-        inside = "" if n == nmax else f"rn <= {n}"
-        pick = lambda e: f"CASE WHEN {inside} THEN {e} END" if inside else e
-        state += [f"sum({pick(c)}) AS {c}{w}" for c, _ in _state()]
-        for k in words:
-            at = f"floor((yk - 1) / 63) = {k}" + (f" AND {inside}" if inside else "")
-            state.append(f"bit_or(CASE WHEN {at} THEN shiftleft(1L, CAST((yk - 1) % 63 AS INT)) END) AS seasons{k}{w}")
-    per_type = fan.groupBy(*KEYS, "mode").agg(*[F.expr(e) for e in state])
-    feats = []
-    for w in windows:
-        seasons = " + ".join(f"coalesce(CAST(bit_count(bit_or(seasons{k}{w})) AS BIGINT), 0L)" for k in words)
-        feats += _features_sql(w, seasons)
-    out = per_type.groupBy(*KEYS).agg(*[F.expr(e) for e in feats])
-    smallest = min(windows, key=windows.get)
-    return out.where(f"qtd_sessions{smallest} > 0").join(eligible, KEYS, "left_semi")
-
-
-# ---------------------------------------------------------------- the career
-
-_RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-
-
-def career_features(results: DataFrame, eligible: DataFrame, suffix: str = "") -> DataFrame:
-    """Features over all sessions on or before each reference date.
-
-    Sessions become one row per (driver, date) with their state per session
-    type; the window per driver reads dates, not sessions, so a driver with a
-    third of all sessions does not make a large group.
-    """
-    s = asof.with_session_date(results)
-    total = lambda c, m: c if m is None else f"{c}_{m}"
-    cols = [(total(c, m), f"sum({e if m is None else f'CASE WHEN mode = {m!r} THEN {e} END'})")
-            for c, e in _state() for m in (None, *_TYPES)]
-    first = s.groupBy("driverid", "year").agg(F.min("d").alias("d")).groupBy("driverid", "d").agg(
-        F.count("*").alias("seasons"))
-    days = (s.groupBy("driverid", "d").agg(*[F.expr(f"{e} AS {c}") for c, e in cols])
-            .join(first, ["driverid", "d"], "left").withColumnRenamed("d", "t").withColumn("phase", F.lit(0)))
-    probes = eligible.selectExpr("driverid", "dt_ref AS t", "1 AS phase")
-    rows = days.unionByName(probes, allowMissingColumns=True)
-    over = f"OVER (PARTITION BY driverid ORDER BY t, phase {_RUNNING})"
-    running = rows.selectExpr("driverid", "t", "phase", f"sum(seasons) {over} AS seasons",
-                              *[f"sum({c}) {over} AS {c}{suffix}" for c, _ in cols]).where("phase = 1")
-    named = lambda c, m: c if m is None else f"{c[:len(c) - len(suffix)]}_{m}{suffix}"
-    out = running.selectExpr("t AS dt_ref", "driverid",
-                             *_features_sql(suffix, "coalesce(seasons, 0L)", named))
-    return out.where(f"qtd_sessions{suffix} > 0")
+def store_windows(results: DataFrame, year_start: int | None, year_stop: int | None, windows: dict,
+                  eligible: DataFrame, wanted: set[str] | None = None) -> DataFrame:
+    """Features of the windows ``{suffix: rounds, None for the career}`` of the eligible (dt_ref, driverid)."""
+    s = asof.with_session_date(results).withColumn("mode", F.expr(
+        "CASE " + " ".join(f"WHEN mode = '{m}' THEN {i}" for i, m in enumerate(_TYPES)) + f" ELSE {len(_TYPES)} END"))
+    finite = any(n is not None for n in windows.values())
+    bounds = WN.window_bounds(results, year_start, year_stop, windows) if finite else None
+    return WN.driver_windows(s, bounds, eligible, windows, _state(), _feature_plan(), wanted)
 
 
 # ------------------------------------------------------------------ public API
@@ -210,9 +129,7 @@ def window_features(results: DataFrame, year_start: int | None = None,
     elig = asof.eligible_drivers(results, year_start, year_stop, year_lag)
     if probes is not None:
         elig = elig.join(probes, KEYS, "left_semi")
-    out = (career_features(results, elig) if last_rounds is None else
-           finite_window_features(results, year_start, year_stop, {"": last_rounds}, elig))
-    out = out.select(*KEYS, *FEATURE_NAMES)
+    out = store_windows(results, year_start, year_stop, {"": last_rounds}, elig).select(*KEYS, *FEATURE_NAMES)
     if order:
         out = out.orderBy(F.col("dt_ref").desc(), F.col("driverid"))
     return out
@@ -241,29 +158,22 @@ def _attributes(results: DataFrame, dedupe: bool) -> DataFrame:
 def consolidated_features(results: DataFrame, year_start: int | None = None,
                           year_stop: int | None = None, windows: dict | None = None,
                           year_lag: int = 2, dedupe: bool = False,
-                          with_id: bool = True) -> DataFrame:
+                          with_id: bool = True, features: list[str] | None = None) -> DataFrame:
     """The consolidated store: ``id, dt_ref, driverid``, 4 x 43 features, attributes.
 
-    One pass for all finite windows and one for the career, inner-joined on
-    (dt_ref, driverid). Columns that a query does not read are pruned from the
-    aggregates and windows below.
+    One pass makes all windows; a row needs a session in each of them. ``features`` limits
+    the feature columns (their order is kept), for queries that read a few.
     """
-    windows = dict(WINDOWS if windows is None else windows)
+    windows = {f"_{w}": n for w, n in (WINDOWS if windows is None else windows).items()}
     elig = asof.eligible_drivers(results, year_start, year_stop, year_lag)
-    finite = {f"_{w}": n for w, n in windows.items() if n is not None}
-    parts = [finite_window_features(results, year_start, year_stop, finite, elig)] if finite else []
-    parts += [career_features(results, elig, f"_{w}") for w, n in windows.items() if n is None]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, KEYS, "inner")
-
+    out = store_windows(results, year_start, year_stop, windows, elig, None if features is None else set(features))
     attrs = _attributes(results, dedupe)
     out = out.join(attrs, KEYS, "left")
     if not dedupe:
         # restore one row per session of the day (NULL attributes: one row)
         reps = F.array_repeat(F.lit(1), F.coalesce("mult", F.lit(1)).cast("int"))
         out = out.withColumn("_rep", F.explode(reps)).drop("_rep")
-    feats = [c for w in windows for c in window_feature_names(w)]
+    feats = [c for c in out.columns if c not in {*KEYS, *ATTRIBUTES, "mult"}]
     cols = [*KEYS, *feats, *ATTRIBUTES]
     if with_id:
         cols = [feature_id().alias("id")] + cols

@@ -143,7 +143,7 @@ _LABEL_CTES = f"""{OF.consolidated_ctes(YEAR_START, YEAR_STOP)},
 season_points AS (
   SELECT CAST(year AS INT) AS year, driverid, sum(points) AS totalpoints
   FROM session_results
-  WHERE (mode = 'Race' OR mode = 'Sprint') AND NOT year = year(current_date)
+  WHERE mode IN ('Race', 'Sprint') AND year <> year(current_date)
   GROUP BY ALL),
 season_champions AS (
   SELECT p.*, 1 AS rankdriver FROM season_points AS p
@@ -152,7 +152,7 @@ season_champions AS (
 abt AS (
   SELECT fs_all.*, CASE WHEN (year(dt_ref), driverid) IN (SELECT (year, driverid) FROM season_champions)
     THEN 1 ELSE 0 END AS flchampion
-  FROM fs_all WHERE dt_ref BETWEEN DATE '{ABT_START}' AND DATE '{ABT_STOP}' - INTERVAL 1 DAY),
+  FROM fs_all WHERE dt_ref >= DATE '{ABT_START}' AND dt_ref < DATE '{ABT_STOP}'),
 abty AS (SELECT *, CAST(year(dt_ref) AS INT) AS year FROM abt),
 analytics AS (SELECT * FROM abty WHERE year < {OOT_YEAR}),
 oot AS (SELECT * FROM abty WHERE year = {OOT_YEAR}),
@@ -161,7 +161,7 @@ trimmed AS (
   SELECT year, dt_ref FROM (
     SELECT year, dt_ref, row_number() OVER (PARTITION BY year ORDER BY dt_ref DESC) - 1 AS rk
     FROM season_dates) AS r
-  WHERE rk > {DROP_LATEST - 1}),
+  WHERE rk >= {DROP_LATEST}),
 units AS (SELECT DISTINCT driverid, year, flchampion FROM analytics),
 split_units AS (
   SELECT driverid, year, flchampion,

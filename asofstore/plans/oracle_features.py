@@ -93,7 +93,7 @@ dim_dates AS (
   SELECT day AS dt_ref, year AS ref_year FROM days
   WHERE year BETWEEN {year_start} AND {year_stop} GROUP BY ALL),
 past_sessions AS (
-  SELECT c.dt_ref, c.ref_year, d.* FROM days AS d, dim_dates AS c WHERE NOT d.day > c.dt_ref),
+  SELECT c.dt_ref, c.ref_year, d.* FROM days AS d, dim_dates AS c WHERE d.day <= c.dt_ref),
 begun AS (SELECT year, roundnumber, min(day) AS first_day FROM days GROUP BY year, roundnumber),
 distinct_rounds AS (
   SELECT c.dt_ref, b.year, b.roundnumber
