@@ -14,15 +14,21 @@ MODES = (RACE, SPRINT)
 
 
 def session_grid(seasons: DataFrame, max_rounds: int = MAX_ROUNDS, modes=MODES,
-                 years: tuple[int, int] | None = None) -> DataFrame:
+                 years: tuple[int, int] | None = None, ahead: int | None = None) -> DataFrame:
     """``(year, roundnumber, mode)`` candidates: seasons x rounds 1..max x modes.
 
-    ``years`` gives the seasons as an inclusive range, so that a season without
-    a landed session is a candidate too; without it they are those of
-    ``seasons``. Generated with ``explode`` per season row -- no cross join.
+    The seasons are those of ``seasons``; with ``ahead`` every season from its first to
+    ``ahead`` after its last; with ``years`` an inclusive range, whatever has landed.
+    Generated with ``explode`` per season row -- no cross join.
     """
-    base = (seasons.select(F.col("year").cast("int").alias("year")).distinct() if years is None else
-            seasons.sparkSession.range(years[0], years[1] + 1).select(F.col("id").cast("int").alias("year")))
+    year = F.col("year").cast("int")
+    if years is not None:
+        base = seasons.sparkSession.range(years[0], years[1] + 1).select(F.col("id").cast("int").alias("year"))
+    elif ahead is not None:
+        span = seasons.agg(F.min(year).alias("low"), F.max(year).alias("high")).where("low IS NOT NULL")
+        base = span.select(F.explode(F.sequence("low", F.col("high") + ahead)).alias("year"))
+    else:
+        base = seasons.select(year.alias("year")).distinct()
     return (base.withColumn("roundnumber", F.explode(F.sequence(F.lit(1), F.lit(max_rounds))))
             .withColumn("mode", F.explode(F.array(*[F.lit(m) for m in modes]))))
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import team_color
+from pyspark.sql import types as T
+
+from ..functions.scalar import response, team_color
 
 
 def canonical_names(scored: DataFrame) -> DataFrame:
@@ -108,3 +110,40 @@ def require_unique(df: DataFrame, key: str = "id") -> DataFrame:
     if dup:
         raise ValueError(f"duplicate {key}: {dup[0][key]}")
     return df
+
+
+def responses(rows: DataFrame, by: str, key: str, prob: str, per: int = 1000) -> DataFrame:
+    """``(by, chunk, payload)``: response texts (F14) of about ``per`` ids, so no text grows with its group.
+
+    An id always falls in one chunk of its group; an id that comes twice there is an error.
+    """
+    sizes = rows.groupBy(F.col(by).alias("_by")).agg(F.ceil(F.count("*") / per).alias("_chunks"))
+    dealt = rows.join(sizes, rows[by].eqNullSafe(sizes["_by"]))
+    chunk = F.pmod(F.xxhash64(key), F.col("_chunks")).alias("chunk")
+    return dealt.groupBy(by, chunk).agg(response(F.col(key), F.col(prob)).alias("payload"))
+
+
+def checked_records(requests: DataFrame, shape: T.StructType, payload: str = "payload") -> DataFrame:
+    """The records of ``{"values": [record, ...]}`` texts (F15), one row each, nothing dropped.
+
+    Adds ``record`` (of ``shape``) and ``reason`` to the other columns; one of them is null. A text that is
+    no JSON object, has no values or a value that does not fit its type is a row with a reason; a field that
+    is absent or null is null. An empty list is 'No features provided'.
+    """
+    loose = T.StructType([T.StructField("values", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+                          T.StructField("_corrupt", T.StringType())])
+    text = F.col(payload)
+    body = F.from_json(text, loose, {"columnNameOfCorruptRecord": "_corrupt"})
+    whole = (F.when(text.isNull() | body.isNull() | (body["_corrupt"].isNotNull() & F.get_json_object(text, "$").isNull()),
+                    "not a JSON object")
+             .when(body["_corrupt"].isNotNull() | body["values"].isNull(), "no values")
+             .when(F.size(body["values"]) == 0, "No features provided"))
+    rest = [c for c in requests.columns if c != payload]
+    opened = requests.select(*rest, whole.alias("_whole"), F.explode_outer(
+        F.when(whole.isNull(), body["values"])).alias("_r"))
+    value = lambda f: F.col("_r")[f.name].try_cast(f.dataType)
+    misfit = [F.when(F.col("_r")[f.name].isNotNull() & value(f).isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+              for f in shape]
+    reason = F.coalesce(F.col("_whole"), F.when(F.col("_r").isNull(), "a record is no object"), *misfit)
+    return opened.withColumn("reason", reason).select(*rest, "reason", F.when(F.col("reason").isNull(), F.struct(
+        *[value(f).alias(f.name) for f in shape])).alias("record"))

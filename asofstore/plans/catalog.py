@@ -184,10 +184,9 @@ def _labels(select: str) -> str:
     return f"WITH {_LABEL_CTES}\n{select}"
 
 
-def features_all(spark, sf):
-    """The consolidated store, lazily: a query that reads a few columns makes
-    only those."""
-    return FE.consolidated_features(results(spark, sf), YEAR_START, YEAR_STOP)
+def features_all(spark, sf, features=None):
+    """The consolidated store, lazily; ``features`` limits its feature columns."""
+    return FE.consolidated_features(results(spark, sf), YEAR_START, YEAR_STOP, features=features)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -202,14 +201,22 @@ def champions(spark, sf):
     return LB.season_champions(results(spark, sf))
 
 
-def abt_table(spark, sf):
+def abt_table(spark, sf, features=None):
     res = results(spark, sf)
-    return LB.abt(features_all(spark, sf), LB.season_champions(res), ABT_START, ABT_STOP)
+    return LB.abt(features_all(spark, sf, features), LB.season_champions(res), ABT_START, ABT_STOP)
+
+
+_SCORE_FEATS = ["qtde_points_last_10", "qtde_points_life"]
+
 
+def written_abt(spark, sf, features=()):
+    """The ABT with the features that a query needs, evaluated once."""
+    return written(abt_table(spark, sf, list(features)), "abt")
 
-def sampling(spark, sf):
+
+def sampling(spark, sf, features=()):
     """analytics, oot, trimmed dates, split units, train, test."""
-    analytics, oot = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    analytics, oot = SP.oot_split(written_abt(spark, sf, features), OOT_YEAR)
     trimmed = SP.season_tail_trim(analytics, DROP_LATEST)
     units = SP.stratified_split(SP.driver_year_labels(analytics), TRAIN_FRAC, SEED)
     train, test = SP.split_sets(units, analytics, trimmed)
@@ -222,7 +229,7 @@ def surrogate_score():
 
 
 def scored_splits(spark, sf):
-    _, oot, _, _, train, test = sampling(spark, sf)
+    _, oot, _, _, train, test = sampling(spark, sf, _SCORE_FEATS)
     parts = [train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test")),
              oot.withColumn("split", F.lit("oot"))]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -252,14 +259,14 @@ _KEYS5 = ["id", "dt_ref", "driverid", "year", "flchampion"]
     f" CASE WHEN year = {OOT_YEAR} THEN 'oot' ELSE 'analytics' END AS split"
     f" FROM abty WHERE year <= {OOT_YEAR}"))
 def q_oot_split(spark, sf):
-    analytics, oot = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    analytics, oot = SP.oot_split(written_abt(spark, sf), OOT_YEAR)
     return (analytics.select(*_KEYS5, F.lit("analytics").alias("split"))
             .unionByName(oot.select(*_KEYS5, F.lit("oot").alias("split"))))
 
 
 @register("season_dates", _labels("SELECT * FROM season_dates"))
 def q_season_dates(spark, sf):
-    analytics, _ = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    analytics, _ = SP.oot_split(written_abt(spark, sf), OOT_YEAR)
     return SP.season_dates(analytics)
 
 
@@ -270,7 +277,7 @@ def q_season_tail_trim(spark, sf):
 
 @register("driver_year_labels", _labels("SELECT * FROM units"))
 def q_driver_year_labels(spark, sf):
-    analytics, _ = SP.oot_split(abt_table(spark, sf), OOT_YEAR)
+    analytics, _ = SP.oot_split(written_abt(spark, sf), OOT_YEAR)
     return SP.driver_year_labels(analytics)
 
 
@@ -309,7 +316,7 @@ IMPUTE_VALUE = -1000.0
     + " FROM chosen WHERE split = 'train') ON COLUMNS(*) INTO NAME feature VALUE n_missing) AS u"
     " WHERE n_missing > 0"))
 def q_missing_counts(spark, sf):
-    return MT.missing_counts(sampling(spark, sf)[4], _FEATS)
+    return MT.missing_counts(sampling(spark, sf, _FEATS)[4], _FEATS)
 
 
 @register("impute", _labels(
@@ -318,7 +325,7 @@ def q_missing_counts(spark, sf):
     + " FROM chosen WHERE split = 'train'"))
 def q_impute(spark, sf):
     from ..operators.ml import fill_features
-    train = sampling(spark, sf)[4]
+    train = sampling(spark, sf, _FEATS)[4]
     return fill_features(train, _FEATS, IMPUTE_VALUE).select("id", "dt_ref", "driverid", *_FEATS)
 
 
@@ -372,15 +379,17 @@ def _report(select: str) -> str:
 
 
 def scored_store(spark, sf):
-    return SP.with_year(features_all(spark, sf)).withColumn("prob_win", surrogate_score())
+    """The scored store with the columns that reports read, evaluated once."""
+    store = features_all(spark, sf, [*_SCORE_FEATS, "qtd_sessions_last_10"])
+    return written(SP.with_year(store).withColumn("prob_win", surrogate_score()), "scored")
 
 
 def named_store(spark, sf):
     return RP.attach_names(scored_store(spark, sf))
 
 
-def filtered_report(spark, sf):
-    named = named_store(spark, sf)
+def filtered_report(spark, sf, named=None):
+    named = named_store(spark, sf) if named is None else named
     seasons = named.agg(F.max("year").alias("year"))
     return RP.report_filter(named, RP.default_drivers(named), seasons)
 
@@ -442,7 +451,7 @@ def q_driver_colors(spark, sf):
 def q_prob_pivot(spark, sf):
     named = named_store(spark, sf)
     slots = RP.driver_slots(RP.default_drivers(named))
-    rows = filtered_report(spark, sf).join(slots, "driverid")
+    rows = filtered_report(spark, sf, named).join(slots, "driverid")
     wide = RP.prob_pivot(rows, [1, 2, 3], by="slot")
     return wide.select("dt_ref", *[F.col(str(k)).alias(f"driver_{k}") for k in (1, 2, 3)])
 
@@ -462,10 +471,10 @@ def q_attach_scores(spark, sf):
     "SELECT dt_ref, id, key, CASE key WHEN '0' THEN 1 - prob_win ELSE prob_win END AS probability"
     " FROM (SELECT DISTINCT dt_ref, id, prob_win FROM sc) AS u, (VALUES ('0'), ('1')) AS k(key)"))
 def q_score_payload(spark, sf):
-    """One response per reference date, read back: the text keeps full precision."""
+    """Responses of about 1,000 ids per reference date, read back: the text keeps full precision."""
     from pyspark.sql import types as T
-    sc = RP.require_unique(scored_store(spark, sf).select("dt_ref", "id", "prob_win").distinct(), "id")
-    texts = sc.groupBy("dt_ref").agg(SC.response(F.col("id"), F.col("prob_win")).alias("payload"))
+    sc = scored_store(spark, sf).select("dt_ref", "id", "prob_win").distinct()
+    texts = RP.responses(sc, "dt_ref", "id", "prob_win")
     shape = T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))
     body = F.from_json("payload", T.StructType([T.StructField("predictions", shape)]))["predictions"]
     return (texts.select("dt_ref", F.explode(body).alias("id", "_p"))
@@ -487,6 +496,26 @@ def q_payload_records(spark, sf):
     return docs.select(F.inline(SC.parse_records(F.col("payload"), schema)))
 
 
+_BAD = "qtd_sessions_last_10 % 5"
+
+
+@register("payload_rejects", _report(
+    f"SELECT id, CASE {_BAD} WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'no values'"
+    " WHEN 2 THEN 'qtde_points_life is no double' END AS reason,"
+    f" CASE WHEN {_BAD} > 2 THEN qtde_points_life END AS qtde_points_life FROM sc"))
+def q_payload_rejects(spark, sf):
+    """Requests of which some are malformed: every record comes out, with its values or with the reason."""
+    from pyspark.sql import types as T
+    sc = scored_store(spark, sf).withColumn("_bad", F.expr(_BAD))
+    good = F.to_json(F.struct(F.array(F.struct("id", "qtde_points_life")).alias("values")))
+    text = (F.when(F.col("_bad") == 0, F.lit("{bad")).when(F.col("_bad") == 1, F.lit('{"rows": []}'))
+            .when(F.col("_bad") == 2, F.lit('{"values": [{"id": "x", "qtde_points_life": "no"}]}')).otherwise(good))
+    shape = T.StructType([T.StructField("id", T.StringType()), T.StructField("qtde_points_life", T.DoubleType())])
+    asked = sc.select("id", text.alias("payload"))
+    return RP.checked_records(asked, shape).select(
+        "id", "reason", F.col("record")["qtde_points_life"].alias("qtde_points_life"))
+
+
 # ------------------------------------------------------------ step 7: ingestion and sinks
 
 from ..operators import ingest as IG  # noqa: E402
@@ -499,12 +528,11 @@ _SR = f"WITH session_results AS ({OF.SESSION_RESULTS_SQL})"
 
 
 @register("session_grid", f"{_SR}\nSELECT y.year, CAST(r.roundnumber AS INT) AS roundnumber, m.mode"
-          f" FROM (SELECT CAST(y AS INT) AS year FROM range({YEAR_START}, {YEAR_STOP + 2}) AS s(y)) AS y,"
-          " range(1, 30) AS r(roundnumber), (VALUES ('Race'), ('Sprint')) AS m(mode)"
-          " WHERE EXISTS (SELECT 1 FROM session_results)")
+          " FROM (SELECT CAST(unnest(range(min(year), max(year) + 2)) AS INT) AS year FROM session_results) AS y,"
+          " range(1, 30) AS r(roundnumber), (VALUES ('Race'), ('Sprint')) AS m(mode)")
 def q_session_grid(spark, sf):
-    """Up to the season after the last one landed, which has no session yet."""
-    return IG.session_grid(results(spark, sf), years=(YEAR_START, YEAR_STOP + 1))
+    """From the first landed season to the one after the last, which has no session yet."""
+    return IG.session_grid(results(spark, sf), ahead=1)
 
 
 @register("missing_sessions", f"{_SR},\n"
@@ -634,7 +662,7 @@ def _with_label(df):
 
 def model_rows(spark, sf):
     """Train, test and OOT rows with their split, written once for all models."""
-    _, oot, _, _, train, test = sampling(spark, sf)
+    _, oot, _, _, train, test = sampling(spark, sf, _FEATS)
     parts = [train.withColumn("split", F.lit("train")), test.withColumn("split", F.lit("test")),
              oot.withColumn("split", F.lit("oot"))]
     return written(_with_label(parts[0].unionByName(parts[1]).unionByName(parts[2])), "splits")
@@ -658,6 +686,51 @@ def q_adaboost_scores(spark, sf):
     return fit_and_score(model_rows(spark, sf), "ada_boost")[1]
 
 
+# Features and settings of the boosting check.
+BOOST_FEATS = ["qtd_sessions_life", "qtde_points_life", "avg_position_life", "qtde_points_last_10",
+               "avg_gridposition_last_20", "qtde_1pos_last_40"]
+BOOST_ROUNDS, BOOST_RATE = 5, 0.8
+
+
+def _boosting_sql() -> str:
+    """Rounds as SQL: weighted class counts of each value, their running sums, the purest midpoint, new weights."""
+    pairs = ", ".join(f"{{'j': {j}, 'v': COALESCE(CAST({c} AS DOUBLE), {IMPUTE_VALUE})}}" for j, c in enumerate(BOOST_FEATS))
+    ctes = [f"""base AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY id) AS rid, flchampion AS y, [{pairs}] AS xs FROM chosen WHERE split = 'train'),
+cells AS MATERIALIZED (SELECT rid, y, x.j AS j, x.v AS v FROM (SELECT rid, y, unnest(xs) AS x FROM base) AS u),
+w1 AS MATERIALIZED (SELECT rid, y, CAST(1 AS DOUBLE) AS w FROM base)"""]
+    for k in range(1, BOOST_ROUNDS + 1):
+        ctes.append(f"""values{k} AS (
+  SELECT j, v, COALESCE(sum(w) FILTER (c.y = 0), 0) AS n0, COALESCE(sum(w) FILTER (c.y = 1), 0) AS n1
+  FROM cells AS c JOIN w{k} USING (rid) GROUP BY j, v),
+sides{k} AS (
+  SELECT j, v / 2 + lead(v) OVER o / 2 AS threshold, sum(n0) OVER o AS l0, sum(n1) OVER o AS l1,
+    sum(n0) OVER (PARTITION BY j) - sum(n0) OVER o AS r0, sum(n1) OVER (PARTITION BY j) - sum(n1) OVER o AS r1
+  FROM values{k} WINDOW o AS (PARTITION BY j ORDER BY v)),
+stump{k} AS MATERIALIZED (
+  SELECT *, CAST(l1 > l0 AS INT) AS left_class, CAST(r1 > r0 AS INT) AS right_class,
+    (least(l0, l1) + least(r0, r1)) / (l0 + l1 + r0 + r1) AS err
+  FROM sides{k} WHERE threshold IS NOT NULL
+  ORDER BY round((l0 + l1 - (l0 * l0 + l1 * l1) / (l0 + l1) + r0 + r1 - (r0 * r0 + r1 * r1) / (r0 + r1))
+                 / (l0 + l1 + r0 + r1), 12), j, threshold LIMIT 1),
+w{k + 1} AS MATERIALIZED (
+  SELECT rid, c.y, w * CASE WHEN CASE WHEN v <= threshold THEN left_class ELSE right_class END <> c.y
+    THEN exp({BOOST_RATE} * ln((1 - err) / err)) ELSE 1 END AS w
+  FROM cells AS c JOIN w{k} USING (rid) JOIN stump{k} USING (j))""")
+    names = " ".join(f"WHEN {j} THEN '{c}'" for j, c in enumerate(BOOST_FEATS))
+    rounds = " UNION ALL ".join(f"SELECT {k} AS round, * FROM stump{k}" for k in range(1, BOOST_ROUNDS + 1))
+    return (",\n" + ",\n".join(ctes) + f"\nSELECT CAST(round AS INT) AS round, CASE j {names} END AS feature, threshold,"
+            f" left_class, right_class, {BOOST_RATE} * ln((1 - err) / err) AS alpha FROM ({rounds}) AS r")
+
+
+@register("adaboost_rounds", f"WITH {_LABEL_CTES}{_boosting_sql()}")
+def q_adaboost_rounds(spark, sf):
+    """The stumps of five boosting rounds on the train split, with every threshold tried."""
+    train = written(_with_label(sampling(spark, sf, BOOST_FEATS)[4]).select("label", *BOOST_FEATS), "train")
+    boost = ML.AdaBoostStumps(numRounds=BOOST_ROUNDS, learningRate=BOOST_RATE)
+    return ML.boosting_rounds(ML.pipeline(BOOST_FEATS, boost, IMPUTE_VALUE).fit(train), BOOST_FEATS, spark)
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     out, rows = None, model_rows(spark, sf)

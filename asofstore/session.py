@@ -66,14 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A per-use folder under the shared checkpoint folder.
+    """A per-use folder under the shared checkpoint folder, removed when the application ends.
 
     Used for written intermediate tables that must survive executor loss.
     """
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    parent = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}-{uuid.uuid4().hex[:12]}")
+    fs = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(parent)
+    fs.deleteOnExit(parent)
+    return f"{parent.toString()}/t"
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

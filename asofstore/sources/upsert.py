@@ -46,6 +46,12 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
+    """The folder that the writer gives a partition value (as string), escaped as it does."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{escape(column)}={escape(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+
+
 def upsert(spark: SparkSession, table_path: str, incoming: DataFrame, keys: list[str],
            partition_col: str, staging_root: str | None = None) -> None:
     """Merge ``incoming`` (which holds ``partition_col``) into the table on ``keys``;
@@ -75,8 +81,7 @@ def upsert(spark: SparkSession, table_path: str, incoming: DataFrame, keys: list
         left = spark.read.schema(f"_part {dict(new.dtypes)[partition_col]}").parquet(f"{root}/parts")
         gone = left.join(out.select(F.col(partition_col).alias("_now")).distinct(),
                          F.col("_part").eqNullSafe(F.col("_now")), "left_anti")
-        for r in gone.toLocalIterator():
-            value = "__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0]
-            _delete(spark, f"{table_path.rstrip('/')}/{partition_col}={value}")
+        for r in gone.select(F.col("_part").cast("string")).toLocalIterator():
+            _delete(spark, f"{table_path.rstrip('/')}/{partition_folder(spark, partition_col, r[0])}")
     finally:
         _delete(spark, root)

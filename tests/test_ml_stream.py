@@ -40,10 +40,10 @@ def test_adaboost_rounds_and_probabilities(spark, train):
 
 def test_adaboost_stops_at_a_perfect_stump(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (2.0, 1.0), (3.0, 1.0)], "x double, label double")
-    model = ML.pipeline(["x"], ML.AdaBoostStumps(numRounds=2, numBins=4)).fit(df)
+    model = ML.pipeline(["x"], ML.AdaBoostStumps(numRounds=2)).fit(df)
     st = model.stages[-1].getOrDefault("stumps")
     assert len(st) == 1
-    assert st[0][0] == 0 and st[0][1] == 1.0 and tuple(st[0][2:4]) == (0, 1)
+    assert st[0][0] == 0 and st[0][1] == 1.5 and tuple(st[0][2:4]) == (0, 1)
 
 
 @pytest.mark.parametrize("most", [512, 1])
@@ -52,14 +52,14 @@ def test_adaboost_two_rounds_by_hand(spark, most):
     # x <= 0 has one error (x = 2): the purer split by Gini is x <= 0
     data = [(0.0, 0.0), (1.0, 1.0), (2.0, 0.0), (3.0, 1.0), (4.0, 1.0)]
     df = spark.createDataFrame(data, "x double, label double")
-    model = ML.pipeline(["x"], ML.AdaBoostStumps(numRounds=2, learningRate=1.0, numBins=5, maxPatterns=most)).fit(df)
+    model = ML.pipeline(["x"], ML.AdaBoostStumps(numRounds=2, learningRate=1.0, maxPatterns=most)).fit(df)
     st = model.stages[-1].getOrDefault("stumps")
     weights, x, y = np.ones(5), np.arange(5.0), np.array([0, 1, 0, 1, 1])
     for _, thr, lc, rc, alpha in st:
         pred = np.where(x <= thr, lc, rc)
         err = weights[pred != y].sum() / weights.sum()
         gini = {}
-        for t in (0.0, 1.0, 2.0, 3.0):
+        for t in (0.5, 1.5, 2.5, 3.5):
             total = 0.0
             for side in (x <= t, x > t):
                 w = np.array([weights[side & (y == k)].sum() for k in (0, 1)])

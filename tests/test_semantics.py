@@ -169,7 +169,7 @@ def test_grid_lists_seasons_without_a_session(spark):
 def test_missing_feature_column_fails(spark):
     from asofstore.operators import ml
     df = spark.createDataFrame([(1.0, 2.0, 0.0), (2.0, 1.0, 1.0)], "a double, b double, label double")
-    model = ml.pipeline(["a", "b"], ml.AdaBoostStumps(numRounds=1, numBins=2)).fit(df)
+    model = ml.pipeline(["a", "b"], ml.AdaBoostStumps(numRounds=1)).fit(df)
     with pytest.raises(Exception, match="b"):
         model.transform(df.drop("b")).collect()
 
