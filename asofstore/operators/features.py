@@ -158,14 +158,18 @@ def _attributes(results: DataFrame, dedupe: bool) -> DataFrame:
 def consolidated_features(results: DataFrame, year_start: int | None = None,
                           year_stop: int | None = None, windows: dict | None = None,
                           year_lag: int = 2, dedupe: bool = False,
-                          with_id: bool = True, features: list[str] | None = None) -> DataFrame:
+                          with_id: bool = True, features: list[str] | None = None,
+                          probes: DataFrame | None = None) -> DataFrame:
     """The consolidated store: ``id, dt_ref, driverid``, 4 x 43 features, attributes.
 
     One pass makes all windows; a row needs a session in each of them. ``features`` limits
-    the feature columns (their order is kept), for queries that read a few.
+    the feature columns (their order is kept), for queries that read a few; ``probes``
+    limits the rows to given (dt_ref, driverid) pairs, for repairs.
     """
     windows = {f"_{w}": n for w, n in (WINDOWS if windows is None else windows).items()}
     elig = asof.eligible_drivers(results, year_start, year_stop, year_lag)
+    if probes is not None:
+        elig = elig.join(probes, KEYS, "left_semi")
     out = store_windows(results, year_start, year_stop, windows, elig, None if features is None else set(features))
     attrs = _attributes(results, dedupe)
     out = out.join(attrs, KEYS, "left")

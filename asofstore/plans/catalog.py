@@ -9,8 +9,10 @@ seasons present, so every query covers the whole history.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -522,7 +524,9 @@ from ..operators import ingest as IG  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..sources.tables import read_table  # noqa: E402
 from ..sources.upsert import upsert  # noqa: E402
-from ..streaming.ingest import BRONZE_KEYS, ingest_landing  # noqa: E402
+from ..streaming.ingest import ingest_landing, ingest_with_ledger, read_ledger  # noqa: E402
+from ..streaming import online as OL  # noqa: E402
+from ..streaming.repair import StoreRepair  # noqa: E402
 
 _SR = f"WITH session_results AS ({OF.SESSION_RESULTS_SQL})"
 
@@ -602,7 +606,7 @@ def q_csv_roundtrip(spark, sf):
 def q_publish_roundtrip(spark, sf):
     path = scratch_dir(spark, "fs-all")
     FS.publish(features_all(spark, sf), path)
-    return spark.read.parquet(path)
+    return FS.read_published(spark, path)
 
 
 # The session group that lands late in the upsert scenario.
@@ -644,6 +648,51 @@ def q_stream_ingest(spark, sf):
     return spark.read.parquet(bronze).select(*res.columns)
 
 
+@register("ingest_ledger", f"{_SR}\nSELECT ok, CAST(count(*) AS BIGINT) AS n_rows,"
+          " CAST(sum(CASE WHEN ok THEN 0 ELSE CAST(mode = 'Sprint' AS INT) END) AS BIGINT) AS n_bad,"
+          " CAST(CASE WHEN ok THEN 0 ELSE 1 END AS BIGINT) AS files_left"
+          " FROM (SELECT *, year <> 1996 AS ok FROM session_results) AS s GROUP BY ok")
+def q_ingest_ledger(spark, sf):
+    """Files land with a ledger row each; a file with rows that lack a driver stays where it is."""
+    res = written(results(spark, sf), "sessions")
+    root = scratch_dir(spark, "ledger")
+    landing, ledger = f"{root}/landing", f"{root}/ledger"
+    res.where("year <> 1996").write.parquet(landing)
+    broken = res.where("year = 1996").withColumn("driverid", F.expr("CASE WHEN mode <> 'Sprint' THEN driverid END"))
+    broken.coalesce(1).write.mode("append").parquet(landing)
+    ingest_with_ledger(spark, landing, f"{root}/bronze", ledger, f"{root}/checkpoint", max_files_per_trigger=100)
+    left = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(landing)
+            .agg(F.count("path").alias("left_there")))
+    per = read_ledger(spark, ledger).groupBy("ok").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
+    # one row: the number of files that are left
+    return per.join(F.broadcast(left), F.lit(True)).select(
+        "ok", "n_rows", "n_bad", F.when(F.col("ok"), F.lit(0)).otherwise(F.col("left_there")).cast("long").alias("files_left"))
+
+
+@register("online_features", f"WITH newest AS ({OF.window_features_sql(YEAR_START, YEAR_STOP, LAST_N)})"
+          " SELECT * FROM newest WHERE dt_ref = (SELECT max(dt_ref) FROM newest)")
+def q_online_features(spark, sf):
+    """Features at the newest date from keyed state, after sessions landed in an order that has nothing to do with time."""
+    res = results(spark, sf)
+    root = scratch_dir(spark, "online")
+    res.repartition(3, F.xxhash64("driverid", "year", "roundnumber", "mode", F.lit(7))).write.parquet(f"{root}/landing")
+    OL.follow(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint")
+    return OL.online_features(spark, f"{root}/table", YEAR_START, YEAR_STOP, LAST_N)
+
+
+@register("repaired_store", OF.consolidated_sql(YEAR_START, YEAR_STOP))
+def q_repaired_store(spark, sf):
+    """The consolidated store after all sessions landed in three batches that are out of order, repaired
+    after each: the last brings whole rounds that move the windows of all drivers."""
+    res = written(results(spark, sf), "sessions")
+    held = "year = 1998 AND roundnumber IN (3, 4)"
+    late = f"year = {LATE_YEAR} AND mode = '{LATE_MODE}'"
+    keeper = StoreRepair(spark, scratch_dir(spark, "repair"), YEAR_START, YEAR_STOP)
+    for batch_id, cond in enumerate((f"NOT ({held}) AND NOT ({late})", late, held)):
+        keeper.merge(res.where(cond), batch_id)
+    return keeper.read()
+
+
 # ------------------------------------------------------------ step 6: models (rows-only checks)
 
 from ..operators import ml as ML  # noqa: E402
@@ -733,9 +782,10 @@ def q_adaboost_rounds(spark, sf):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    out, rows = None, model_rows(spark, sf)
-    for name in MODELS:
-        model = ML.pipeline(_FEATS, MODELS[name]()).fit(rows.where("split = 'train'"))
+    rows = model_rows(spark, sf)
+    fits = fit_all(rows, MODELS)
+    out = None
+    for name, (model, _) in fits.items():
         fi = ML.feature_importance(model, _FEATS, spark).withColumn("model", F.lit(name))
         out = fi if out is None else out.unionByName(fi)
     path = scratch_dir(spark, "importance")
@@ -743,10 +793,16 @@ def q_feature_importance(spark, sf):
     return spark.read.parquet(path)
 
 
-def _metrics(spark, sf):
-    out, rows = None, model_rows(spark, sf)
-    for name in MODELS:
-        _, scored = fit_and_score(rows, name)
+def fit_all(rows, names):
+    """Every model fitted and scored, at the same time: {name: (model, scores)}."""
+    with ThreadPoolExecutor(len(names)) as pool:
+        run = inheritable_thread_target(rows.sparkSession)(lambda name: fit_and_score(rows, name))
+        return dict(zip(names, pool.map(run, names)))
+
+
+def _metrics(fits):
+    out = None
+    for name, (_, scored) in fits.items():
         auc = MT.auc_by_split(scored, score="prob_win").withColumn("model", F.lit(name))
         out = auc if out is None else out.unionByName(auc)
     return out
@@ -754,7 +810,7 @@ def _metrics(spark, sf):
 
 @register("model_metrics")
 def q_model_metrics(spark, sf):
-    return _metrics(spark, sf)
+    return _metrics(fit_all(model_rows(spark, sf), MODELS))
 
 
 @register("run_log")
@@ -768,25 +824,26 @@ def q_run_log(spark, sf):
                    (name, "param", "imputation_value", str(IMPUTE_VALUE))]
         spark.createDataFrame(params, "run string, kind string, key string, value string") \
             .write.mode("append").parquet(path)
-    m = _metrics(spark, sf).select(F.col("model").alias("run"), F.lit("metric").alias("kind"),
-                                   F.concat(F.lit("auc_"), F.col("split")).alias("key"),
-                                   F.col("auc").cast("string").alias("value"))
+    m = _metrics(fit_all(model_rows(spark, sf), MODELS)).select(
+        F.col("model").alias("run"), F.lit("metric").alias("kind"), F.concat(F.lit("auc_"), F.col("split")).alias("key"),
+        F.col("auc").cast("string").alias("value"))
     m.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
 @register("batch_scores")
 def q_batch_scores(spark, sf):
-    """Refit on every ABT row (M11), register (S15, S20), load the newest version
-    (S16, S19), score the whole store (M12)."""
+    """Fit the models, take the one with the best out-of-time AUC (T17), refit it on every ABT row (M11),
+    register it (S15, S20), load the newest version (S16, S19), score the whole store (M12)."""
     from pyspark.ml import PipelineModel
     from ..sources.registry import latest_model, register_model
+    best = ML.best_model(_metrics(fit_all(model_rows(spark, sf), MODELS)))
     store = written(features_all(spark, sf), "store")
     abt = LB.abt(store, champions(spark, sf), ABT_START, ABT_STOP)
     analytics, oot = SP.oot_split(abt, OOT_YEAR)
-    model = ML.pipeline(_FEATS, MODELS["ada_boost"]()).fit(written(_with_label(analytics.unionByName(oot)), "full"))
+    model = ML.pipeline(_FEATS, MODELS[best]()).fit(written(_with_label(analytics.unionByName(oot)), "full"))
     registry = scratch_dir(spark, "registry")
-    register_model(registry, model, "season_title", "1", scratch_dir(spark, "model"), spark)
+    register_model(registry, model, "season_title", scratch_dir(spark, "models"), spark)
     newest = latest_model(spark.read.parquet(registry), "season_title").first()
     loaded = PipelineModel.load(newest["path"])
-    return ML.probability_of_win(loaded.transform(store)).select("id", "dt_ref", "driverid", "prob_win")
+    return ML.probability_of_win(loaded.transform(store)).select("id", "dt_ref", "driverid", "prob_win", F.lit(best).alias("model"))

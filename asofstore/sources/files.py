@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,13 +29,45 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";
     return df
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Overwrite a published Parquet directory.
+# ------------------------------------------------------ published versions
+
+POINTER = "CURRENT"
+
+
+def publish(df: DataFrame, root: str, keep: int = 2) -> str:
+    """Write a new version folder under ``root``, then point to it; returns the version.
 
-    Readers take the directory: parts are never funnelled into one file (one
-    task), and no part can overwrite another.
+    The pointer is one small file that an atomic rename replaces, so a reader sees one whole version: the old
+    one until the rename, the new one after it. Readers that have begun keep their version, as the newest
+    ``keep`` versions stay. Parts are never funnelled into one file (one task).
     """
-    df.write.mode("overwrite").parquet(path)
+    spark, root = df.sparkSession, root.rstrip("/")
+    version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:6]}"
+    df.write.parquet(f"{root}/{version}")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    path = lambda name: hadoop.Path(f"{root}/{name}")
+    fs = path(POINTER).getFileSystem(conf)
+    out = fs.create(path(f"_{version}"), True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(path(f"_{version}")), fs.makeQualified(path(POINTER)), overwrite)
+    names = sorted(s.getPath().getName() for s in fs.listStatus(hadoop.Path(root)) if s.getPath().getName().startswith("v-"))
+    for old in names[:-keep]:
+        if old != published_version(spark, root):
+            fs.delete(path(old), True)
+    return version
+
+
+def published_version(spark: SparkSession, root: str) -> str:
+    return spark.read.text(f"{root.rstrip('/')}/{POINTER}").first()[0]
+
+
+def read_published(spark: SparkSession, root: str) -> DataFrame:
+    """The version that is current now."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{published_version(spark, root)}")
 
 
 def write_sessions(df: DataFrame, path: str, mode: str = "append") -> None:

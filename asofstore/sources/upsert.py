@@ -56,22 +56,35 @@ def upsert(spark: SparkSession, table_path: str, incoming: DataFrame, keys: list
            partition_col: str, staging_root: str | None = None) -> None:
     """Merge ``incoming`` (which holds ``partition_col``) into the table on ``keys``;
     its rows win. ``incoming`` is evaluated once."""
+    replace_rows(spark, table_path, incoming, None, keys, partition_col, staging_root)
+
+
+def replace_rows(spark: SparkSession, table_path: str, incoming: DataFrame, doomed: DataFrame | None, keys: list[str],
+                 partition_col: str, staging_root: str | None = None) -> None:
+    """Put ``incoming`` in the place of the rows whose keys are in ``doomed``, whether or not it has such keys.
+
+    Without ``doomed`` these are the keys of ``incoming``, which must then be unique. Both are evaluated once.
+    """
     root = f"{(staging_root or table_path).rstrip('/')}.__staging-{uuid.uuid4().hex[:10]}"
     try:
         incoming.write.parquet(f"{root}/incoming")
         new = spark.read.schema(incoming.schema).parquet(f"{root}/incoming")
-        double = new.groupBy(*keys).count().where("count > 1").drop("count").limit(1).collect()
-        if double:
-            raise ValueError(f"duplicate key in the incoming rows: {double[0].asDict()}")
+        if doomed is None:
+            double = new.groupBy(*keys).count().where("count > 1").drop("count").limit(1).collect()
+            if double:
+                raise ValueError(f"duplicate key in the incoming rows: {double[0].asDict()}")
+            out_keys = new.select(*keys)
+        else:
+            doomed.select(*keys).distinct().write.parquet(f"{root}/doomed")
+            out_keys = spark.read.schema(new.select(*keys).schema).parquet(f"{root}/doomed")
         if not _has_rows(spark, table_path):
             new.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
             return
         table = spark.read.schema(new.schema).parquet(table_path)
-        same = [table[k].eqNullSafe(new[k]) for k in keys]
-        old = table.join(new.select(*keys), same, "left_semi").select(partition_col)
+        old = table.join(out_keys, [table[k].eqNullSafe(out_keys[k]) for k in keys], "left_semi").select(partition_col)
         parts = new.select(partition_col).union(old).distinct().withColumnRenamed(partition_col, "_part")
         touched = table.join(parts, table[partition_col].eqNullSafe(F.col("_part")), "left_semi")
-        merged = touched.join(new.select(*keys), [touched[k].eqNullSafe(new[k]) for k in keys], "left_anti")
+        merged = touched.join(out_keys, [touched[k].eqNullSafe(out_keys[k]) for k in keys], "left_anti")
         merged.unionByName(new).write.parquet(f"{root}/merged")
         parts.write.parquet(f"{root}/parts")
         out = spark.read.schema(new.schema).parquet(f"{root}/merged")
