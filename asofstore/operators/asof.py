@@ -83,22 +83,28 @@ def round_first_dates(results: DataFrame) -> DataFrame:
     return s.groupBy("year", "roundnumber").agg(F.min("d").alias("first_d"))
 
 
-def ranked_rounds(results: DataFrame, year_start: int | None = None,
-                  year_stop: int | None = None) -> DataFrame:
-    """``(dt_ref, year, roundnumber, rn)``: rounds seen at each date, newest first.
+def rounds_at_dates(results: DataFrame, year_start: int | None = None, year_stop: int | None = None) -> DataFrame:
+    """``(dt_ref, rounds)``: the rounds seen at each date as an array of (year, roundnumber, first_d), newest first.
 
-    A round is seen at ``dt_ref`` when its first session is on or before it,
-    which is the same set as the distinct rounds of all earlier sessions. Both
-    inputs are calendar-sized, so the inequality join runs between two small
-    relations and never touches the session rows.
+    A round is seen at ``dt_ref`` when its first session is on or before it, which is the same set as the distinct
+    rounds of all earlier sessions. The calendar of rounds is one array, sorted once (a scalar subquery), that each
+    date filters: no join, whether or not the season range is closed.
     """
+    rounds = round_first_dates(results).agg(
+        F.sort_array(F.collect_list(F.struct("year", "roundnumber", "first_d")), asc=False))
     dates = dim_dates(results, year_start, year_stop).select("dt_ref").distinct()
-    rounds = round_first_dates(results)
-    dates = maybe_broadcast(dates, date_bound(year_start, year_stop))
-    seen = rounds.join(dates, F.col("first_d") <= F.col("dt_ref"))
-    w = Window.partitionBy("dt_ref").orderBy(F.col("year").desc(), F.col("roundnumber").desc())
-    return seen.select("dt_ref", "year", "roundnumber",
-                       F.row_number().over(w).alias("rn"))
+    return dates.select("dt_ref", rounds.scalar().alias("_all")).select(
+        "dt_ref", F.filter("_all", lambda r: r["first_d"] <= F.col("dt_ref")).alias("rounds"))
+
+
+def ranked_rounds(results: DataFrame, year_start: int | None = None,
+                  year_stop: int | None = None, n: int | None = None) -> DataFrame:
+    """``(dt_ref, year, roundnumber, rn)``: rounds seen at each date, newest first (W1); the first ``n`` where given."""
+    seen = rounds_at_dates(results, year_start, year_stop)
+    if n is not None:
+        seen = seen.withColumn("rounds", F.slice("rounds", 1, n))
+    return seen.select("dt_ref", F.posexplode("rounds").alias("rn", "r")).select(
+        "dt_ref", F.col("r.year").alias("year"), F.col("r.roundnumber").alias("roundnumber"), (F.col("rn") + 1).alias("rn"))
 
 
 def distinct_rounds(results: DataFrame, year_start: int | None = None,
@@ -110,8 +116,7 @@ def distinct_rounds(results: DataFrame, year_start: int | None = None,
 def last_rounds(results: DataFrame, year_start: int | None = None,
                 year_stop: int | None = None, n: int | None = 10) -> DataFrame:
     """Rounds ranked ``rn <= n`` at each date (P7); ``n=None`` keeps all."""
-    r = ranked_rounds(results, year_start, year_stop)
-    return r if n is None else r.where(F.col("rn") <= n)
+    return ranked_rounds(results, year_start, year_stop, n)
 
 
 def driver_seasons(results: DataFrame) -> DataFrame:
@@ -140,11 +145,16 @@ def eligible_drivers(results: DataFrame, year_start: int | None = None,
     """
     dates = dim_dates(results, year_start, year_stop)
     seasons = driver_seasons(results)
-    y, lag = F.col("y"), F.lit(year_lag)
+    lag = F.lit(year_lag)
     if year_start is None or year_stop is None:
-        years = seasons.select(F.col("year").alias("y")).distinct()
-        year_map = dates.join(years, y >= F.col("ref_year") - lag).select("dt_ref", "y")
-        ahead = None
+        # without a closed range: the reference seasons, each with its last date, as one array; a driver-season
+        # takes those that it can matter for, so the join is on the season
+        ends = dates.groupBy("ref_year").agg(F.max("dt_ref").alias("last"))
+        ends = ends.agg(F.collect_list(F.struct("ref_year", "last"))).scalar()
+        fits = lambda e: (e["ref_year"] <= F.col("year") + lag) & (e["last"] >= F.col("first_d"))
+        wanted = (seasons.withColumn("_ends", ends)
+                  .select("driverid", "first_d", F.explode(F.filter("_ends", fits)["ref_year"]).alias("ref_year")))
+        return (wanted.join(dates, "ref_year").where("first_d <= dt_ref").select("dt_ref", "driverid").distinct())
     else:
         year_map = dates.select(
             "dt_ref", F.explode(F.sequence(F.col("ref_year") - lag, F.lit(year_stop))).alias("y"))
@@ -157,9 +167,7 @@ def eligible_drivers(results: DataFrame, year_start: int | None = None,
     core = (seasons.join(year_map, (seasons.year == year_map.y)
                          & (seasons.first_d <= year_map.dt_ref))
             .select("dt_ref", "driverid"))
-    if ahead is not None:
-        core = core.unionByName(ahead)
-    return core.distinct()
+    return core.unionByName(ahead).distinct()
 
 
 def sessions_known_at(results: DataFrame, year_start: int | None = None,

@@ -204,7 +204,10 @@ def driver_windows(sessions: DataFrame, bounds: DataFrame, eligible: DataFrame,
 def window_bounds(results: DataFrame, year_start: int | None, year_stop: int | None, windows: dict[str, int | None]) -> DataFrame:
     """Per reference date the key of the oldest round of each finite window; broadcast when its bound is proven."""
     finite = {w: n for w, n in windows.items() if n is not None}
-    ranked = asof.ranked_rounds(results, year_start, year_stop).where(F.col("rn") <= max(finite.values()))
-    out = ranked.groupBy("dt_ref").agg(*[F.expr(f"min(CASE WHEN rn <= {n} THEN {ROUND_KEY} END)").alias(f"from{w}")
-                                         for w, n in finite.items()])
+    seen = asof.rounds_at_dates(results, year_start, year_stop).select("dt_ref", F.filter(
+        "rounds", lambda r: r["year"].isNotNull() & r["roundnumber"].isNotNull()).alias("rounds"))
+    oldest = lambda n: F.try_element_at("rounds", F.least(F.lit(n), F.greatest(F.size("rounds"), F.lit(1))))
+    key = lambda r: r["year"].cast("long") * 4294967296 + r["roundnumber"]
+    # where no round is seen nothing is in the window
+    out = seen.select("dt_ref", *[F.coalesce(key(oldest(n)), F.lit(2 ** 63 - 1)).alias(f"from{w}") for w, n in finite.items()])
     return asof.maybe_broadcast(out, asof.date_bound(year_start, year_stop))

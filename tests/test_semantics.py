@@ -195,3 +195,21 @@ def test_latest_model_is_numeric_max(spark):
                                 "name string, version string, path string")
     r = latest_model(reg, "m").first()
     assert (r.version, r.path) == ("10", "/b")
+
+
+def test_open_season_range_has_no_nested_loop(spark, results):
+    """Without a range the same rows come from equi-joins and arrays of the calendar."""
+    for open_, closed in ((asof.eligible_drivers(results), asof.eligible_drivers(results, 1900, 2100)),
+                          (asof.ranked_rounds(results), asof.ranked_rounds(results, 1900, 2100)),
+                          (asof.last_rounds(results, n=3), asof.ranked_rounds(results, 1900, 2100).where("rn <= 3")),
+                          (FE.window_features(results), FE.window_features(results, 1900, 2100))):
+        plan = open_._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        assert open_.exceptAll(closed).count() == 0 and closed.exceptAll(open_).count() == 0
+
+
+def test_forest_cuts_at_every_distinct_value(spark):
+    from asofstore.operators import ml
+    df = spark.range(300).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id > 250 AS DOUBLE) AS label")
+    assert ml.pipeline(["x"], ml.random_forest(trees=2, min_leaf=1, max_depth=2)).fit(df).stages[-1].getMaxBins() == 300
+    assert ml.pipeline(["x"], ml.random_forest(trees=2, min_leaf=1, max_depth=2, max_bins=8)).fit(df).stages[-1].getMaxBins() == 8
