@@ -602,6 +602,28 @@ def q_csv_roundtrip(spark, sf):
     return FS.read_csv(spark, path, abt.schema)
 
 
+_CSV_COLS = ["id", "dt_ref", "qtd_sessions_life", "qtde_points_life"]
+
+
+@register("csv_rejects", _labels(
+    "SELECT CAST(qtd_sessions_life % 4 AS BIGINT) AS form, CASE WHEN qtd_sessions_life % 4 < 3 THEN 1 ELSE 0 END AS rejected,"
+    " CAST(count(*) AS BIGINT) AS n_lines FROM abty GROUP BY ALL"))
+def q_csv_rejects(spark, sf):
+    """A CSV of which some lines are malformed: text in a number, a field too few, a field too many. None is lost."""
+    abt = written_abt(spark, sf, _CSV_COLS[2:])
+    form = F.col("qtd_sessions_life") % 4
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(FS.NULL_MARK)) for c in _CSV_COLS]
+    line = (F.when(form == 0, F.concat_ws(";", *fields[:3], F.lit("no")))
+            .when(form == 1, F.concat_ws(";", *fields[:3])).when(form == 2, F.concat_ws(";", *fields, F.lit("1")))
+            .otherwise(F.concat_ws(";", *fields)))
+    path = scratch_dir(spark, "csv-lines")
+    abt.select(line.alias("value")).write.text(path)
+    read = FS.read_csv_checked(spark, path, abt.select(*_CSV_COLS).schema, header=False)
+    # a line that lacks its last field or has another there still has the field before it
+    return read.groupBy((F.col("qtd_sessions_life") % 4).alias("form"), F.col(FS.REJECT).isNotNull().cast("int").alias("rejected")).agg(
+        F.count("*").alias("n_lines"))
+
+
 @register("publish_roundtrip", OF.consolidated_sql(YEAR_START, YEAR_STOP))
 def q_publish_roundtrip(spark, sf):
     path = scratch_dir(spark, "fs-all")

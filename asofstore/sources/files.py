@@ -29,6 +29,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";
     return df
 
 
+REJECT = "reject_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", header: bool = True) -> DataFrame:
+    """As :func:`read_csv`, with every line in the result: ``reject_line`` holds a line that has too few or too many
+    fields or a value that does not fit its type, and is null for a good one. An empty
+    field that is no text is null.
+
+    Split it with ``reject_line IS NULL``; a rejected line's other columns hold what could be read of it.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(REJECT, T.StringType())])
+    read = (spark.read.option("sep", sep).option("header", header).option("nullValue", NULL_MARK).option("emptyValue", "")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT).schema(whole).csv(path))
+    # the reader checks the columns that are used; this uses them all, whatever the query selects
+    used = F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in schema.fields])) >= 0
+    return read.withColumn(REJECT, F.when(used, F.col(REJECT)))
+
+
 # ------------------------------------------------------ published versions
 
 POINTER = "CURRENT"

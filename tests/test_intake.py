@@ -74,3 +74,16 @@ def test_store_queries_do_not_need_the_optional_part(missing):
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
     store, found, oracles = out.stdout.split()
     assert oracles == "True" and int(found) >= int(store)
+
+
+def test_csv_lines_that_do_not_fit_come_out_as_they_are(spark):
+    from asofstore.sources import files
+    path = tempfile.mkdtemp(prefix="asof-csv-", dir="/tmp")
+    lines = ["a;1;2.5", "b;x;2.5", "c;1", "d;1;2.5;9", "\\N;\\N;\\N", "e;;1"]
+    with open(path + "/part.csv", "w") as out:
+        out.write("\n".join(["id;n;x", *lines]) + "\n")
+    kind = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("x", T.DoubleType())])
+    rows_ = files.read_csv_checked(spark, path, kind).cache().collect()
+    good = [tuple(r)[:3] for r in rows_ if r.reject_line is None]
+    assert good == [("a", 1, 2.5), (None, None, None), ("e", None, 1.0)]
+    assert [r.reject_line for r in rows_ if r.reject_line] == [lines[1], lines[2], lines[3]]
