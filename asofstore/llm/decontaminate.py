@@ -4,7 +4,8 @@ Numbers, names and units of benchmark items and documents are replaced by typed
 placeholders, so an item whose numbers, names or units were changed still has
 the same *template*. A run of names, or of numbers and units, inside a sentence
 is one placeholder, so a value may change its number of words. A name is any
-capitalised word of a document, wherever it stands; a sentence-initial word of
+capitalised word of a document, wherever it stands, all capitals, an initial, or
+a few Han or Katakana signs; a sentence-initial word of
 an item (or line-initial: a new line begins a sentence) may or may not be a
 name, so its windows are indexed under both readings. Windows of ``window`` canonical words are hash-joined: benchmark
 windows are the build side, documents are streamed past it whole.
@@ -12,7 +13,9 @@ windows are the build side, documents are streamed past it whole.
 Windows with fewer than ``least`` plain words under some reading are too weak as
 templates and are matched word by word instead (case and outer punctuation
 aside). An item without any template window is contaminating only if the
-document has all of it in this way.
+document has all of it in this way, or, where it has two plain words of letters or more, if
+its whole template is a whole sentence or line of the document. Names are known
+by their shape; a name that a document writes in small letters is none.
 
 Matches of one shift that touch are a segment; segments of an item are chained
 in order, from one shift to the next by at most ``window`` words, and what a
@@ -54,7 +57,7 @@ BLOCK_BYTES = 16 << 20
 # Words that count as numbers and as units.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen "
                          "fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy "
-                         "eighty ninety hundred thousand million billion".split())
+                         "eighty ninety hundred thousand million billion dozen half".split())
 UNITS = frozenset("mm cm m km mg g kg lb lbs oz ml l inch inches foot feet yard yards mile miles meter meters "
                   "metre metres kilometer kilometers gram grams kilogram kilograms liter liters litre litres "
                   "second seconds minute minutes hour hours day days week weeks month months year years "
@@ -79,6 +82,32 @@ def _is_number(low: str) -> bool:
     return len(parts) > 1 and all(one(x) or x in UNITS for x in parts) and any(map(one, parts))
 
 
+# Names by shape: a capital and what follows (McDonald), joined by hyphens or apostrophes (O'Brien, Anne-Marie,
+# Mary's), capitals alone (MARY), an initial, or a few signs of a script that has no capitals.
+_JOINED = re.compile("[-'\u2019]")
+_SIGNS = re.compile("[\u4e00-\u9fff]{2,4}|[\u30a0-\u30ff]{2,12}")
+
+
+# Abbreviations before a name, which end no sentence.
+_TITLES = frozenset("Mr. Mrs. Ms. Dr. Prof. St.".split())
+
+
+def _ends(word: str) -> bool:
+    """The word ends a sentence: a title or an initial does not."""
+    return word[-1:] in (".", "!", "?", ":") and not (
+        word in _TITLES or (len(word) == 2 and word[1] == "." and word[0].isupper()))
+
+
+def _is_name(bare: str) -> bool:
+    if not bare[:1].isupper():
+        return bool(_SIGNS.fullmatch(bare))
+    if len(bare) == 1:
+        return bare not in "AI"
+    first, *rest = _JOINED.split(bare)
+    return first.isalpha() and all(x.isalpha() for x in rest) and (
+        bare[1:].islower() or all(x[0].isupper() for x in rest))
+
+
 class _Canonical(C.Remembered):
     """Hash of a word; its low bits say plain, number, unit or name, and whether it ends a sentence."""
 
@@ -90,14 +119,15 @@ class _Canonical(C.Remembered):
             code |= 1
         elif low in UNITS:
             code |= 2
-        elif bare[:1].isupper() and bare[1:].islower():
+        elif _is_name(bare):
             code |= 3
-        if word[-1:] in ".!?:":
+        if _ends(word):
             code |= 4
         return code
 
 
 _CANONICAL = _Canonical()
+_ARTICLES = np.array([xxhash.xxh3_64_intdigest(x) & ~7 for x in (b"a", b"an")], np.uint64)
 
 
 def _plain_form(word: str) -> str:
@@ -116,6 +146,9 @@ def exact(raw: np.ndarray) -> np.ndarray:
 def canonical(raw: np.ndarray, plain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes, first word of each code, kind of each word); names where ``plain`` is set count as plain."""
     kind = (raw & _KIND).astype(np.int8)
+    # 'a dozen': the article belongs to the number
+    article = np.isin(raw[:-1], _ARTICLES) & (kind[1:] == 1)
+    kind[:-1][article] = 1
     if plain is not None:
         kind[plain & (kind == 3)] = 0
     group = _GROUP[kind]
@@ -133,7 +166,7 @@ def sentence_starts(text: str) -> np.ndarray:
     out = []
     for line in text.splitlines():
         words = line.split()
-        out += [True, *(w[-1:] in ".!?:" for w in words[:-1])][:len(words)]
+        out += [True, *map(_ends, words[:-1])][:len(words)]
     return np.array(out, bool)
 
 
@@ -143,7 +176,8 @@ _LEMMAS = {"feet": "foot", "inches": "inch", "lbs": "lb", "metre": "meter", "met
 _VALUES = {w: i for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen "
                                       "fourteen fifteen sixteen seventeen eighteen nineteen".split())}
 _VALUES |= {w: 10 * i for i, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)}
-_SCALES = {"hundred": 100, "thousand": 1000, "million": 10 ** 6, "billion": 10 ** 9}
+_VALUES["half"] = 0.5
+_SCALES = {"dozen": 12, "hundred": 100, "thousand": 1000, "million": 10 ** 6, "billion": 10 ** 9}
 
 
 def _lemma(unit: str) -> str:
@@ -163,15 +197,15 @@ def _quantity(words: list[str]) -> list:
             for x in low.split("-"):
                 with_unit = _WITH_UNIT.match(x)
                 parts += [x[:with_unit.start(1)], with_unit[1]] if with_unit else [x]
-        else:
+        elif low not in ("a", "an"):
             parts.append(low)
     for x in [*parts, None]:
         if x in _VALUES:
             current, open_ = current + _VALUES[x], True
             continue
         if x in _SCALES:
-            if x == "hundred":
-                current = max(current, 1) * 100
+            if x in ("dozen", "hundred"):
+                current = max(current, 1) * _SCALES[x]
             else:
                 total, current = total + max(current, 1) * _SCALES[x], 0
             open_ = True
@@ -199,6 +233,7 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], window: int, least: int):
         self.window, self.words, self.ids, self.names, self.readings = window, [], [], [], []
         self.whole, self.lines = [], []        # all of the item is needed; as a line of its own
+        self.sentences: dict[bytes, list[tuple]] = defaultdict(list)    # whole-item templates of weak items
         sizes, exact_sizes = (defaultdict(lambda: ([], [], [])) for _ in range(2))
         for item_id, text in items:
             words = (text or "").split()
@@ -231,6 +266,10 @@ class Index:
                     weak[ends[p]:max(ends[p + w] - min(window, len(words)), ends[p]) + 1] = True
                 self._add(sizes[w], codes, w, at, len(self.readings))
                 self.readings.append((n, ends, kind))
+            codes, starts, kind = canonical(raw, begins)
+            telling = sum(any(c.isalpha() for c in words[j]) for j in np.flatnonzero(kind == 0))
+            if not any_template and (kind > 0).any() and telling >= 2:
+                self.sentences[codes.tobytes()].append((n, np.append(starts, len(words)), kind))
             w, at = min(window, len(words)), np.flatnonzero(weak)
             self._add(exact_sizes[w], exact(raw), w, at, len(self.readings))
             self.readings.append((n, np.arange(len(words) + 1), sure))
@@ -290,8 +329,11 @@ class Index:
                 hits = defaultdict(list)
                 self._hits(table, C.gram_hashes(codes, w), hits)
                 self._segments(hits, w, starts, words, segments)
-        out = []
+        out = self._weak_items(text, raw, words) if self.sentences else []
+        seen = {m[0] for m in out}
         for n, found in sorted(segments.items()):
+            if self.ids[n] in seen:
+                continue
             if self.lines[n] and not any([_plain_form(x) for x in line.split()] == self.lines[n]
                                          for line in text.splitlines()):
                 continue
@@ -300,6 +342,21 @@ class Index:
                 out.append((self.ids[n], *best))
         return out
 
+    def _weak_items(self, text: str, raw: np.ndarray, words: list[str]) -> list[tuple]:
+        """Items with too few plain words for a window, as whole sentences with other values."""
+        out = {}
+        begins = sentence_starts(text)
+        bounds = np.append(np.flatnonzero(begins), len(words))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            codes, starts, _ = canonical(raw[a:b], begins[a:b])
+            for n, own, kind in self.sentences.get(codes.tobytes(), ()):
+                ends = np.append(starts, b - a) + a
+                slots = [(int(own[t]), kind[own[t]] == 3, self.words[n][own[t]:own[t + 1]], words[ends[t]:ends[t + 1]])
+                         for t in range(len(codes)) if kind[own[t]]]
+                if n not in out and self._consistent(n, slots):
+                    out[n] = (self.ids[n], 1, 1.0, *self._changes(n, slots), int(a))
+        return [out[n] for n in sorted(out)]
+
     def _segments(self, hits: dict, w: int, starts: np.ndarray, words: list[str], segments: dict) -> None:
         """Hits of one shift that touch: (first and end word of the document, of the item, hits, slots)."""
         for (reading, shift), at in hits.items():

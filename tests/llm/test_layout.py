@@ -312,6 +312,62 @@ def test_decontamination_values():
         235, 1000, 5, "km", 3, "hour", 7.5]
 
 
+GARDEN = ("In the school garden {0} planted 12 rows of carrots along the fence while {1} watered 30 rows of beans "
+          "behind the shed before the bell rang")
+
+
+@pytest.mark.parametrize("one,two", [("O'Brien", "McDonald"), ("Anne-Marie", "DeShawn"), ("MARY", "TOM"), ("J.", "K."),
+                                     ("李明", "王芳"), ("Karl", "Otto"), ("Mr. Smith", "Dr. O\u2019Neill-Jones")])
+def test_decontamination_of_name_shapes(one, two):
+    index = decontaminate.Index([(5, GARDEN.format("Mary", "Tom"))], 8, 4)
+    assert [m[0] for m in index.matches("Once more. " + GARDEN.format(one, two) + ". The end.", 0.5)] == [5]
+    plain = GARDEN.format(one, two).replace("garden", "kitchen").replace("rows", "pots").replace("fence", "wall").replace("bell", "phone")
+    assert index.matches(plain, 0.5) == []
+
+
+def test_decontamination_of_dozens_and_halves():
+    index = decontaminate.Index([(5, GARDEN.format("Mary", "Tom"))], 8, 4)
+    text = GARDEN.format("Karl", "Otto").replace("12", "a dozen").replace("30", "two dozen")
+    assert [m[0] for m in index.matches(text, 0.5)] == [5]
+    assert decontaminate._quantity("a dozen".split()) == [12.0] and decontaminate._quantity("two dozen".split()) == [24.0]
+    assert decontaminate._quantity(["half"]) == [0.5]
+
+
+def test_decontamination_of_short_items_with_other_values():
+    index = decontaminate.Index([(7, "Compute 12 times 30"), (8, "What is 5?")], 8, 4)
+    assert [m[0] for m in index.matches("First. Compute 15 times 20. Then rest.", 0.5)] == [7]
+    assert [m[0] for m in index.matches("Notes\nCompute 7 times 8\nmore", 0.5)] == [7]
+    assert index.matches("They compute 15 times 20 a day.", 0.5) == []
+    assert index.matches("Compute 15 plus 20", 0.5) == []
+
+
+def test_decontamination_finds_reparameterised_items():
+    """500 items with every name and number changed are found among other text, and no other item is."""
+    import random
+    r = random.Random(5)
+    vocabulary = ["".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(2, 4))) for _ in range(900)]
+    names = [w.capitalize() for w in vocabulary[:60]]
+    plain = [w for w in vocabulary[60:] if w.capitalize() not in names]
+
+    def fill(shape, who, values):
+        return " ".join(who[int(x[1:])] if x[0] == "@" else values[int(x[1:])] if x[0] == "#" else x for x in shape)
+    shapes = []
+    for _ in range(500):
+        shape = [r.choice(plain) for _ in range(r.randint(18, 40))]
+        for mark, at in zip(("@0", "#0", "@1", "#1", "@0"), sorted(r.sample(range(2, len(shape)), 5))):
+            shape[at] = mark
+        shapes.append(shape)
+    draw = lambda: (r.sample(names, 2), [str(v) for v in r.sample(range(2, 9999), 2)])
+    index = decontaminate.Index([(i, fill(s, *draw())) for i, s in enumerate(shapes)], 8, 4)
+    found = 0
+    for i, s in enumerate(shapes):
+        noise = " ".join(r.choice(plain) for _ in range(30))
+        got = index.matches(f"{noise}. {fill(s, *draw())}. {noise}", 0.5)
+        assert {m[0] for m in got} <= {i}
+        found += len(got)
+    assert found >= 0.9 * len(shapes)
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, "the cat sat on the mat and looked at the moon", "x"), (2, None, "x"), (3, "", "x"), (4, "12 13 14", "x"),
