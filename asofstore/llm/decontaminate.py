@@ -147,8 +147,10 @@ def canonical(raw: np.ndarray, plain: np.ndarray | None = None) -> tuple[np.ndar
     """(codes, first word of each code, kind of each word); names where ``plain`` is set count as plain."""
     kind = (raw & _KIND).astype(np.int8)
     # 'a dozen': the article belongs to the number
-    article = np.isin(raw[:-1], _ARTICLES) & (kind[1:] == 1)
-    kind[:-1][article] = 1
+    at = np.flatnonzero(kind[1:] == 1)
+    if len(at):
+        before = raw[at]
+        kind[at[(before == _ARTICLES[0]) | (before == _ARTICLES[1])]] = 1
     if plain is not None:
         kind[plain & (kind == 3)] = 0
     group = _GROUP[kind]
