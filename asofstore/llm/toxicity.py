@@ -1,19 +1,23 @@
 """Toxicity by compression distance with zstandard dictionaries (operator 6).
 
-A text is split into windows of ``window`` words, and each word is written as a
-128-bit code, so that a dictionary matches whole words and never chance letter
-sequences; words that begin with a stem that the toxic dictionary holds are
-written as that stem, so that inflections count as one. A window's distance is
-the difference of its compressed lengths with two dictionaries: one trained on
-ordinary wording, one on toxic wording. A window that has nothing of either
-compresses alike with both. The positive distances of a document's windows,
-from a calibrated threshold on, are summed, and a logistic curve fitted on the
-training documents turns the sum into a score.
+A text is split into windows of ``window`` words. A word is written as two
+96-bit codes, of its first ``STEM`` letters and of the whole word, so that a
+dictionary matches beginnings and words and never chance letter sequences. Two dictionaries are trained by zstandard on whole texts of the
+training documents, with all their words: an ordinary one on ordinary texts,
+and a toxic one on what the ordinary one leaves uncompressed of the toxic texts.
+A window's distance is its compressed length with the ordinary dictionary less
+that with both: what knowing toxic wording saves beyond knowing ordinary
+wording. The distances of a document's windows, from a calibrated threshold on,
+are summed, and a logistic curve over that sum and the number of windows turns
+them into a score, so that the same wording weighs less in a longer text.
 
 **Training** uses a bounded sample: about ``sample`` toxic and three times as
-many ordinary documents (parameter), of at most ``longest`` bytes each. Wording that both classes share says
-nothing, so each dictionary is trained on the windows' words that its class
-alone uses (see :func:`_uses`). Both dictionaries have the same number of words.
+many ordinary documents (parameter), of at most ``longest`` bytes each. A code
+counts once per document, so neither copies of a line nor one long text weigh
+much. No word is listed, chosen or left out by its label: which ones a
+dictionary holds is up to zstandard's training, and its size decides how common
+ordinary wording must be to be held. Sizes, threshold and curve are calibrated
+out of fold: dictionaries of one half of the sample measure the other half.
 Everything else covers whole texts of all rows.
 
 Defined results: null or empty text has no windows and gets the score of a
@@ -24,8 +28,9 @@ labels, lang, source and doc_id are no inputs of a score.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,10 +42,15 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-STEMS = (4, 6, 8)   # letters of the stems that are tried before the whole word
-LEAST = 4           # documents that must use a stem
-CODE = 16           # long enough that one matched word pays for a compressed block
-PURITY, EVIDENCE = 0.99, 15.0   # share of a class in a stem's uses (at equal class sizes), log-likelihood ratio
+CODE = 12   # bytes; much longer than what a match costs
+STEM = 4    # letters
+# begins every window and ends every dictionary: one match that pays for a compressed block, without which
+# zstandard would store a window as it is and a single matched word would save nothing
+OPENER = xxhash.xxh3_128_digest(b"\0") * 4
+ORDINARY = (64, 2048, 16384, 131072)    # dictionary sizes that are tried, in codes
+TOXIC = (32, 256)
+THRESHOLDS = (2, 4, 6, 8, 12)           # bytes
+TRIED_ON, MEASURED = 200, 1000          # toxic documents that sizes are chosen by, and threshold and curve
 _SPACED = bytes((c + 32 if 65 <= c <= 90 else c) if (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128)
                 else 32 for c in range(256))
 
@@ -50,64 +60,51 @@ def words(text: str | None) -> list[bytes]:
 
 
 def units(word: bytes) -> list[bytes]:
-    """Stems of a word, the shortest first, and the word."""
-    if word.isascii():
-        return [word[:n] for n in STEMS if n < len(word)] + [word]
-    letters = word.decode("utf-8", "replace")
-    return [letters[:n].encode() for n in STEMS if n < len(letters)] + [word]
+    """Codes of a word's beginning, if it is longer, and of the word."""
+    stem = word[:STEM] if word.isascii() else word.decode("utf-8", "replace")[:STEM].encode()
+    return [xxhash.xxh3_128_digest(u)[:CODE] for u in ([stem, word] if stem != word else [word])]
 
 
 class Codes(C.Remembered):
-    """Code of each word (``CODE`` bytes)."""
-
-    def __init__(self, stems: frozenset[bytes]):
-        super().__init__()
-        self.stems = stems
+    """Codes of each word, joined."""
 
     def make(self, word: bytes) -> bytes:
-        return xxhash.xxh3_128_digest(next((u for u in units(word) if u in self.stems), word))
+        return b"".join(units(word))
 
     def windows(self, text: str | None, size: int) -> list[bytes]:
-        codes = b"".join(map(self.__getitem__, words(text)))
-        return [codes[i:i + CODE * size] for i in range(0, len(codes), CODE * size)]
-
-
-_LAST: dict[frozenset[bytes], Codes] = {}
+        codes = list(map(self.__getitem__, words(text)))
+        return [OPENER + b"".join(codes[i:i + size]) for i in range(0, len(codes), size)]
 
 
-def _codes(stems: frozenset[bytes]) -> Codes:
-    """One table per Python worker and model; it outlives a task."""
-    if stems not in _LAST:
-        _LAST.clear()
-        _LAST[stems] = Codes(stems)
-    return _LAST[stems]
+_CODES = Codes()    # one per Python worker; it outlives a task
 
 
 @dataclass
 class Model:
     toxic: bytes                    # dictionary contents; empty: no model
     ordinary: bytes
-    stems: frozenset[bytes]
     window: int
     threshold: int                  # least distance of a toxic window
-    weights: tuple[float, float]
+    weights: np.ndarray
 
     def scorer(self):
         if not self.toxic:
             return lambda text: (0.0, 0, 0)
-        near, far, codes = _compressor(self.toxic), _compressor(self.ordinary), _codes(self.stems).use()
-        a, b = self.weights
+        far, near, codes = _compressor(self.ordinary), _compressor(self.ordinary + self.toxic), _CODES.use()
 
         def score(text: str | None) -> tuple[float, int, int]:
             found = distances(codes.windows(text, self.window), near, far)
             hits = [d for d in found if d >= self.threshold]
-            return 1 / (1 + math.exp(-(a + b * math.log1p(sum(hits))))), len(hits), len(found)
+            z = float(self.weights @ _features(sum(hits), len(found)))
+            return 1 / (1 + math.exp(-max(-500.0, z))), len(hits), len(found)
         return score
 
 
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
+    content += OPENER + bytes(CODE)     # a compressor does not index a dictionary's last bytes
+    bits = max(12, len(content).bit_length())
     params = zstd.ZstdCompressionParameters(
-        window_log=17, hash_log=14, chain_log=14, search_log=4, min_match=5, strategy=zstd.STRATEGY_GREEDY,
+        window_log=bits + 1, hash_log=bits, chain_log=bits, search_log=4, min_match=5, strategy=zstd.STRATEGY_GREEDY,
         write_content_size=0, write_checksum=0, write_dict_id=0)
     d = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(compression_params=params)
@@ -120,103 +117,104 @@ def distances(windows: list[bytes], near: zstd.ZstdCompressor, far: zstd.ZstdCom
 
 # ------------------------------------------------------------------- training
 
-def _documents(texts: list[str], wanted: set[bytes] | None = None) -> Counter:
-    """Documents that use each (wanted) stem or word."""
-    of: dict[bytes, list[bytes]] = {}
-    docs: Counter = Counter()
-    for t in texts:
-        found = set()
-        for w in set(words(t)):
-            if w not in of:
-                of[w] = [u for u in units(w) if wanted is None or u in wanted]
-            found.update(of[w])
-        docs.update(found)
-    return docs
-
-
-def _uses(texts: list[str]) -> dict[bytes, int]:
-    """Uses of each stem and word that ``LEAST`` documents have: its distinct
-    neighbourhoods or its documents, whichever are fewer, so that neither copies
-    of a passage nor one long text count much."""
-    docs = {u: n for u, n in _documents(texts).items() if n >= LEAST}
-    around: dict[bytes, set] = defaultdict(set)
-    of: dict[bytes, list[bytes]] = {}
-    for t in texts:
-        w = [b"", *words(t), b""]
-        for before, word, after in zip(w, w[1:], w[2:]):
-            if word not in of:
-                of[word] = [u for u in units(word) if u in docs]
-            for u in of[word]:
-                around[u].add((before, after))
-    return {u: min(len(s), docs[u]) for u, s in around.items()}
-
-
-def _evidence(a: int, b: int, na: int, nb: int) -> float:
-    ea, eb = na * (a + b) / (na + nb), nb * (a + b) / (na + nb)
-    return 2 * ((a * math.log(a / ea) if a else 0) + (b * math.log(b / eb) if b else 0))
-
-
-def _dictionary(codes: list[bytes]) -> bytes:
-    """A dictionary trained on the codes; codes that training left out (or all,
-    where there are too few samples to train on) are put in front."""
-    kinds = sorted(set(codes))
-    try:
-        content = zstd.train_dictionary(max(1024, 2 * CODE * len(kinds)), codes, k=CODE, d=8).as_bytes()
-    except zstd.ZstdError:
-        content = b""
-    whole = b"".join(c for c in kinds if c not in content) + content
-    return whole + bytes(CODE)      # a compressor does not index a dictionary's last bytes
+Document = list[bytes]      # codes, each once, in order
 
 
-def fit(toxic: list[str], ordinary: list[str], window: int = 16) -> Model:
-    """Dictionaries, window threshold and score curve from labelled texts."""
-    toxic, ordinary = sorted(t for t in toxic if t), sorted(t for t in ordinary if t)
-    nt, no = len(toxic), len(ordinary)
-    none = Model(b"", b"", frozenset(), window, 0, (0.0, 0.0))
-    if not nt or not no:
-        return none
-    ut = _uses(toxic)
-    uo = _documents(ordinary, set(ut))
-
-    def pure(u: bytes) -> bool:
-        a, b = ut[u], uo.get(u, 0)
-        return a / nt >= PURITY * (a / nt + b / no) and _evidence(a, b, nt, no) > EVIDENCE
-    found = {u for u in ut if pure(u)}
-    stems = frozenset(u for u in found if not any(p in found for p in units(u)[:-1]))
-    if not stems:
-        return none
-    codes = Codes(stems)
-    count = Counter(codes[w] for t in toxic for w in words(t))
-    mine = {xxhash.xxh3_128_digest(u) for u in stems}
-    plain = Counter(codes[w] for t in ordinary for w in words(t))
-    common = set(sorted((c for c in plain if not count[c]), key=lambda c: (-plain[c], c))[:len(stems)])
-    spread = lambda kinds, n: [c for c in sorted(kinds) for _ in range(min(n[c], 200))]
-    content = [_dictionary(spread(mine, count)), _dictionary(spread(common, plain))]
-    near, far = map(_compressor, content)
-    measured = [[distances(codes.windows(t, window), near, far) for t in texts] for texts in (toxic, ordinary)]
-
-    # the window threshold that separates the documents best
-    def sums(k: int) -> list[np.ndarray]:
-        return [np.array([sum(d for d in one if d >= k) for one in docs]) for docs in measured]
-
-    def right(k: int) -> float:
-        t, o = sums(k)
-        return (t > 0).mean() + (o == 0).mean()
-    threshold = max(range(1, 9), key=lambda k: (right(k), -k))
-    t, o = sums(threshold)
-    x = np.log1p(np.concatenate([t, o]).astype(float))
-    y = np.concatenate([np.ones(len(t)), np.zeros(len(o))])
-    a, b = 0.0, 0.0
-    for _ in range(50):         # Newton steps of a logistic fit with a small ridge
-        p = 1 / (1 + np.exp(-(a + b * x)))
-        g = np.array([(y - p).sum() - 0.01 * a, ((y - p) * x).sum() - 0.01 * b])
-        w = p * (1 - p)
-        h = np.array([[w.sum() + 0.01, (w * x).sum()], [(w * x).sum(), (w * x * x).sum() + 0.01]])
-        step = np.linalg.solve(h, g)
-        a, b = a + step[0], b + step[1]
+def _dictionary(docs: list[Document], size: int) -> bytes:
+    """A dictionary of about ``size`` codes trained on the documents; all their
+    codes where they have no more, the most shared ones where there are too few
+    documents to train on.
+
+    Training goes through the sample stretch by stretch and cuts off, for its
+    header, the segments that it chose first; what it lacks of the most shared
+    codes, an eighth of the size, is put back.
+    """
+    kinds = Counter(c for d in docs for c in d)
+    shared = sorted(kinds, key=lambda c: (-kinds[c], c))[:size]
+    content = b""
+    if len(kinds) > size:
+        try:
+            content = zstd.train_dictionary(CODE * size, [b"".join(d) for d in docs if d], k=CODE, d=8).as_bytes()
+        except zstd.ZstdError:
+            pass
+    held = _held(content)
+    return content + b"".join(c for c in (shared[:32 + size // 8] if content else shared) if c not in held)
+
+
+def _held(content: bytes) -> set[bytes]:
+    return {content[i:i + CODE] for i in range(len(content) - CODE + 1)}
+
+
+def _rest(docs: list[Document], content: bytes) -> list[Document]:
+    """What a dictionary does not hold of the documents."""
+    held = _held(content)
+    return [[c for c in d if c not in held] for d in docs]
+
+
+def _features(gain: int, windows: int) -> tuple[float, float, float]:
+    """Inputs of the curve; a document without toxic windows is one at any length."""
+    return (1.0, math.log1p(gain), math.log1p(windows)) if gain else (1.0, 0.0, 0.0)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """(weights, mean loss) of a logistic fit with a small ridge, by Newton steps."""
+    w, ridge = np.zeros(x.shape[1]), 0.01
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return Model(content[0], content[1], stems, window, threshold, (float(a), float(b)))
+    p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -500, 500))), 1e-9, 1 - 1e-9)
+    return w, float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
+
+def _curves(lengths: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> list[tuple[float, int, np.ndarray]]:
+    """(loss, threshold, weights) per threshold from each document's lengths
+    (far, near) of its windows."""
+    out = []
+    for k in THRESHOLDS:
+        gains = [np.maximum(far - near, 0) for far, near in lengths]
+        x = np.array([_features(g[g >= k].sum(), len(g)) for g in gains])
+        w, loss = _logistic(x, y)
+        out.append((loss, k, w))
+    return out
+
+
+def fit(toxic: list[str], ordinary: list[str], window: int = 16) -> Model:
+    """Dictionaries, window threshold and score curve from labelled texts."""
+    key = lambda t: xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"))
+    texts = [sorted({t for t in side if words(t)}, key=lambda t: (key(t), t)) for side in (toxic, ordinary)]
+    if not all(texts):
+        return Model(b"", b"", window, 0, np.zeros(3))
+    _CODES.use()
+    docs = [[list(dict.fromkeys(u for w in dict.fromkeys(words(t)) for u in units(w))) for t in side] for side in texts]
+
+    def measured(sizes_o, sizes_t, most: int) -> dict[tuple[int, int], tuple[list, np.ndarray]]:
+        """Per pair of sizes the lengths (far, near) of the windows of up to
+        ``most`` toxic and ``3 * most`` ordinary documents, and their labels."""
+        out = {(m, n): ([], []) for m in sizes_o for n in sizes_t}
+        for fold in (0, 1):
+            train = [side[1 - fold::2] or side for side in docs]
+            held = [(y, [_CODES.windows(t, window) for t in side[fold::2][:-(-most * (3 - 2 * y) // 2)]])
+                    for y, side in ((1, texts[0]), (0, texts[1]))]
+            for m in sizes_o:
+                plain = _dictionary(train[1], m)
+                rest, far = _rest(train[0], plain), _compressor(plain)
+                base = [[np.array([len(far.compress(w)) for w in t]) for t in ws] for _, ws in held]
+                for n in sizes_t:
+                    near = _compressor(plain + _dictionary(rest, n))
+                    rows, labels = out[m, n]
+                    for (y, ws), lengths in zip(held, base):
+                        rows += [(f, np.array([len(near.compress(w)) for w in t])) for f, t in zip(lengths, ws)]
+                        labels += [y] * len(ws)
+        return {k: (rows, np.array(labels, float)) for k, (rows, labels) in out.items()}
+
+    tried = measured(ORDINARY, TOXIC, TRIED_ON)
+    m, n = min(itertools.product(ORDINARY, TOXIC), key=lambda s: min(c[0] for c in _curves(*tried[s])))
+    _, threshold, weights = min(_curves(*measured((m,), (n,), MEASURED)[m, n]), key=lambda c: c[:2])
+    plain = _dictionary(docs[1], m)
+    return Model(_dictionary(_rest(docs[0], plain), n), plain, window, threshold, weights)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample: int, longest: int,

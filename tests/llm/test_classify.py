@@ -1,6 +1,7 @@
 """Language and toxicity operators: held-out accuracy and odd rows."""
 
 import collections
+import random
 import zlib
 
 import pytest
@@ -74,7 +75,6 @@ def texts(n, bad):
 
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     model = toxicity.fit(texts(60, True), texts(180, False))
-    assert {b"vile", b"nast"} <= set(model.stems)
     score = model.scorer()
     assert score("plain calm " * 30)[0] < 0.3 and score("so vile and nasty a word")[0] >= 0.7
     assert score(None)[0] == score("")[0] == score("12 !!")[0] < 0.3
@@ -86,6 +86,31 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert {r.score for r in toxicity.score(odd_docs, nothing).collect()} == {0.0}
 
 
+def mixed_texts(n, share, seed):
+    """Texts of a skewed vocabulary; ``share`` of the words come from 12 that both classes use."""
+    draw = random.Random(seed)
+    plain = [f"w{i}x" for i in range(3000)]
+    weight = [1 / (i + 5) for i in range(3000)]
+    return [" ".join(f"harsh{draw.randrange(12)}" if draw.random() < share else w
+                     for w in draw.choices(plain, weight, k=draw.randrange(40, 200))) for _ in range(n)]
+
+
+def test_toxicity_wording_that_ordinary_texts_use_too():
+    model = toxicity.fit(mixed_texts(150, 0.05, 1), mixed_texts(450, 0.002, 2))
+    score = model.scorer()
+    bad, good = ([score(t)[0] for t in mixed_texts(150, share, seed)] for share, seed in ((0.05, 3), (0.002, 4)))
+    used = {w for t in mixed_texts(450, 0.002, 2) for w in t.split()}
+    assert all(f"harsh{i}" in used for i in range(12))      # no word tells the classes apart by itself
+    assert sum((b > g) + (b == g) / 2 for b in bad for g in good) > 0.8 * len(bad) * len(good)
+
+
+def test_toxicity_is_no_word_membership():
+    """Texts with the same set of words get different scores."""
+    score = toxicity.fit(texts(60, True), texts(180, False)).scorer()
+    plain = " plain calm" * 400
+    assert score("vile nasty vile nasty" + plain[:22])[0] > score("vile nasty" + plain)[0]
+
+
 def test_toxicity_sample_is_bounded_and_keeps_to_its_rows(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")).union(
