@@ -106,9 +106,9 @@ def test_toxicity_wording_that_ordinary_texts_use_too():
 
 def test_toxicity_is_no_word_membership():
     """Texts with the same set of words get different scores."""
-    score = toxicity.fit(texts(60, True), texts(180, False)).scorer()
-    plain = " plain calm" * 400
-    assert score("vile nasty vile nasty" + plain[:22])[0] > score("vile nasty" + plain)[0]
+    score = toxicity.fit(mixed_texts(150, 0.05, 1), mixed_texts(450, 0.002, 2)).scorer()
+    plain = mixed_texts(1, 0, 5)[0]
+    assert score("harsh1 harsh2 " * 4 + plain)[0] > 0.05 + score("harsh1 harsh2 " + " ".join([plain] * 6))[0]
 
 
 def test_toxicity_sample_is_bounded_and_keeps_to_its_rows(spark):
