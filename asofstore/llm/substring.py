@@ -18,9 +18,10 @@ documents. The tree is never built whole:
    in memory. Nodes that are larger than a group even at full depth are not
    gathered: their smallest document comes from an aggregate with map-side
    combining.
-3. **Subtrees.** Within a group the suffixes are in lexicographic order; equal
-   neighbours at full depth form a deep internal node. Its first document owns
-   the sequence, and every other suffix below the node is a repeat.
+3. **Groups.** Within a group the suffixes are sorted by these hashes, not by
+   their words, and no tree is built: suffixes that are equal in the hash of all
+   ``window`` words stand for a deep internal node. Its first document owns the
+   sequence, and every other suffix of the node is a repeat.
 
 A document that is settled whole (a copy) needs no text any more.
 
@@ -141,7 +142,7 @@ def _suffixes(window: int):
 
 
 def _subtrees(levels: int):
-    """Repeats below the deep nodes of groups in lexicographic order.
+    """Repeats below the deep nodes of groups sorted by prefix hashes.
 
     The rows of a node come ordered by document, so its owner is the first row
     and memory does not grow with the node.
