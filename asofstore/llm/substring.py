@@ -11,17 +11,21 @@ documents. The tree is never built whole:
    Consecutive suffixes with one mark form a *run*; runs, not suffixes, are
    exchanged to find the marks that several documents share. Runs equal in
    their whole text are one node path and are settled as a unit.
-2. **Prefix partitioning.** Each remaining suffix is described by the hashes of
-   its first 8, 24 and ``window`` words. Suffixes are dealt out by the
-   shortest of these prefixes that at most ``group_rows`` suffixes share:
-   rare prefixes stay short, frequent ones are extended until the group fits
-   in memory. Nodes that are larger than a group even at full depth are not
-   gathered: their smallest document comes from an aggregate with map-side
-   combining.
-3. **Groups.** Within a group the suffixes are sorted by these hashes, not by
-   their words, and no tree is built: suffixes that are equal in the hash of all
-   ``window`` words stand for a deep internal node. Its first document owns the
-   sequence, and every other suffix of the node is a repeat.
+2. **Prefix partitioning.** Each remaining suffix is cut to its first ``window``
+   words, spelled in an alphabet of 65,536 letters (16 bits of each word's hash).
+   Suffixes are dealt out by a prefix of variable length: ``STEP`` words at first;
+   a prefix that more than ``group_rows`` suffixes share is made twice as long,
+   again and again, until its groups fit in memory. Nodes that are larger than a
+   group even at depth ``window`` are not gathered: their smallest document comes
+   from an aggregate with map-side combining.
+3. **Subtrees.** A group's suffixes are sorted by their words' letters; the common
+   prefix of neighbours gives the depth of the node that joins them. The tree is
+   cut at depth ``window``, so a deep internal node has leaves for children and is
+   a stretch of neighbours that agree to this depth: in every letter, and in a
+   64-bit hash of the words, as two words may share a letter. The node's first document
+   owns the sequence; its other suffixes are repeats. A longer repeat is a chain of
+   deep nodes (its windows), and :func:`_cutter` joins what they cover to the
+   maximal spans that are removed.
 
 A document that is settled whole (a copy) needs no text any more.
 
@@ -43,8 +47,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 GRAM = 10
-LEVELS = (8, 24)
+STEP = 4                    # words of the shortest prefix
 GROUP_ROWS = 200_000
+SUFFIX_BATCH = 20_000       # suffixes that a task holds spelled out
 MAX_FREQUENT = 500_000
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -119,82 +124,105 @@ def _scanner(window: int):
 # ------------------------------------------------------------- suffix groups
 
 def _suffixes(window: int):
-    """Prefix hashes of the suffixes that begin in the wanted runs."""
-    names = [f"_p{i}" for i in range(len(LEVELS) + 1)]
+    """The suffixes that begin in the wanted runs, cut to ``window`` words."""
+    def batch(rows):
+        ids, keys, pos, path, full = (np.concatenate(x) for x in zip(*rows))
+        ends = np.arange(len(ids) + 1, dtype=np.int32) * (2 * window)
+        return pa.RecordBatch.from_arrays(
+            [C.long_array(ids), pa.array(keys), pa.array(pos),
+             pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(path.tobytes())]),
+             C.long_array(full)], names=["_id", "_t", "_pos", "_path", "_full"])
 
     def run(batches):
+        rows, held = [], 0
         for b in C.slices(batches, 500):
-            ids, keys, pos, pre = [], [], [], [[] for _ in names]
             for i, k, t, spans in zip(*(b.column(c).to_pylist() for c in ("_id", "_t", "_text", "_runs"))):
-                hashed = Stretches(C.hash_words(C.words_of(t)))
-                at = np.unique(np.concatenate([np.arange(s["start"], s["start"] + s["len"]) for s in spans]))
-                ids.append(np.full(len(at), i, np.int64))
-                keys.append(np.full(len(at), k, np.int32))
-                pos.append(at)
-                for out, depth in zip(pre, (*LEVELS, window)):
-                    out.append(hashed(at, at + depth))
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [C.long_array(np.concatenate(ids)), pa.array(np.concatenate(keys)),
-                     pa.array(np.concatenate(pos).astype(np.int32)),
-                     *(C.long_array(np.concatenate(x)) for x in pre)], names=["_id", "_t", "_pos", *names])
+                words = C.hash_words(C.words_of(t))
+                hashed = Stretches(words)
+                paths = np.lib.stride_tricks.sliding_window_view((words >> np.uint64(48)).astype(">u2"), window)
+                starts = np.unique(np.concatenate([np.arange(s["start"], s["start"] + s["len"]) for s in spans]))
+                for p in range(0, len(starts), SUFFIX_BATCH):
+                    at = starts[p:p + SUFFIX_BATCH]
+                    rows.append((np.full(len(at), i, np.int64), np.full(len(at), k, np.int32), at.astype(np.int32),
+                                 paths[at], hashed(at, at + window)))
+                    held += len(at)
+                    if held >= SUFFIX_BATCH:
+                        yield batch(rows)
+                        rows, held = [], 0
+        if rows:
+            yield batch(rows)
     return run
 
 
-def _subtrees(levels: int):
-    """Repeats below the deep nodes of groups sorted by prefix hashes.
+def common_words(path: np.ndarray, before: np.ndarray, full: np.ndarray, full_before: np.ndarray) -> np.ndarray:
+    """Words that each suffix shares with the one before it, up to the depth of the tree."""
+    window = path.shape[1]
+    differ = path != before
+    to_the_end = np.where(full == full_before, window, window - 1)
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), to_the_end)
 
-    The rows of a node come ordered by document, so its owner is the first row
+
+def _subtrees(window: int):
+    """Repeats below the deep nodes of sorted suffixes.
+
+    The leaves of a node come ordered by document, so its owner is the first one
     and memory does not grow with the node.
     """
     def run(batches):
-        owner, node = None, None
+        last, last_full, owner = None, None, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            path = np.stack([b.column(f"_p{i}").to_numpy() for i in range(levels)])
+            path, full = C.bytes_matrix(b.column("_path"), np.uint16), b.column("_full").to_numpy()
             ids = b.column("_id").to_numpy()
-            new = np.ones(b.num_rows, bool)
-            new[1:] = (path[:, 1:] != path[:, :-1]).any(axis=0)   # depth of the common prefix < window
-            if node is not None and (path[:, 0] == node).all():
-                new[0] = False
-            first = np.maximum.accumulate(np.where(new, np.arange(b.num_rows), -1))
-            own = np.where(first >= 0, ids[np.maximum(first, 0)], owner if owner is not None else 0)
-            node, owner = path[:, -1].copy(), own[-1]
+            if last is None:            # no suffix comes before the first one
+                last, last_full = ~path[0], full[0]
+            depth = common_words(path, np.vstack([last, path[:-1]]), full, np.append(last_full, full[:-1]))
+            first = np.maximum.accumulate(np.where(depth < window, np.arange(b.num_rows), -1))
+            own = np.where(first >= 0, ids[np.maximum(first, 0)], owner)
+            last, last_full, owner = path[-1], full[-1], own[-1]
             rep = pa.array(own < ids)
             yield pa.RecordBatch.from_arrays(
                 [b.column(c).filter(rep) for c in ("_id", "_t", "_pos")], names=["_id", "_t", "_pos"])
     return run
 
 
-def deep_repeats(suffixes: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def deep_repeats(suffixes: DataFrame, window: int, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(_id, _t, _pos) of suffixes whose first ``window`` words also begin a
     suffix of a document with a smaller id.
 
     At most ``rows / group_rows`` prefixes are frequent; their table is joined
     to the suffixes by broadcast while it has fewer than ``MAX_FREQUENT`` rows.
     """
-    paths = [f"_p{i}" for i in range(len(LEVELS) + 1)]
-    rest, group, huge = suffixes, F.col(paths[0]), None
-    for i, p in enumerate(paths):
-        own = F.min("_id").alias("_lo")
-        frequent = C.stage(rest.groupBy(p).agg(F.count("*").alias("_c"), own).where(f"_c > {int(group_rows)}")
-                           .select(p, "_lo"), "substring-frequent")
-        n = frequent.count()
+    def prefix(words):
+        return F.substring("_path", 1, 2 * words)
+
+    def counted(table):
+        n = table.count()
+        return n, F.broadcast(table) if n < MAX_FREQUENT else table
+
+    words, at = min(STEP, window), ["_id", "_t", "_pos"]
+    dealt, below, huge = suffixes.withColumn("_group", prefix(words)), suffixes, None
+    while words < window:
+        n, frequent = counted(C.stage(below.groupBy(prefix(words).alias("_prefix")).agg(F.count("*").alias("_c"))
+                                      .where(f"_c > {int(group_rows)}").select("_prefix"), "substring-frequent"))
         if not n:
             break
-        if n < MAX_FREQUENT:
-            frequent = F.broadcast(frequent)
-        if i + 1 < len(paths):      # extend the prefix of the suffixes below it
-            rest = rest.join(frequent.select(p), p, "left_semi")
-            deeper = suffixes.select("*").join(frequent.select(p, F.lit(True).alias(f"_big{i}")), p, "left")
-            suffixes, group = deeper, F.when(F.col(f"_big{i}"), F.col(paths[i + 1])).otherwise(group)
-        else:                       # a node larger than a group
-            suffixes = suffixes.join(frequent.select(p, F.col("_lo")), p, "left")
-            huge = suffixes.where("_lo < _id").select("_id", "_t", "_pos")
-            suffixes = suffixes.where("_lo IS NULL")
-    found = (suffixes.repartition(group).sortWithinPartitions(*paths, "_id").select(*paths, "_id", "_t", "_pos")
-             .mapInArrow(_subtrees(len(paths)), "_id bigint, _t int, _pos int"))
+        below = below.join(frequent, prefix(words) == F.col("_prefix"), "left_semi")
+        words = min(2 * words, window)
+        dealt = (dealt.join(frequent, F.col("_group") == F.col("_prefix"), "left")
+                 .withColumn("_group", F.when(F.col("_prefix").isNotNull(), prefix(words)).otherwise(F.col("_group")))
+                 .drop("_prefix"))
+    else:       # some groups are as deep as the tree: nodes larger than a group
+        node = ["_path", "_full"]
+        n, owned = counted(C.stage(below.groupBy(*node).agg(F.count("*").alias("_c"), F.min("_id").alias("_lo"))
+                                   .where(f"_c > {int(group_rows)}").select(*node, "_lo"), "substring-nodes"))
+        if n:
+            dealt = dealt.join(owned, node, "left")
+            huge = dealt.where("_lo < _id").select(*at)
+            dealt = dealt.where("_lo IS NULL")
+    found = (dealt.repartition("_group").sortWithinPartitions("_path", "_full", "_id")
+             .select("_path", "_full", *at).mapInArrow(_subtrees(window), "_id bigint, _t int, _pos int"))
     return found if huge is None else found.union(huge)
 
 
@@ -231,8 +259,8 @@ def repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col:
     and one row per changed text with removed words, kept text, its digest and
     the removed spans (maximal repeats, in words). Rows are found again by
     ``_id`` and ``_t``, a hash of the text, so that rows may share a doc_id."""
-    if window <= max(LEVELS):
-        raise ValueError(f"window must be over {max(LEVELS)} words")
+    if window < GRAM:
+        raise ValueError(f"window must have {GRAM} words at least")
     C.small_batches(docs.sparkSession)
     src = _source(docs, id_col, text_col)
     scan = C.stage(src.mapInArrow(_scanner(window), SCAN), "substring-scan")
@@ -267,9 +295,8 @@ def repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col:
     texts = C.stage(src.join(part, at), "substring-texts")
     C.unstage(owned, settled)
     suffixes = C.stage(texts.where("_runs IS NOT NULL").mapInArrow(
-        _suffixes(window), "_id bigint, _t int, _pos int, " + ", ".join(
-            f"_p{i} bigint" for i in range(len(LEVELS) + 1))), "substring-suffixes")
-    found = C.stage(deep_repeats(suffixes, group_rows).groupBy(*at)
+        _suffixes(window), "_id bigint, _t int, _pos int, _path binary, _full bigint"), "substring-suffixes")
+    found = C.stage(deep_repeats(suffixes, window, group_rows).groupBy(*at)
                     .agg(F.collect_list("_pos").alias("_found")), "substring-found")
     C.unstage(suffixes)
     spans = F.concat(F.coalesce("_settled", F.array().cast(SPANS)), F.coalesce(F.transform(

@@ -8,6 +8,7 @@ import random
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 
 from asofstore.llm import common, embedding, minhash, substring
@@ -279,6 +280,48 @@ def test_substring_passages_whatever_the_group_size(spark, rows):
         assert (got.get(i, (0, ""))[0], hashlib.sha256(kept.encode()).hexdigest()) == (removed, sha)
 
 
+def test_substring_trees_of_sorted_suffixes():
+    """Depths and deep nodes of one group, batch by batch, against all pairs; words 0 and 9 share a letter."""
+    rng, window = random.Random(8), 5
+    text = {d: [rng.choice([0, 0, 1, 9]) for _ in range(40)] for d in range(12)}
+    spelled = lambda w: bytes(b for x in w for b in (0, x % 9))
+    rows = sorted((spelled(w[i:i + window]), hash(tuple(w[i:i + window])), d, i)
+                  for d, w in text.items() for i in range(len(w) - window + 1))
+    path, full, ids, pos = map(list, zip(*rows))
+    letters = np.frombuffer(b"".join(path), ">u2").reshape(-1, window)
+    depth = substring.common_words(letters[1:], letters[:-1], np.array(full[1:]), np.array(full[:-1]))
+    for i, got in enumerate(depth):
+        same = [a == b for a, b in zip(letters[i], letters[i + 1])] + [False]
+        want = same.index(False)
+        assert got == (want if want < window else window - (full[i] != full[i + 1]))
+    table = pa.table({"_path": pa.array(path, pa.binary()), "_full": full, "_id": ids,
+                      "_t": pa.array([0] * len(ids), pa.int32()), "_pos": pa.array(pos, pa.int32())})
+    for size in (1, 7, 1000):
+        found = pa.Table.from_batches(substring._subtrees(window)(table.to_batches(max_chunksize=size)))
+        first = {}
+        for d, w in text.items():
+            for i in range(len(w) - window + 1):
+                first.setdefault(tuple(w[i:i + window]), d)
+        assert {(r["_id"], r["_pos"]) for r in found.to_pylist()} == {
+            (d, i) for d, w in text.items() for i in range(len(w) - window + 1)
+            if first[tuple(w[i:i + window])] < d}
+
+
+def test_substring_frequent_prefix_in_many_continuations(spark):
+    """Half of all suffixes begin alike and part later: the prefix is lengthened, nothing is lost."""
+    rng = random.Random(5)
+    docs = []
+    for i in range(60):
+        line = ["the"] * 30 + [f"p{rng.randrange(3)}" for _ in range(6)] + ["end"] * 25
+        docs.append((i, " ".join([f"x{i}"] * 3 + line + [f"y{rng.randrange(9)}" for _ in range(20)])))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = brute_substring(docs)
+    for rows in (10, 200):
+        scan, changed = substring.repeats(df, group_rows=rows)
+        got = {r["_id"]: r["_removed"] for r in changed.collect()}
+        assert {i: got.get(i, 0) for i, _ in docs} == {i: w[1] for i, w in want.items()}
+
+
 def test_substring_odd_rows(spark, odd_docs, no_docs):
     got = collections.defaultdict(list)
     for r in substring.digests(odd_docs).collect():
