@@ -172,6 +172,15 @@ def sentence_starts(text: str) -> np.ndarray:
     return np.array(out, bool)
 
 
+def coded_starts(text: str, raw: np.ndarray) -> np.ndarray:
+    """:func:`sentence_starts` from the codes of the text's words, which say where a sentence ends."""
+    out = np.ones(len(raw), bool)
+    out[1:] = (raw[:-1] & _END) != 0
+    at = np.cumsum([len(line.split()) for line in text.splitlines()])
+    out[at[at < len(raw)]] = True
+    return out
+
+
 _LEMMAS = {"feet": "foot", "inches": "inch", "lbs": "lb", "metre": "meter", "metres": "meter", "kilometer": "km",
            "kilometers": "km", "gram": "g", "grams": "g", "kilogram": "kg", "kilograms": "kg", "litre": "liter",
            "litres": "liter"}
@@ -347,7 +356,7 @@ class Index:
     def _weak_items(self, text: str, raw: np.ndarray, words: list[str]) -> list[tuple]:
         """Items with too few plain words for a window, as whole sentences with other values."""
         out = {}
-        begins = sentence_starts(text)
+        begins = coded_starts(text, raw)
         bounds = np.append(np.flatnonzero(begins), len(words))
         for a, b in zip(bounds[:-1], bounds[1:]):
             codes, starts, _ = canonical(raw[a:b], begins[a:b])
