@@ -5,6 +5,9 @@ the newest N of all rounds is among the newest N of each driver that took part i
 answers every window of up to ``rounds`` rounds at the newest date, whatever the order of arrival: a late
 session takes its place by season and round, and a session that comes again replaces its earlier form.
 
+Drivers are kept in ``GROUPS`` groups by hash, one state each: a call of the state function costs more than a
+driver's merge, so many drivers share one.
+
 Each micro-batch puts the kept sessions of the drivers that changed in the place of what the online table had
 for them. :func:`online_features` reads that table.
 """
@@ -14,6 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +31,9 @@ from .ingest import landed_stream
 KEPT = "driverid string, year int, roundnumber int, mode string, at long, position double, gridposition double, points double, status string"
 _KEY = ["year", "roundnumber", "mode"]
 _REST = ["at", "position", "gridposition", "points", "status"]
+_TYPES = {"year": "int32", "roundnumber": "int32", "at": "int64", "position": float, "gridposition": float, "points": float}
 BUCKETS = 64
+GROUPS = 1 << 16
 
 
 def _newest(rows: dict[tuple, list], rounds: int) -> dict[tuple, list]:
@@ -42,18 +48,31 @@ def _plain(v):
 
 
 def keep_rounds(rounds: int):
-    """State function: merge a driver's landed sessions into its kept ones."""
+    """State function: merge the landed sessions of a group of drivers into their kept ones, each driver by itself.
+    The drivers that sessions landed for come out."""
     def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        rows = {tuple(k): r for k, r in json.loads(state.get[0])} if state.exists else {}
-        landed = []
+        kept = {d: {tuple(k): r for k, r in rows} for d, rows in json.loads(state.get[0]).items()} if state.exists else {}
+        landed: dict[str, list] = {}
+        changed, waiting = set(), 0
+
+        def merge():
+            for d, new in landed.items():
+                kept[d] = _merged(kept.get(d, {}), new, rounds)
+            changed.update(landed)
+            landed.clear()
+
         for f in frames:
-            landed += zip(f["_at"], f["_file"], f[[*_KEY, *_REST]].astype(object).itertuples(index=False, name=None))
-            if len(landed) > 10_000:    # a driver with many landed rows stays bounded
-                rows, landed = _merged(rows, landed, rounds), []
-        rows = _merged(rows, landed, rounds)
-        state.update((json.dumps([[list(k), r] for k, r in sorted(rows.items())]),))
-        out = pd.DataFrame([(key[0], *k, *r) for k, r in rows.items()], columns=["driverid", *_KEY, *_REST])
-        yield out.astype({"position": float, "gridposition": float, "points": float})
+            columns = [f[c].tolist() for c in (*_KEY, *_REST)]
+            for d, *row in zip(f["driverid"].tolist(), f["_at"].tolist(), f["_file"].tolist(), zip(*columns)):
+                landed.setdefault(d, []).append(row)
+            waiting += len(f)
+            if waiting > 10_000:    # drivers with many landed rows stay bounded
+                merge()
+                waiting = 0
+        merge()
+        state.update((json.dumps({d: [[list(k), r] for k, r in sorted(rows.items())] for d, rows in kept.items()}),))
+        columns = zip(["driverid", *_KEY, *_REST], zip(*[(d, *k, *r) for d in sorted(changed) for k, r in kept[d].items()]))
+        yield pd.DataFrame({c: np.array(v, _TYPES.get(c, object)) for c, v in columns}, copy=False)
     return run
 
 
@@ -70,11 +89,12 @@ def follow(spark: SparkSession, landing: str, table: str, checkpoint: str, round
     whole = " AND ".join(f"{c} IS NOT NULL" for c in ("driverid", *_KEY, "date"))
     rows = normalize_results(landed).where(whole).select(
         "driverid", *_KEY, F.unix_micros("date").alias("at"), *_REST[1:], "_file", F.unix_micros("_at").alias("_at"))
-    kept = rows.groupBy("driverid").applyInPandasWithState(keep_rounds(rounds), KEPT, "rows string", "update", "NoTimeout")
+    rows = rows.withColumn("_group", F.pmod(F.xxhash64("driverid"), F.lit(GROUPS)))
+    kept = rows.groupBy("_group").applyInPandasWithState(keep_rounds(rounds), KEPT, "rows string", "update", "NoTimeout")
 
     def put(batch: DataFrame, batch_id: int) -> None:
         now = batch.withColumn("bucket", F.pmod(F.xxhash64("driverid"), F.lit(BUCKETS)).cast("int"))
-        replace_rows(batch.sparkSession, table, now, now.select("driverid"), ["driverid"], "bucket")
+        replace_rows(batch.sparkSession, table, now, now, ["driverid"], "bucket")
 
     q = (kept.writeStream.outputMode("update").foreachBatch(put)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
