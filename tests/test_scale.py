@@ -111,3 +111,12 @@ def test_landed_files_do_not_follow_the_partitions(spark, monkeypatch):
     got = C.QUERIES["stream_ingest"](spark, SF_SMALL)
     assert got.count() == C.results(spark, SF_SMALL).count()
     assert 30 <= len(files) <= 36
+
+
+def test_a_payload_is_parsed_once(spark):
+    from asofstore.operators import report
+    from pyspark.sql import types as T
+    asked = spark.createDataFrame([("a", "b")], "id string, word string").select("id", F.concat("word", F.lit("{")).alias("payload"))
+    got = report.checked_records(asked, T.StructType([T.StructField("id", T.StringType())]))
+    done = got._jdf.queryExecution().optimizedPlan().toString()
+    assert done.lower().count("from_json(") + done.lower().count("jsontostructs") == 1 and done.count("concat(") == 1
