@@ -1,6 +1,7 @@
 """What queries exchange, write and send does not grow faster than their input."""
 
 import glob
+import re
 import tempfile
 
 import numpy as np
@@ -113,6 +114,26 @@ def test_landed_files_do_not_follow_the_partitions(spark, monkeypatch):
     assert 30 <= len(files) <= 36
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_a_store_without_attributes_has_the_same_rows(spark, seed):
+    data, windows = rows(spark, random_sessions(seed)), {"life": None, "two": 2}
+    store = FE.consolidated_features(data, 1950, 2016, windows=windows).drop("fullname", "teamname", "teamcolor")
+    narrow = FE.consolidated_features(data, 1950, 2016, windows=windows, attributes=False)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, store.collect())) and narrow.columns == store.columns
+
+
+def test_samples_and_scores_carry_no_attributes(spark, monkeypatch):
+    seen = []
+    whole = C.written
+    monkeypatch.setattr(C, "written", lambda df, name: (seen.append((name, df)), whole(df, name))[1])
+    for query in ("test_set",):
+        C.QUERIES[query](spark, SF_SMALL)
+    stores = [df for name, df in seen if name != "sessions"]
+    assert len(stores) == 1    # one table per query, besides the sessions
+    for df in stores:
+        assert "fullname" not in plan(df) and not re.search(r"hashpartitioning\(dt_ref#\d+, driverid", plan(df))
+
+
 def test_a_payload_is_parsed_once(spark):
     from asofstore.operators import report
     from pyspark.sql import types as T
