@@ -126,10 +126,10 @@ def test_samples_and_scores_carry_no_attributes(spark, monkeypatch):
     seen = []
     whole = C.written
     monkeypatch.setattr(C, "written", lambda df, name: (seen.append((name, df)), whole(df, name))[1])
-    for query in ("test_set",):
+    for query in ("test_set", "payload_rejects"):
         C.QUERIES[query](spark, SF_SMALL)
     stores = [df for name, df in seen if name != "sessions"]
-    assert len(stores) == 1    # one table per query, besides the sessions
+    assert len(stores) == 2    # one table per query, besides the sessions
     for df in stores:
         assert "fullname" not in plan(df) and not re.search(r"hashpartitioning\(dt_ref#\d+, driverid", plan(df))
 
