@@ -134,6 +134,16 @@ def test_samples_and_scores_carry_no_attributes(spark, monkeypatch):
         assert "fullname" not in plan(df) and not re.search(r"hashpartitioning\(dt_ref#\d+, driverid", plan(df))
 
 
+def test_boosted_rows_are_written_by_the_learner_only(spark, monkeypatch):
+    seen, fitted = [], []
+    whole = C.written
+    monkeypatch.setattr(C, "written", lambda df, name: (seen.append(name), whole(df, name))[1])
+    monkeypatch.setattr(C.ML, "pipeline", lambda *args: type("Fit", (), {"fit": lambda self, train: fitted.append(train)})())
+    monkeypatch.setattr(C.ML, "boosting_rounds", lambda *args: None)
+    C.QUERIES["adaboost_rounds"](spark, SF_SMALL)
+    assert seen == ["sessions", "abt"] and fitted[0].columns == ["label", *C.BOOST_FEATS]
+
+
 def test_a_payload_is_parsed_once(spark):
     from asofstore.operators import report
     from pyspark.sql import types as T
