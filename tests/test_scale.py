@@ -151,3 +151,15 @@ def test_a_payload_is_parsed_once(spark):
     got = report.checked_records(asked, T.StructType([T.StructField("id", T.StringType())]))
     done = got._jdf.queryExecution().optimizedPlan().toString()
     assert done.lower().count("from_json(") + done.lower().count("jsontostructs") == 1 and done.count("concat(") == 1
+
+
+def test_sessions_are_added_up_without_sorting(spark):
+    path = tempfile.mkdtemp(prefix="asof-scale-", dir="/tmp")
+    items = [(k, status, 1) for k, found in enumerate((["F", "O"], ["A", "F"], [None, "F"], [None], ["O"])) for status in found]
+    spark.createDataFrame(items, "l_suppkey long, l_linestatus string, l_orderkey long").selectExpr(
+        "*", "1 AS l_linenumber", "0.02D AS l_discount", "'A' AS l_returnflag", "DATE '1996-03-02' AS l_shipdate").write.parquet(f"{path}/lineitem.parquet")
+    spark.range(5).selectExpr("id AS s_suppkey", "'s' AS s_name", "0 AS s_nationkey").write.parquet(f"{path}/supplier.parquet")
+    spark.range(1).selectExpr("id AS n_nationkey", "'n' AS n_name").write.parquet(f"{path}/nation.parquet")
+    got = C.results(spark, path)
+    assert "SortAggregate" not in plan(got)
+    assert [r.status for r in got.orderBy("driverid").collect()] == ["Finished", "Lapped", "Finished", "Lapped", "Lapped"]
