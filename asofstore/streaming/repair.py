@@ -54,7 +54,7 @@ def affected(before: DataFrame, after: DataFrame, drivers: DataFrame, results: D
     pairs = asof.eligible_drivers(results, year_start, year_stop)
     if store is not None:
         pairs = pairs.unionByName(store.select(*KEYS)).distinct()
-    of_drivers = pairs.join(drivers, "driverid").where("dt_ref >= first_d").select(*KEYS)
+    of_drivers = pairs.join(asof.by_exchange(drivers), "driverid").where("dt_ref >= first_d").select(*KEYS)
     return dates, of_drivers.unionByName(pairs.join(dates, "dt_ref", "left_semi").select(*KEYS)).distinct()
 
 
@@ -89,7 +89,7 @@ class StoreRepair:
             now = self._written(rows, f"{pending}/rows")
             was = self._results()
             self._written(calendar(was, *self.years, finite), f"{pending}/before")
-            both = now.unionByName(was.join(now.select(*BRONZE_KEYS), BRONZE_KEYS, "left_semi"))
+            both = now.unionByName(was.join(asof.by_exchange(now.select(*BRONZE_KEYS)), BRONZE_KEYS, "left_semi"))
             firsts = asof.with_session_date(both).where("driverid IS NOT NULL").groupBy("driverid").agg(F.min("d").alias("first_d"))
             self._written(firsts, f"{pending}/drivers")
             self.spark.range(1).write.mode("overwrite").parquet(f"{pending}/done")
@@ -106,7 +106,7 @@ class StoreRepair:
         replace_rows(self.spark, self.store, redone.withColumn("dt_year", F.year("dt_ref")), pairs, KEYS, "dt_year")
         made = 0
         if _has_rows(self.spark, self.store):
-            made = self.read().select(*KEYS).join(pairs, KEYS, "left_semi").count()
+            made = self.read().select(*KEYS).join(asof.by_exchange(pairs), KEYS, "left_semi").count()
         facts = [(batch_id, now.count(), dates.count(), pairs.count(), made)]
         self.spark.createDataFrame(facts, LOG).write.mode("overwrite").parquet(f"{self.log}/in_batch={batch_id}")
         remove_path(self.spark, pending)

@@ -163,3 +163,17 @@ def test_sessions_are_added_up_without_sorting(spark):
     got = C.results(spark, path)
     assert "SortAggregate" not in plan(got)
     assert [r.status for r in got.orderBy("driverid").collect()] == ["Finished", "Lapped", "Finished", "Lapped", "Lapped"]
+
+
+def test_repair_joins_keys_by_exchange(spark, results, tmp_path):
+    """A table of keys is small as a file and large as a broadcast, so no join of the repair may guess its size."""
+    from asofstore.schema import KEYS
+    from asofstore.streaming import repair
+    asof.eligible_drivers(results, 1995, 2001).write.parquet(f"{tmp_path}/pairs")
+    asof.driver_seasons(results).groupBy("driverid").agg(F.min("first_d").alias("first_d")).write.parquet(f"{tmp_path}/drivers")
+    pairs, drivers = spark.read.parquet(f"{tmp_path}/pairs"), spark.read.parquet(f"{tmp_path}/drivers")
+    calendar = repair.calendar(results, 1995, 2001, {"_last_10": 10})
+    for df in (FE.consolidated_features(results, 1995, 2001, probes=pairs), FE.window_features(results, 1995, 2001, probes=pairs),
+               repair.affected(calendar, calendar, drivers, results, pairs.select(*KEYS), 1995, 2001)[1]):
+        assert "driverid" in plan(df)
+        assert not [x for x in plan(df).splitlines() if "BroadcastHashJoin" in x and "driverid" in x]
