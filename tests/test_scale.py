@@ -177,3 +177,13 @@ def test_repair_joins_keys_by_exchange(spark, results, tmp_path):
                repair.affected(calendar, calendar, drivers, results, pairs.select(*KEYS), 1995, 2001)[1]):
         assert "driverid" in plan(df)
         assert not [x for x in plan(df).splitlines() if "BroadcastHashJoin" in x and "driverid" in x]
+
+
+def test_eligible_results_exchange_no_fan_out(spark, results):
+    """A session is in the windows of many dates: it meets its driver's dates before it is laid out, not after."""
+    found = asof.eligible_results(results, 1995, 2001, 10)
+    below = plan(found).split("Generate explode(filter(_dates", 1)
+    assert len(below) == 2 and "Exchange" not in below[0]
+    fan = asof.sessions_in_last_rounds(results, 1995, 2001, 10)
+    literal = fan.join(asof.eligible_drivers(results, 1995, 2001), ["dt_ref", "driverid"], "left_semi").select(*found.columns)
+    assert found.count() > 0 and found.exceptAll(literal).count() == 0 and literal.exceptAll(found).count() == 0
