@@ -187,3 +187,24 @@ def test_eligible_results_exchange_no_fan_out(spark, results):
     fan = asof.sessions_in_last_rounds(results, 1995, 2001, 10)
     literal = fan.join(asof.eligible_drivers(results, 1995, 2001), ["dt_ref", "driverid"], "left_semi").select(*found.columns)
     assert found.count() > 0 and found.exceptAll(literal).count() == 0 and literal.exceptAll(found).count() == 0
+
+
+def test_a_merge_writes_its_rows_twice_and_searches_no_more_than_it_must(spark, results, tmp_path, monkeypatch):
+    """Incoming rows are written for checking, merged partitions as the folders that are moved in; nothing a third time."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    table, schema = f"{tmp_path}/t", "k string, v int, p string"
+    replace_rows(spark, table, spark.createDataFrame([("a", 1, "x/y"), ("b", 1, "x/y"), ("c", 1, None)], schema), None, ["k"], "p")
+    written, whole = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (written.append(path), whole(self, path, *a, **k))[1])
+    replace_rows(spark, table, spark.createDataFrame([("b", 2, "z=1"), ("c", 2, "x/y")], schema), None, ["k"], "p")
+    assert sorted(path.rsplit("/", 1)[1] for path in written) == ["incoming", "merged", "parts"]
+    assert {tuple(r) for r in spark.read.schema(schema).parquet(table).collect()} == {("a", 1, "x/y"), ("b", 2, "z=1"), ("c", 2, "x/y")}
+    assert not glob.glob(f"{table}/p=__HIVE*") and not glob.glob(f"{tmp_path}/*staging*")
+
+
+def test_given_dates_limit_the_rows_that_are_made(spark, results):
+    days = asof.dim_dates(results, 1995, 2001).where("dt_ref >= '2000-01-01'").select("dt_ref").distinct()
+    some = FE.window_features(results, 1995, 2001, 10, dates=days)
+    want = FE.window_features(results, 1995, 2001, 10).where("dt_ref >= '2000-01-01'")
+    assert some.count() == want.count() > 0 and some.exceptAll(want).count() == 0
+    assert plan(some).count("collect_list") == plan(FE.window_features(results, 1995, 2001, 10)).count("collect_list")
